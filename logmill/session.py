@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -24,6 +27,8 @@ _fallback_dirs: dict[str, str] = {}
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime options the expressions depend on; safe to call often."""
+    # tasks get the helper functions with the job, wherever the package is installed
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -71,8 +76,6 @@ def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 
 def _schema_with_id(df: DataFrame):
-    from pyspark.sql import types as T
-
     return T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
         + [T.StructField("row_id", T.LongType(), True)]

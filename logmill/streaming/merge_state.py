@@ -1,0 +1,91 @@
+"""Anchored duplicate window over a stream, as per-fingerprint state."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..config import PipelineConfig
+from ..functions.anchored import fold
+from ..operators.merge import aggregate_rows, arrival_order, emission
+
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "ignoreNullFields": "false",
+}
+_FAILED = "failed:"
+
+
+def _advance(width: int, idle_millis: int | None):
+    def run(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if key[0].startswith(_FAILED):
+            for chunk in chunks:
+                yield pd.DataFrame(
+                    {"doc": chunk["doc"], "window_us": None, "ordinal": None}
+                ).astype({"window_us": "Int64", "ordinal": "Int64"})
+            return
+        # chunks of a key come unsorted; their sum is bounded by the trigger size
+        rows = pd.concat(list(chunks), ignore_index=True)
+        rows = rows.sort_values(["o0", "o1", "o2", "o3", "us"], kind="stable")
+        carry = tuple(state.get) if state.exists else None
+        us = rows["us"].to_numpy(np.int64)
+        starts, ordinals = fold(np.zeros(len(us), np.int64), us, width, carry)
+        state.update((int(starts[-1]), int(ordinals[-1])))
+        if idle_millis is not None:
+            state.setTimeoutDuration(idle_millis)
+        yield pd.DataFrame({"doc": rows["doc"].to_numpy(), "window_us": starts, "ordinal": ordinals})
+
+    return run
+
+
+def merge_stream(
+    prepared: DataFrame, cfg: PipelineConfig = PipelineConfig(), idle_millis: int | None = None
+) -> DataFrame:
+    """Streaming counterpart of ``merge_anchored``.
+
+    Arrival order holds within a micro-batch and micro-batches follow each other;
+    late rows join the window that is open.  ``idle_millis`` drops the state of
+    fingerprints not seen for that long.  What one task holds is bounded by the
+    rows of one trigger (``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``).
+    """
+    if not cfg.merge_enabled:
+        return prepared.withColumn("action", F.lit("raw"))
+    schema = prepared.schema
+    understood = F.col("failure").isNull() & F.col("event.hash").isNotNull()
+    packed = prepared.select(
+        F.when(understood, F.col("event.hash"))
+        .otherwise(F.concat(F.lit(_FAILED), "id"))
+        .alias("merge_key"),
+        F.unix_micros("event_time").alias("us"),
+        *[c.alias(f"o{i}") for i, c in enumerate(arrival_order()[:4])],
+        F.to_json(F.struct(*prepared.columns), _JSON).alias("doc"),
+    )
+    timeout = (
+        GroupStateTimeout.NoTimeout
+        if idle_millis is None
+        else GroupStateTimeout.ProcessingTimeTimeout
+    )
+    placed = packed.groupBy("merge_key").applyInPandasWithState(
+        _advance(cfg.merge_window_millis, idle_millis),
+        "doc string, window_us bigint, ordinal bigint",
+        "window_us bigint, ordinal bigint",
+        "append",
+        timeout,
+    )
+    opened = placed.select(
+        F.from_json("doc", schema, _JSON).alias("d"),
+        F.timestamp_micros("window_us").alias("window_start"),
+        "ordinal",
+        emission(F.col("ordinal"), cfg).alias("action"),
+    ).where(F.col("action") != "suppressed")
+    return aggregate_rows(opened.select("d.*", "window_start", "ordinal", "action")).drop(
+        "window_start", "ordinal"
+    )
