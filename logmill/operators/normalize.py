@@ -355,7 +355,7 @@ def normalize_flat(messages: DataFrame, cfg: PipelineConfig = PipelineConfig())
 def bucket_name(event_time: Column, cfg: PipelineConfig = PipelineConfig()) -> Column:
     """Daily bucket ``prefix-yyyy.MM.dd`` in the configured zone."""
     local = F.from_utc_timestamp(event_time, cfg.zone)
-    return F.concat_ws("-", F.lit(cfg.bucket_prefix), F.date_format(local, "yyyy.MM.dd"))
+    return F.concat(F.lit(f"{cfg.bucket_prefix}-"), F.date_format(local, "yyyy.MM.dd"))
 
 
 def to_source_json(documents: DataFrame, column: str = "source_json") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
+from ..functions.plan import filter_barrier
 from ..operators.classify import classify, reroute_aggregates
 from ..operators.filters import redact, should_keep, validate
 from ..operators.fingerprint import fingerprint
@@ -21,7 +22,7 @@ def prepare(messages: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Data
     """
     documents = normalize(messages, cfg)
     kept = documents.where(F.col("failure").isNotNull() | should_keep(cfg))
-    return fingerprint(classify(redact(kept, cfg), cfg), cfg)
+    return filter_barrier(fingerprint(classify(redact(kept, cfg), cfg), cfg))
 
 
 def finish(merged: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:

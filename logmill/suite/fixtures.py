@@ -48,3 +48,104 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_VALUE).alias("value"),
         F.col("at").alias("timestamp"),
     )
+
+
+_STATUS = (
+    "CAST(CASE event_id % 11 WHEN 0 THEN 429 WHEN 1 THEN 400 WHEN 2 THEN 503 ELSE 201 END AS INT)"
+)
+_FIRST_RETRY = "CAST(CASE event_id % 3 WHEN 0 THEN 201 WHEN 1 THEN 503 ELSE 400 END AS INT)"
+_SECOND_RETRY = "CAST(CASE event_id % 2 WHEN 0 THEN 201 ELSE 503 END AS INT)"
+_ERROR_TYPE = (
+    "CASE {s} WHEN 429 THEN 'rejected_execution_exception' WHEN 400 THEN 'parsing_exception'"
+    " WHEN 503 THEN 'unavailable' END"
+)
+
+
+def written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per written document: batch, position, source and target."""
+    return events(spark, sf_dir).select(
+        F.expr("event_id div 500").alias("batch_id"),
+        F.expr("CAST(event_id % 500 AS INT)").alias("item_index"),
+        F.lit("app.logs").alias("topic"),
+        F.expr("CAST(user_id % 4 AS INT)").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.concat(F.lit("logs-"), "event_type", F.lit("-prod")).alias("data_stream"),
+        F.concat(F.lit("doc-"), F.col("event_id")).alias("document_id"),
+        "at",
+    )
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempt log of the written documents: a first write and up to two retries."""
+    base = events(spark, sf_dir).select(
+        F.expr("event_id div 500").alias("batch_id"),
+        F.expr("CAST(event_id % 500 AS INT)").alias("item_index"),
+        F.expr(
+            f"filter(array(named_struct('attempt', 0, 'status', {_STATUS}),"
+            f" CASE WHEN event_id % 11 IN (0, 2) THEN named_struct('attempt', 1, 'status', {_FIRST_RETRY}) END,"
+            f" CASE WHEN event_id % 11 IN (0, 2) AND event_id % 3 = 1"
+            f" THEN named_struct('attempt', 2, 'status', {_SECOND_RETRY}) END), x -> x IS NOT NULL)"
+        ).alias("tries"),
+    )
+    return base.select("batch_id", "item_index", F.explode("tries").alias("t")).select(
+        "batch_id",
+        "item_index",
+        "t.attempt",
+        "t.status",
+        F.expr(_ERROR_TYPE.format(s="t.status")).alias("error_type"),
+        F.concat(F.lit("reason "), F.col("item_index")).alias("reason"),
+    )
+
+
+def first_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose first write failed, with the failure."""
+    from ..operators.outcomes import failure_class
+
+    first = attempts(spark, sf_dir).where("attempt = 0 AND status >= 300").drop("attempt")
+    return (
+        written(spark, sf_dir)
+        .join(first, ["batch_id", "item_index"])
+        .withColumn("failure_class", failure_class(F.col("status"), F.col("error_type")))
+    )
+
+
+def available_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages still at hand, some of them received twice."""
+    rows = messages(spark, sf_dir).where(
+        "NOT (timestamp < TIMESTAMP '2024-01-10 00:00:00' AND key LIKE '%3')"
+    )
+    again = rows.where("key LIKE '%1'").withColumns(
+        {
+            "value": F.concat("value", F.lit(" again")),
+            "timestamp": F.expr("timestamp + INTERVAL 1 SECOND"),
+        }
+    )
+    return rows.unionByName(again)
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of the first writes that failed for good."""
+    from ..operators.outcomes import dead_letter_documents, dead_letter_rows
+
+    failed = first_failures(spark, sf_dir).where("failure_class = 'DEAD_LETTER'")
+    rows = dead_letter_rows(failed, available_messages(spark, sf_dir))
+    return dead_letter_documents(rows, at=F.col("timestamp"))
+
+
+def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages, documents and results per written batch."""
+    return (
+        events(spark, sf_dir)
+        .groupBy(F.expr("event_id div 500").alias("batch_id"))
+        .agg(
+            F.max("at").alias("ingested_at"),
+            F.count("*").alias("messages"),
+            F.count_if(F.col("event_type") != "view").alias("documents"),
+            F.count_if((F.col("event_type") != "view") & (F.col("event_id") % 11 > 2)).alias("successes"),
+            F.count_if((F.col("event_type") != "view") & (F.col("event_id") % 11 <= 2)).alias("failures"),
+            F.lit("app.logs").alias("topic"),
+            F.max_by((F.col("user_id") % 4).cast("int"), "event_id").alias("partition"),
+            F.max("event_id").alias("offset"),
+            F.concat(F.lit("logs-"), F.max_by("event_type", "event_id"), F.lit("-prod")).alias("data_stream"),
+        )
+    )
