@@ -75,6 +75,8 @@ def storm_summary(
 ) -> DataFrame:
     """Counts and samples per fingerprint and window, with a few trace ids.
 
+    Reads ``documents`` twice: pass a stored table, not a plan that still parses.
+
     Trace ids are ranked with a per-group limit that Spark applies before the
     shuffle, so a storm of one fingerprint never gathers all its ids anywhere.
     """

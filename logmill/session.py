@@ -56,6 +56,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly parsing when the input has fewer splits than cores.
+
+    Large inputs have more splits than that and pass unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: partitions and row order stay as they are."""
     spark = df.sparkSession

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.outcomes import dead_letter_documents, dead_letter_rows, failure_class
+from ..session import spread
+
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 _VALUE = """
@@ -40,7 +43,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
+    return spread(events(spark, sf_dir)).select(
         F.lit("app.logs").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
@@ -99,8 +102,6 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose first write failed, with the failure."""
-    from ..operators.outcomes import failure_class
-
     first = attempts(spark, sf_dir).where("attempt = 0 AND status >= 300").drop("attempt")
     return (
         written(spark, sf_dir)
@@ -125,8 +126,6 @@ def available_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters of the first writes that failed for good."""
-    from ..operators.outcomes import dead_letter_documents, dead_letter_rows
-
     failed = first_failures(spark, sf_dir).where("failure_class = 'DEAD_LETTER'")
     rows = dead_letter_rows(failed, available_messages(spark, sf_dir))
     return dead_letter_documents(rows, at=F.col("timestamp"))

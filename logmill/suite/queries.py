@@ -73,8 +73,15 @@ def prepared(spark, sf_dir, cfg=MERGE_CFG) -> DataFrame:
     )
 
 
+def stored(spark, sf_dir) -> DataFrame:
+    """The prepared documents as a table of the lake, written once per session."""
+    return _once(
+        spark, "stored", sf_dir, make=lambda: staged(prepared(spark, sf_dir), "documents")
+    )
+
+
 def understood(spark, sf_dir) -> DataFrame:
-    return prepared(spark, sf_dir).where("failure IS NULL")
+    return stored(spark, sf_dir).where("failure IS NULL")
 
 
 def placed(spark, sf_dir) -> DataFrame:
@@ -83,7 +90,7 @@ def placed(spark, sf_dir) -> DataFrame:
         spark,
         "placed",
         sf_dir,
-        make=lambda: M.with_positions(staged(prepared(spark, sf_dir), "documents"), MERGE_CFG),
+        make=lambda: M.with_positions(stored(spark, sf_dir), MERGE_CFG),
     )
 
 
