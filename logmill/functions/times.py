@@ -16,6 +16,7 @@ FIRST_SECOND = -62_135_596_800
 _ISO = (
     r"^\d{4}-\d\d-\d\d[Tt]\d\d:\d\d:\d\d(\.\d{0,9})?([Zz]|[+-]\d\d:\d\d(:\d\d)?)$"
 )
+_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 _NUMBER_SCHEMA = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
@@ -37,7 +38,11 @@ def resolve_event_time(raw: Column, text: Column) -> tuple[Column, Column]:
     """
     blank = text.isNull() | ~text.rlike(r"[^\s\p{Z}]")
     digits = text.rlike(r"^[0-9]+$")
-    numeric = F.coalesce(F.schema_of_variant(raw).rlike(_NUMBER_SCHEMA), F.lit(False))
+    # whether a number was a JSON number matters only if it is not all digits
+    numeric = F.when(
+        text.rlike(_NUMBER) & ~digits,
+        F.coalesce(F.schema_of_variant(raw).rlike(_NUMBER_SCHEMA), F.lit(False)),
+    ).otherwise(F.lit(False))
     number = F.when(digits, text.try_cast("bigint")).when(
         numeric, F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
     )

@@ -48,10 +48,33 @@ def members(value: str, names: Iterable[str], **typed: str) -> str:
     return cast_variant(value, f"struct<{fields}>")
 
 
-def first_present(struct: str, names: Iterable[str]) -> str:
-    """Value of the first member that is there and not JSON null."""
-    options = [f"{struct}.`{name}`" for name in names]
-    return f"coalesce({', '.join(f'if(is_variant_null({o}), NULL, {o})' for o in options)})"
+def lookup(value: str, names: Iterable[str], *parents: str) -> str:
+    """Value under the first literal key that is there and not JSON null.
+
+    Searches the object once per key: for values wanted from few rows only.
+    """
+    options = []
+    for name in names:
+        path = "$" + "".join(f"[\"{key}\"]" for key in (*parents, name))
+        found = f"try_variant_get({value}, '{path}', 'variant')"
+        options.append(f"if(is_variant_null({found}), NULL, {found})")
+    return f"coalesce({', '.join(options)})"
+
+
+def first_text(struct: str, names: Iterable[str]) -> str:
+    """Text of the first member that is not JSON null, of a struct of strings."""
+    return f"coalesce({', '.join(f'{struct}.`{name}`' for name in names)})"
+
+
+def unwrapped(text: str, value: str, depth: int = 0) -> str:
+    """``text`` of ``value``, without a telemetry wrapper.
+
+    Only text that looks like an object can hide one; ``value`` is evaluated for
+    such rows alone.
+    """
+    bound = f"transform(array({value}), y -> named_struct('value', y, 'opened', {wrapper('y')}))"
+    exact = f"get(transform({bound}, z -> {opened_text('z.value', 'z.opened', depth)}), 0)"
+    return f"CASE WHEN startswith({text}, '{{') THEN {exact} ELSE {text} END"
 
 
 def wrapper(value: str) -> str:

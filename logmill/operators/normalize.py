@@ -15,12 +15,13 @@ from ..functions.plan import filter_barrier
 from ..functions.text import has_text, iso_instant, sha256_hex, text_or, text_or_null
 from ..functions.times import resolve_event_time
 from ..functions.variants import (
-    first_present,
+    first_text,
     has_entries,
+    lookup,
     members,
-    opened_text,
     sql,
     text_map,
+    unwrapped,
     wrapper,
 )
 
@@ -144,38 +145,44 @@ def _distinct(groups) -> list[str]:
 
 
 def _with_fields(extracted: DataFrame) -> DataFrame:
-    """Pick one raw value per field, open its wrapper, then render it as text.
+    """Read all fields of a record as text in one cast, then open wrapped values.
 
     Separate projections on purpose: each refers several times to what the one
     before computed, and Catalyst keeps them apart for that reason.
     """
-    exception_struct = ",".join(f"`{k}`:variant" for k in _distinct(ERROR_RECORD_KEYS.values()))
-    record_keys = [*_distinct(_RECORD_FIELDS.values()), "attributes", "exception"]
-    record = members("rec", record_keys, exception=f"struct<{exception_struct}>")
-    names = [*_RECORD_FIELDS, *_ERROR_FIELDS]
-    raw = {f"raw_{n}": first_present("fields", keys) for n, keys in _RECORD_FIELDS.items()}
-    raw |= {f"raw_{n}": first_present("fields.exception", k) for n, k in _ERROR_FIELDS.items()}
-    raw["raw_attributes"] = "fields.attributes"
-    opened = {f"open_{n}": wrapper(f"raw_{n}") for n in [*names, "attributes"]}
+    names = [*_distinct(_RECORD_FIELDS.values()), "attributes", "exception"]
+    inner = ",".join(f"`{k}`:string" for k in _distinct(ERROR_RECORD_KEYS.values()))
+    types = dict.fromkeys(names, "string")
+    types |= {"attributes": "variant", "exception": f"struct<{inner}>"}
+    plain = {f"txt_{n}": first_text("fields", keys) for n, keys in _RECORD_FIELDS.items()}
+    plain |= {f"txt_{n}": first_text("fields.exception", k) for n, k in _ERROR_FIELDS.items()}
+    plain |= {
+        "raw_attributes": "fields.attributes",
+        "open_attributes": wrapper("fields.attributes"),
+    }
     texts = {
-        f"txt_{n}": opened_text(f"raw_{n}", f"open_{n}", 3 if n == "body" else 0) for n in names
+        f"txt_{n}": unwrapped(f"txt_{n}", lookup("rec", keys), 3 if n == "body" else 0)
+        for n, keys in _RECORD_FIELDS.items()
+    }
+    texts |= {
+        f"txt_{n}": unwrapped(f"txt_{n}", lookup("rec", keys, "exception"))
+        for n, keys in _ERROR_FIELDS.items()
     }
-    texts["attributes"] = text_map("raw_attributes", "open_attributes")
     # a payload that is not a JSON object is its own message
     texts["txt_body"] = f"coalesce(CASE WHEN is_text THEN value END, {texts['txt_body']}, '')"
+    texts["attributes"] = text_map("raw_attributes", "open_attributes")
     return (
-        extracted.withColumn("fields", sql(record))
-        .drop("rec")
-        .withColumns({name: sql(text) for name, text in raw.items()})
+        extracted.withColumn("fields", sql(members("rec", names, **types)))
+        .withColumns({name: sql(text) for name, text in plain.items()})
         .drop("fields")
-        .withColumns({name: sql(text) for name, text in opened.items()})
         .withColumns({name: sql(text) for name, text in texts.items()})
-        .drop("is_text", *opened, *(n for n in raw if n not in ("raw_time", "raw_severity")))
+        .drop("is_text", "raw_attributes", "open_attributes")
     )
 
 
 def _timed(fields: DataFrame, arrival: Column) -> DataFrame:
-    resolved, time_failure = resolve_event_time(F.col("raw_time"), F.col("txt_time"))
+    raw = sql(lookup("rec", TIME_KEYS))
+    resolved, time_failure = resolve_event_time(raw, F.col("txt_time"))
     return fields.withColumns({"event_time": resolved, "time_failure": time_failure}).withColumns(
         {
             "failure": F.coalesce("failure", "time_failure"),
@@ -321,7 +328,7 @@ def normalize_flat(messages: DataFrame, cfg: PipelineConfig = PipelineConfig())
     base = messages.withColumn("arrived_at", _arrival(messages))
     fields = _timed(_with_fields(extract_record(decode(base))), F.col("arrived_at"))
     text = F.col("txt_severity")
-    kind = F.schema_of_variant("raw_severity")
+    kind = F.schema_of_variant(sql(lookup("rec", SEVERITY_NUMBER_KEYS)))
     as_number = F.coalesce(
         text.try_cast("int"),
         F.when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), text.try_cast("double").try_cast("int")),

@@ -159,7 +159,9 @@ def dead_letter_rows(failed: DataFrame, messages: DataFrame, stage: str = "bulk-
 
     ``failed`` has the source key, ``data_stream``, ``document_id`` and the failure.
     """
-    return failed.join(latest_messages(messages), SOURCE_KEY).select(
+    # failures are few: only their messages take part in the shuffle
+    wanted = messages.join(failed.select(*SOURCE_KEY).distinct(), SOURCE_KEY, "left_semi")
+    return failed.join(latest_messages(wanted), SOURCE_KEY).select(
         *SOURCE_KEY,
         F.col("key").alias("message_key"),
         F.col("value").alias("payload"),
@@ -175,8 +177,9 @@ def dead_letter_rows(failed: DataFrame, messages: DataFrame, stage: str = "bulk-
 
 def unresolved_sources(failed: DataFrame, messages: DataFrame) -> DataFrame:
     """Failed documents whose source message is not at hand."""
-    known = messages.select(*SOURCE_KEY)
     complete = failed.where(" AND ".join(f"`{name}` IS NOT NULL" for name in SOURCE_KEY))
+    asked = complete.select(*SOURCE_KEY).distinct()
+    known = messages.select(*SOURCE_KEY).join(asked, SOURCE_KEY, "left_semi")
     return complete.join(known, SOURCE_KEY, "left_anti")
 
 
