@@ -60,21 +60,33 @@ def outcome_counters(dispositions: DataFrame, failures: DataFrame) -> DataFrame:
     ``dispositions`` as from ``retry_disposition``; ``failures`` has ``failed_at``
     and ``summary`` per failed item.
     """
+    # one table of both inputs, so that a single aggregation gives everything
+    fates = dispositions.select(
+        "disposition",
+        "failed_first",
+        "retries",
+        F.lit(None).cast("timestamp").alias("failed_at"),
+        F.lit(None).cast("string").alias("summary"),
+    )
+    events = failures.select(
+        F.lit(None).cast("string").alias("disposition"),
+        F.lit(None).cast("boolean").alias("failed_first"),
+        F.lit(None).cast("int").alias("retries"),
+        "failed_at",
+        "summary",
+    )
     d = F.col("disposition")
-    totals = dispositions.agg(
-        F.count("*").alias("documents"),
+    newest = F.when(F.col("failed_at").isNotNull(), F.struct("failed_at", "summary"))
+    return fates.unionByName(events).agg(
+        F.count("disposition").alias("documents"),
         F.count_if(d != "dead_letter").alias("successes"),
         F.count_if("failed_first").alias("failures"),
         F.coalesce(F.sum("retries"), F.lit(0)).alias("retried_documents"),
         F.count_if(d == "created_after_retry").alias("retry_successes"),
         F.count_if(d == "dead_letter").alias("dead_letters"),
-    )
-    last = failures.agg(
         F.max("failed_at").alias("last_failure_at"),
-        F.max_by("summary", F.struct("failed_at", "summary")).alias("last_failure"),
+        F.max(newest)["summary"].alias("last_failure"),
     )
-    # both sides are single-row aggregates
-    return totals.join(F.broadcast(last), F.lit(True))
 
 
 def consumer_counters(outcomes: DataFrame) -> DataFrame:

@@ -75,19 +75,21 @@ def replay_counts(selected: DataFrame, processed: DataFrame, dry_run: bool) -> D
     ``processed`` is the document path applied to the rebuilt messages before
     any filter; filtered and suppressed rows count as replayed.
     """
-    matched = selected.agg(
-        F.count("*").alias("matched"), F.count_if(~has_text(F.col("payload"))).alias("skipped")
-    )
-    if dry_run:
-        zero = F.lit(0).cast("bigint")
-        return matched.select(
-            "matched", zero.alias("replayed"), zero.alias("failed"), zero.alias("skipped")
+    zero = F.lit(0)
+    blank = (~has_text(F.col("payload"))).cast("int")
+    rows = selected.select(F.lit(1).alias("matched"), zero.alias("failed"), blank.alias("skipped"))
+    if not dry_run:
+        failed = F.col("failure").isNotNull().cast("int")
+        rows = rows.unionByName(
+            processed.select(zero.alias("matched"), failed.alias("failed"), zero.alias("skipped"))
         )
-    failed = processed.agg(F.count_if(F.col("failure").isNotNull()).alias("failed"))
-    # both sides are single-row aggregates
-    return matched.join(F.broadcast(failed), F.lit(True)).select(
-        "matched",
-        (F.col("matched") - F.col("skipped") - F.col("failed")).alias("replayed"),
-        "failed",
-        "skipped",
+    matched, failed, skipped = (
+        F.coalesce(F.sum(name), zero).cast("bigint") for name in ("matched", "failed", "skipped")
+    )
+    nothing = zero.cast("bigint")
+    return rows.agg(
+        matched.alias("matched"),
+        (nothing if dry_run else matched - skipped - failed).alias("replayed"),
+        (nothing if dry_run else failed).alias("failed"),
+        (nothing if dry_run else skipped).alias("skipped"),
     )

@@ -672,7 +672,7 @@ def ad_hoc_messages(spark, sf_dir):
 @query
 def routed_write(spark, sf_dir):
     """Write documents and dead letters as a batch job does and read both back."""
-    routed = FI.validate(prepared(spark, sf_dir))
+    routed = FI.validate(stored(spark, sf_dir).drop("row_id"))
     table, dead = scratch_path(spark, "routed"), scratch_path(spark, "dead")
     write_both(routed, table, dead, MERGE_CFG, batch_id=7)
     rows = read_table(spark, table).groupBy("data_stream").agg(F.count("*").alias("n"))
