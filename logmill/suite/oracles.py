@@ -353,6 +353,13 @@ ORACLES: dict[str, str] = {
     "consumer_counters": """
       SELECT 'app.logs' AS topic, (user_id % 4)::BIGINT AS "partition", count(*) AS polled, count(*) FILTER (WHERE event_id % 11 <> 1) AS processed,
         count(*) FILTER (WHERE event_id % 20 = 4) AS filtered, count(*) FILTER (WHERE event_id % 11 = 1) AS in_flight, max(event_id) AS last_offset FROM events GROUP BY 2""",
+    "stream_ingest": _placed("""
+      SELECT id, data_stream, 'event' AS kind, NULL::VARCHAR AS failure FROM placed WHERE action = 'raw'
+      UNION ALL SELECT 'aggregate-' || hash || '-' || (window_us // 1000), 'logs-aggregate-metrics-' || namespace, 'metric', NULL FROM placed WHERE action = 'aggregate'
+      UNION ALL SELECT id, data_stream, 'event', failure FROM routed WHERE failure IS NOT NULL"""),
+    "stream_tumbling": _docs(
+        "SELECT hash, event_us // 21600000000 * 21600000000 AS window_us, count(*) AS occurrence_count FROM kept GROUP BY 1, 2"
+    ),
     "search_newest": _docs("""
       SELECT id, event_us FROM kept WHERE level = 'ERROR' AND service = 'svc-error' AND event_us >= epoch_us(TIMESTAMP '2024-01-03')
         AND event_us < epoch_us(TIMESTAMP '2024-01-28') ORDER BY event_us DESC, id LIMIT 50"""),

@@ -24,8 +24,9 @@ from ..operators.fingerprint import fingerprint
 from ..plans.ingest import dry_run, finish, prepare
 from ..plans.jobs import write_both
 from ..session import configure, scratch_path, staged
-from ..sources.messages import ad_hoc
+from ..sources.messages import ad_hoc, file_stream
 from ..sources.tables import latest_per_id, read_table, upsert_by_day, write_dead_letters
+from ..streaming.ingest import routed_stream, tumbling_counts
 from . import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -745,6 +746,49 @@ def consumer_counters(spark, sf_dir):
     return P.consumer_counters(rows).withColumn("partition", big("partition"))
 
 
+# ---- streams -------------------------------------------------------------------------
+
+
+def _message_stream(spark, sf_dir) -> DataFrame:
+    """The message log as files that a stream picks up."""
+    folder = scratch_path(spark, "log")
+    X.messages(spark, sf_dir).write.parquet(folder)
+    return file_stream(spark, folder)
+
+
+def _drained(stream: DataFrame, mode: str) -> DataFrame:
+    """Run a stream over what is there now and read back what it wrote."""
+    spark = stream.sparkSession
+    target, state = scratch_path(spark, "out"), scratch_path(spark, "state")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    running = (
+        stream.writeStream.foreachBatch(sink)
+        .outputMode(mode)
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return spark.read.parquet(target).drop("batch")
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """The document path with the stateful merge on a stream of messages."""
+    rows = routed_stream(_message_stream(spark, sf_dir), MERGE_CFG)
+    return _drained(rows.select("id", "data_stream", F.col("event.kind").alias("kind"), "failure"), "append")
+
+
+@query
+def stream_tumbling(spark, sf_dir):
+    rows = tumbling_counts(_message_stream(spark, sf_dir), MERGE_CFG)
+    counts = rows.select("hash", micros("window_start").alias("window_us"), "occurrence_count")
+    return _drained(counts, "update")
+
+
 # ---- search --------------------------------------------------------------------------
 
 
