@@ -23,9 +23,9 @@ from ..operators import search as S
 from ..operators.fingerprint import fingerprint
 from ..plans.ingest import dry_run, finish, prepare
 from ..plans.jobs import write_both
-from ..session import configure, scratch_path, staged
+from ..session import configure, scratch_path, spread, staged
 from ..sources.messages import ad_hoc, file_stream
-from ..sources.tables import latest_per_id, read_table, upsert_by_day, write_dead_letters
+from ..sources.tables import latest_per_id, read_table, upsert_by_day
 from ..streaming.ingest import routed_stream, tumbling_counts
 from . import fixtures as X
 
@@ -391,7 +391,7 @@ def route_dry_run(spark, sf_dir):
 
 @query
 def template_text(spark, sf_dir):
-    texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return texts.select("doc_id", F.sha2(template(F.col("text")), 256).alias("template_hash"))
 
 
