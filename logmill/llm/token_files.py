@@ -10,7 +10,9 @@ read by its shard row, a slice and one decompression.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from .common import keep, table, text_slices, worker_state
 END_ID = 0
 # bounds of the sample that the dictionary is trained on
 TRAIN_DOCUMENTS, TRAIN_IDS, DICTIONARY_BYTES = 1000, 1000, 64 << 10
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 700_000
 SHARD_BYTES, SHARD_DOCUMENTS = 1 << 20, 4096
 
 SHARD = pa.schema(
@@ -46,6 +48,23 @@ SHARD_SQL = (
 )
 
 
+# The split pattern of the vocabulary, for the letters, digits and spaces
+# below U+0250, whose classes no longer change between Unicode versions
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_UNSETTLED = re.compile(r"[^\x00-\u024f]")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones themselves."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -56,8 +75,8 @@ class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     A byte-level BPE never merges across the space before a word, so a text without
-    runs of white space is encoded word by word, each distinct word once.  Other texts,
-    and those with special tokens, go to the tokenizer whole.
+    runs of white space is encoded word by word, each distinct word once, by the BPE
+    model alone.  Other texts, and those with special tokens, go to the tokenizer whole.
     """
 
     def __init__(self, path: str, word_wise: bool = True):
@@ -67,6 +86,20 @@ class Encoder:
         self.word_wise = word_wise
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        self.letters = dict(enumerate(_BYTE_LETTERS))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word with its space."""
+        model, letters = self.tokenizer.model, self.letters
+        ids = array("I")
+        for piece in _PIECES.findall(word):
+            ids.extend([t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))])
+        return ids.tobytes()
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        unsettled = [i for i, w in enumerate(words) if _UNSETTLED.search(w)]
+        whole = dict(zip(unsettled, self._ids([words[i] for i in unsettled])))
+        return [whole[i] if i in whole else self._word(w) for i, w in enumerate(words)]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -100,7 +133,7 @@ class Encoder:
             fresh = list(missing)
             for start in range(0, len(fresh), 20_000):
                 part = fresh[start : start + 20_000]
-                self.words.update(zip(part, self._ids([" " + w for w in part])))
+                self.words.update(zip(part, self._words([" " + w for w in part])))
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
         for (i, parts), first in zip(split.items(), self._ids([p[0] for p in split.values()])):
@@ -118,19 +151,20 @@ def encoder(path: str) -> Encoder:
 def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """A zstandard dictionary from the first ids of a bounded sample of documents.
 
-    The sample is the TRAIN_DOCUMENTS rows of smallest hash, TRAIN_IDS ids each: at most
+    The sample is about TRAIN_DOCUMENTS rows chosen by a hash, TRAIN_IDS ids each: some
     4 MB come to the driver.  Too little text for training gives an empty dictionary.
     """
     # a prefix is enough to train on; every text is written whole
-    picked = docs.select(F.substring("text", 1, 8 * TRAIN_IDS).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-    picked = picked.where("text IS NOT NULL").orderBy("h").limit(TRAIN_DOCUMENTS).select("text")
+    share = TRAIN_DOCUMENTS / max(TRAIN_DOCUMENTS, docs.count())
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
+    picked = docs.where(F.col("text").isNotNull() & (place < share)).select(F.substring("text", 1, 8 * TRAIN_IDS).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids in encoder(tokenizer).encode(batch.column(0).to_pylist()):
                 yield pa.record_batch([pa.array([ids[: 4 * TRAIN_IDS]], pa.binary())], names=["ids"])
 
-    samples = [bytes(r.ids) for r in picked.mapInArrow(encode, "ids binary").collect() if r.ids]
+    samples = sorted(bytes(r.ids) for r in picked.mapInArrow(encode, "ids binary").collect() if r.ids)
     try:
         size = min(DICTIONARY_BYTES, max(256, sum(map(len, samples)) // 8))
         return zstandard.train_dictionary(size, samples).as_bytes()
