@@ -52,6 +52,7 @@ SHARD_SQL = (
 # below U+0250, whose classes no longer change between Unicode versions
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_RUN = re.compile(r" \s|[^\S ] ")
 _UNSETTLED = re.compile(r"[^\x00-\u024f]")
 
 
@@ -107,14 +108,7 @@ class Encoder:
 
     def _splits(self, text: str) -> bool:
         # a space next to other white space belongs to a run
-        parts = text.split(" ")
-        if "" in parts[1:]:
-            return False
-        if any(s in text for s in self.specials):
-            return False
-        if text.isascii():
-            return not any(p[0].isspace() for p in parts[1:]) and not any(p and p[-1].isspace() for p in parts[:-1])
-        return not any(p and (p[0].isspace() or p[-1].isspace()) for p in parts)
+        return not _RUN.search(text) and not any(s in text for s in self.specials)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
