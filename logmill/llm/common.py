@@ -82,3 +82,16 @@ def prefix_sums(df: DataFrame, group: Sequence[str], order: Sequence[Column], va
     summed = placed.withColumn("_inner", F.coalesce(F.sum(value).over(inner), F.lit(0)))
     joined = summed.alias("r").join(blocks.alias("b"), on)
     return joined.select("r.*", (F.col("b._before") + F.col("r._inner")).alias("before")).drop("_inner", "_part")
+
+
+def one_text_per_id(docs: DataFrame) -> DataFrame:
+    """``docs`` without the further texts of an id: of several the one of smallest hash stays.
+
+    Repeated rows stay.  Ids with several texts are the exception, so the table of them
+    is small and Spark broadcasts it; documents are not shuffled for it.
+    """
+    h = F.xxhash64("text")
+    several = docs.groupBy("doc_id").agg(F.min(h).alias("low"), F.max(h).alias("high")).where("low <> high")
+    several = keep(several.select("doc_id", "low"), "ids-of-several-texts")
+    other = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.xxhash64("d.text") != F.col("s.low"))
+    return docs.alias("d").join(several.alias("s"), other, "left_anti")

@@ -6,12 +6,14 @@ from .ann import op4_nearest_neighbours
 from .hamming import OP6_SQL, op6_hamming_top_k
 from .licenses import OP9_SQL, op9_license_scan
 from .mix import OP1_SQL, op1_mix_sources
+from .repeats import OP2_SQL, op2_repeated_passages
 from .token_files import op5_token_files
 from .toxicity import op3_toxicity
 from .warc import OP7_SQL, op7_warc
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_repeated_passages": op2_repeated_passages,
     "op3_toxicity": op3_toxicity,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_token_files": op5_token_files,
@@ -19,6 +21,6 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op9_license_scan": op9_license_scan,
 }
-ORACLES = {"op1_mix_sources": OP1_SQL, "op6_hamming_top_k": OP6_SQL, "op7_warc": OP7_SQL}
+ORACLES = {"op1_mix_sources": OP1_SQL, "op2_repeated_passages": OP2_SQL, "op6_hamming_top_k": OP6_SQL, "op7_warc": OP7_SQL}
 if OP9_SQL:
     ORACLES["op9_license_scan"] = OP9_SQL
