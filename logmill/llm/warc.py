@@ -59,7 +59,7 @@ def _body(payload: Column) -> tuple[Column, Column]:
 
 
 def write_warc(
-    pages: DataFrame, path: str, revisit_from: int = 1000, captured: str = "2026-01-01T00:00:00Z", compression: str = "none"
+    pages: DataFrame, path: str, revisit_from: int = 1000, captured: str = "2026-01-01T00:00:00Z", compression: str = "gzip"
 ) -> None:
     """Write request, response or revisit, and metadata record of every row of ``pages``.
 
@@ -67,7 +67,8 @@ def write_warc(
     ``about:blank``.  Of rows with equal payloads of at least ``revisit_from`` bytes the
     one with the largest page_id (null smallest; of equal ids any one) is the response,
     the others are revisits that refer to it.  Control characters and spaces of urls are
-    percent-coded.  No rows make an archive without records.
+    percent-coded.  No rows make an archive without records.  With ``gzip`` every file is
+    one compressed stream; ``none`` leaves large files splittable.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     uri = F.coalesce(F.regexp_replace("url", r"[\x00-\x20]", "%20"), F.lit("about:blank"))
@@ -185,13 +186,13 @@ def captures(records: DataFrame) -> DataFrame:
     answers = answers.select(
         "id", "uri", "date", "type", "refers_to", F.regexp_replace("digest", "^sha1:", "").alias("digest"),
         http.alias("http"), payload.alias("payload"),
-    )
+    ).withColumns({"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
 
     def beside(kind: str) -> DataFrame:
         rows = records.where((F.col("type") == kind) & F.col("concurrent_to").isNotNull())
         return rows.select(F.col("concurrent_to").alias("id"), F.struct("id", "date", "block").alias(kind))
 
-    response = F.struct("id", "date", "http", "payload", F.sha1("payload").alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
+    response = F.struct("id", "date", "http", "payload", "payload_digest", "payload_bytes")
     revisit = F.struct("id", "date", "http", "refers_to", F.col("digest").alias("payload_digest"), F.regexp_extract("http", r"X-Payload-Length: (\d+)", 1).cast("long").alias("payload_bytes"))
     return (
         answers.join(beside("request"), "id", "left")
