@@ -6,6 +6,7 @@ from .ann import op4_nearest_neighbours
 from .hamming import OP6_SQL, op6_hamming_top_k
 from .licenses import OP9_SQL, op9_license_scan
 from .mix import OP1_SQL, op1_mix_sources
+from .near_copies import op8_near_copies
 from .repeats import OP2_SQL, op2_repeated_passages
 from .token_files import op5_token_files
 from .toxicity import op3_toxicity
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_hamming_top_k": op6_hamming_top_k,
     "op7_warc": op7_warc,
+    "op8_near_copies": op8_near_copies,
     "op9_license_scan": op9_license_scan,
 }
 ORACLES = {"op1_mix_sources": OP1_SQL, "op2_repeated_passages": OP2_SQL, "op6_hamming_top_k": OP6_SQL, "op7_warc": OP7_SQL}
