@@ -7,6 +7,7 @@ from .hamming import OP6_SQL, op6_hamming_top_k
 from .licenses import OP9_SQL, op9_license_scan
 from .mix import OP1_SQL, op1_mix_sources
 from .near_copies import op8_near_copies
+from .pieces import op10_sentence_pieces
 from .repeats import OP2_SQL, op2_repeated_passages
 from .token_files import op5_token_files
 from .toxicity import op3_toxicity
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_near_copies": op8_near_copies,
     "op9_license_scan": op9_license_scan,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }
 ORACLES = {"op1_mix_sources": OP1_SQL, "op2_repeated_passages": OP2_SQL, "op6_hamming_top_k": OP6_SQL, "op7_warc": OP7_SQL}
 if OP9_SQL:
