@@ -23,6 +23,7 @@ from .common import table, text_slices, worker_state
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
+NO_RANK = -1e8  # lower scores mark pieces that no merge makes
 CACHED_UNITS = 400_000
 LONG_UNIT = 48
 NBEST = 4
@@ -35,7 +36,8 @@ class PieceModel:
     """Pieces, scores and byte pieces of a SentencePiece model file.
 
     A character that no piece covers is written as its UTF-8 bytes; its edge has the
-    least ordinary score minus UNKNOWN_PENALTY.  A literal ``▁`` counts as such a
+    least ordinary score minus UNKNOWN_PENALTY, as have pieces without a merge rank (runs
+    of spaces).  A literal ``▁`` counts as such a
     character, so that decoding gives it back.
     """
 
@@ -62,8 +64,9 @@ class PieceModel:
             self.text.append(shown)
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids):
             raise ValueError("pieces reach over a space or a line end")
-        ordinary = [s for s in self.scores.values() if s > -1e8]
+        ordinary = [s for s in self.scores.values() if s > NO_RANK]
         self.unknown = min(ordinary, default=0.0) - UNKNOWN_PENALTY
+        self.scores = {p: s if s > NO_RANK else self.unknown for p, s in self.scores.items()}
         self.longest = max(map(len, self.ids), default=1)
         self.high_bytes = np.zeros(len(self.text) + 1, dtype=bool)
         self.high_bytes[[i for b, i in enumerate(self.bytes) if b >= 128 and i >= 0]] = True
