@@ -93,7 +93,7 @@ def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k words from each word on (the last k - 1 places hold partial ones)."""
     n = len(hashes)
     out = np.zeros(n, dtype=np.uint64)
-    for i in range(k):
+    for i in range(min(k, n)):
         out[: n - i] = out[: n - i] * np.uint64(_BASE) + hashes[i:]
     return mix64(out)
 
@@ -116,7 +116,8 @@ def _slide(x: np.ndarray, width: int, best) -> np.ndarray:
     out, have = x.copy(), 1
     while have < width:
         step = min(have, width - have)
-        out[: len(out) - step] = best(out[: len(out) - step], out[step:])
+        reach = max(0, len(out) - step)
+        out[:reach] = best(out[:reach], out[step:])
         have += step
     return out
 

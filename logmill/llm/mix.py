@@ -20,7 +20,7 @@ def word_count(text: str = "text") -> Column:
 
 def default_quality(text: str = "text", size: str = "size") -> Column:
     """1 for texts whose words have 3 to 10 characters on average, else 1/4."""
-    mean = F.length(F.col(text)) / F.col(size)
+    mean = F.length(F.col(text)) / F.nullif(F.col(size), F.lit(0))
     return F.when(mean.between(3.0, 10.0), 1.0).otherwise(0.25)
 
 
