@@ -28,7 +28,7 @@ from .common import keep, table, text_slices, worker_state
 END_ID = 0
 # bounds of the sample that the dictionary is trained on
 TRAIN_DOCUMENTS, TRAIN_IDS, DICTIONARY_BYTES = 1000, 1000, 64 << 10
-CACHED_WORDS = 700_000
+CACHED_WORDS, CACHED_PIECES = 500_000, 800_000
 SHARD_BYTES, SHARD_DOCUMENTS = 1 << 20, 4096
 
 SHARD = pa.schema(
@@ -87,15 +87,21 @@ class Encoder:
         self.word_wise = word_wise
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.letters = dict(enumerate(_BYTE_LETTERS))
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word with its space."""
-        model, letters = self.tokenizer.model, self.letters
-        ids = array("I")
-        for piece in _PIECES.findall(word):
-            ids.extend([t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))])
-        return ids.tobytes()
+        """Ids of a word with its space; its letters, signs and line ends are pieces of their own."""
+        pieces = _PIECES.findall(word)
+        try:
+            return b"".join([self.pieces[p] for p in pieces])
+        except KeyError:
+            pass
+        for piece in pieces:
+            if piece not in self.pieces:
+                tokens = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+                self.pieces[piece] = array("I", [t.id for t in tokens]).tobytes()
+        return b"".join([self.pieces[p] for p in pieces])
 
     def _words(self, words: list[str]) -> list[bytes]:
         unsettled = [i for i, w in enumerate(words) if _UNSETTLED.search(w)]
@@ -125,6 +131,8 @@ class Encoder:
                 self.words.clear()
                 missing = {w for parts in split.values() for w in parts[1:]}
             fresh = list(missing)
+            if len(self.pieces) > CACHED_PIECES:
+                self.pieces.clear()
             for start in range(0, len(fresh), 20_000):
                 part = fresh[start : start + 20_000]
                 self.words.update(zip(part, self._words([" " + w for w in part])))
