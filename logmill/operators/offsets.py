@@ -31,21 +31,22 @@ def mark_offsets(written: DataFrame, unresolved: DataFrame, handled: DataFrame)
     ``written`` ``(batch_id, topic, partition, offset)``; ``handled`` one row per
     batch ``(batch_id, may_commit)``; ``unresolved`` the open source keys per batch.
     A batch that may be committed handles all its offsets.  Otherwise only the
-    unresolved ones stay open, or all of them if the batch lists none.
+    unresolved ones stay open, or all of them if the batch lists none or has no row in
+    ``handled`` (it has not ended).
     """
     keys = ["batch_id", *PARTITION, "offset"]
     listed = unresolved.select(*keys).distinct().withColumn("is_open", F.lit(True))
     lists_any = unresolved.select("batch_id").distinct().withColumn("lists_any", F.lit(True))
     state = handled.join(lists_any, "batch_id", "left")
     return (
-        written.join(state, "batch_id")
+        written.join(state, "batch_id", "left")
         .join(listed, keys, "left")
         .select(
             *PARTITION,
             "offset",
             F.coalesce(
                 F.col("may_commit")
-                | (F.coalesce("lists_any", F.lit(False)) & F.col("is_open").isNull()),
+                | (F.col("may_commit").isNotNull() & F.coalesce("lists_any", F.lit(False)) & F.col("is_open").isNull()),
                 F.lit(False),
             ).alias("handled"),
         )

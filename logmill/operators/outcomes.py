@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
-from ..functions.text import or_null_word
+from ..functions.text import or_null_word, sha256_hex
 
 # Statuses and error-type parts that are worth a retry.
 RETRYABLE_STATUS = (408, 429, 500, 502, 503, 504)
@@ -199,7 +199,11 @@ def dead_letter_documents(
     }
     pairs = [x for key, value in details.items() for x in (F.lit(key), value)]
     return rows.select(
-        F.concat_ws("-", F.lit("deadletter"), "topic", F.col("partition").cast("string"), F.col("offset").cast("string")).alias("id"),
+        F.concat_ws(
+            "-", F.lit("deadletter"), "topic", F.col("partition").cast("string"), F.col("offset").cast("string"),
+            # messages without an offset are told apart by their payload
+            F.when(F.col("offset") < 0, sha256_hex(F.coalesce("payload", F.lit("")))),
+        ).alias("id"),
         F.lit(cfg.dead_letter_stream).alias("data_stream"),
         now.alias("event_time"),
         F.lit(DEAD_LETTER_MESSAGE).alias("message"),

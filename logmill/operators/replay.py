@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
+from ..functions.plan import within_days
 from ..functions.text import has_text, text_or
 
 # Replay limit if none is given, and the largest one.
@@ -22,20 +23,28 @@ class ReplayRequest:
     until: datetime | str | None = None
     error_type: str | None = None
     topic: str | None = None
-    limit: int = DEFAULT_LIMIT
+    # None: no limit; 0 or less: the default
+    limit: int | None = DEFAULT_LIMIT
     dry_run: bool = True
+    # the most that a limited request may ask for
+    max_limit: int = MAX_LIMIT
+
+    def __post_init__(self) -> None:
+        if self.limit is not None and self.limit > self.max_limit:
+            raise ValueError(f"limit {self.limit} is above {self.max_limit}; use None for all rows")
 
     @property
-    def safe_limit(self) -> int:
-        return DEFAULT_LIMIT if self.limit <= 0 else min(self.limit, MAX_LIMIT)
+    def safe_limit(self) -> int | None:
+        return DEFAULT_LIMIT if self.limit is not None and self.limit <= 0 else self.limit
 
 
 def matching(dead_letters: DataFrame, request: ReplayRequest) -> DataFrame:
     """Dead letters within the time range, of the error type and topic asked for.
 
-    All conditions are on top-level columns, so they reach the storage scan.
+    All conditions are on top-level columns, so they reach the storage scan; a stored
+    table is narrowed to the days of the time range.
     """
-    rows = dead_letters
+    rows = within_days(dead_letters, request.since, request.until)
     if request.since is not None:
         rows = rows.where(F.col("event_time") >= F.lit(request.since).cast("timestamp"))
     if request.until is not None:
@@ -48,10 +57,11 @@ def matching(dead_letters: DataFrame, request: ReplayRequest) -> DataFrame:
 
 
 def select_for_replay(dead_letters: DataFrame, request: ReplayRequest) -> DataFrame:
-    """The oldest matching dead letters up to the limit of the request."""
-    return (
-        matching(dead_letters, request).orderBy("event_time", "id").limit(request.safe_limit)
-    )
+    """The oldest matching dead letters up to the limit of the request, or all of them."""
+    rows = matching(dead_letters, request)
+    if request.safe_limit is None:
+        return rows
+    return rows.orderBy("event_time", "id").limit(request.safe_limit)
 
 
 def rebuild_messages(dead_letters: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:

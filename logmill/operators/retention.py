@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ..config import PipelineConfig, RetentionRule
 
-# the pattern dimension is joined by broadcast only while it is small
-MAX_BROADCAST_PATTERNS = 10_000
-
 
 def glob_to_regex(pattern: str) -> str:
     return "^" + ".*".join(re.escape(part) for part in pattern.split("*")) + "$"
@@ -31,7 +28,7 @@ def rule_column(
     The rules are configuration of fixed size, so no join is needed per row.
     """
     result = None
-    for rule in sorted(cfg.retention_rules, key=lambda r: -r.priority):
+    for rule in sorted(cfg.retention_rules, key=lambda r: (r.priority, r.policy), reverse=True):
         hit = F.lit(False)
         for pattern in rule.patterns:
             hit = hit | _matches(stream, pattern)
@@ -53,17 +50,23 @@ def rules_table(spark, rules: tuple[RetentionRule, ...]) -> DataFrame:
 
 
 def match_rules(streams: DataFrame, rules: DataFrame) -> DataFrame:
-    """Best rule per stream name from a table of rules, however it was filled.
+    """Best rule per stream name from a table of rules, however many there are.
 
-    Distinct names are matched against the patterns, not rows.  Beyond the
-    broadcast bound the pattern side is left to the optimizer.
+    A name can only match patterns whose text before the first star begins it, so the
+    beginnings of the distinct names meet that text in an equi-join, and the few pairs
+    left are tested in full.  Of rules of equal priority the last policy name wins, as
+    in :func:`rule_column`.
     """
     names = streams.select("data_stream").distinct()
-    bounded = rules.limit(MAX_BROADCAST_PATTERNS + 1).count() <= MAX_BROADCAST_PATTERNS
-    side = F.broadcast(rules) if bounded else rules
+    heads = names.select(
+        "data_stream",
+        F.explode(F.expr("transform(sequence(0, length(data_stream)), n -> left(data_stream, n))")).alias("head"),
+    )
+    side = rules.withColumn("head", F.substring_index("pattern", "*", 1))
     best = F.struct("priority", "policy", "warm_days", "delete_days")
     return (
-        names.join(side, F.expr("data_stream RLIKE regex"))
+        heads.join(side, "head")
+        .where(F.expr("data_stream RLIKE regex"))
         .groupBy("data_stream")
         .agg(F.max(best).alias("best"))
         .select("data_stream", "best.*")

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
+from ..functions.plan import within_days
 from .merge import merge_tumbling
 
+_GAPS = r"[^\p{L}\p{N}_]+"
+
 
 def search(
     documents: DataFrame,
@@ -22,7 +25,10 @@ def search(
     keyword: Column | None = None,
     limit: int = 100,
 ) -> DataFrame:
-    """Newest matching documents; ties are broken by ingestion time and id."""
+    """Newest matching documents; ties are broken by ingestion time and id.
+
+    A stored table is narrowed to the days of the time range.
+    """
     equal = {
         "service.name": service,
         "log.level": level,
@@ -31,7 +37,7 @@ def search(
         "source.partition": partition,
         "source.offset": offset,
     }
-    rows = documents
+    rows = within_days(documents, since, until)
     if since is not None:
         rows = rows.where(F.col("event_time") >= F.lit(since).cast("timestamp"))
     if until is not None:
@@ -46,9 +52,15 @@ def search(
 
 
 def has_token(text: Column, token: str) -> Column:
-    """Whole-word match, ignoring case."""
-    words = F.split(F.lower(text), r"[^a-z0-9_]+")
-    return F.coalesce(F.array_contains(words, token.lower()), F.lit(False))
+    """Whole-word match, ignoring case; several words must stand one after the other.
+
+    Words are runs of letters and digits of any script, and underscores.
+    """
+    joined = F.regexp_replace(F.lower(text), _GAPS, " ")
+    words = F.regexp_replace(F.lower(F.lit(token)), _GAPS, " ")
+    wanted = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+    found = F.contains(F.concat(F.lit(" "), joined, F.lit(" ")), wanted)
+    return F.coalesce(found & (F.trim(words) != ""), F.lit(False))
 
 
 def keyword(token: str) -> Column:

@@ -9,11 +9,14 @@ from ..config import PipelineConfig
 from ..operators.outcomes import dead_letter_documents, processing_failures
 from ..operators.replay import ReplayRequest, rebuild_messages, replay_counts, select_for_replay
 from ..operators.retention import partition_lifecycle
-from ..session import configure, scratch_path, staged
+from ..session import configure, staged
 from ..sources.tables import (
     drop_folders,
+    new_write_id,
+    partition_writes,
     read_table,
     stream_partitions,
+    table_exists,
     write_dead_letters,
     write_routed,
 )
@@ -28,13 +31,13 @@ def write_both(
     table: str,
     dead_letters: str,
     cfg: PipelineConfig = PipelineConfig(),
-    batch_id: int | None = None,
+    write_id: str | None = None,
 ) -> None:
     """Write understood rows to their streams and the others to the dead letters."""
     valid = routed.where(F.col("failure").isNull()).drop(*_WORKING_COLUMNS)
-    write_routed(valid, table, batch_id)
+    write_routed(valid, table, write_id)
     dead = dead_letter_documents(processing_failures(routed), cfg)
-    write_dead_letters(dead, dead_letters, batch_id)
+    write_dead_letters(dead, dead_letters, write_id)
 
 
 def ingest_batch(
@@ -43,7 +46,8 @@ def ingest_batch(
     """Ingest static messages; returns one row of counts."""
     configure(messages.sparkSession)
     documents = staged(prepare(messages, cfg), "documents")
-    routed = staged(finish(merge_anchored(documents, cfg), cfg), "routed").drop("row_id")
+    routed = finish(merge_anchored(documents, cfg), cfg).drop("row_id")
+    routed = staged(routed, "routed").drop("row_id")
     write_both(routed, table, dead_letters, cfg)
     failed = F.col("failure").isNotNull()
     return routed.agg(
@@ -61,17 +65,29 @@ def replay_job(
     failed_again: str,
     request: ReplayRequest = ReplayRequest(),
     cfg: PipelineConfig = PipelineConfig(),
+    replayed: str | None = None,
 ) -> DataFrame:
-    """Send selected dead letters through the document path again; returns the counts."""
+    """Send selected dead letters through the document path again; returns the counts.
+
+    ``replayed`` is a table of the ids done so far: they are not selected again, so that
+    repeated runs with a limit work through all dead letters.  What was asked for by
+    name is not sampled again.
+    """
     configure(spark)
-    selected = select_for_replay(read_table(spark, dead_letters), request)
+    letters = read_table(spark, dead_letters)
+    if replayed is not None and table_exists(spark, replayed):
+        letters = letters.join(read_table(spark, replayed).select("id"), "id", "left_anti")
+    selected = select_for_replay(letters, request)
     if request.dry_run:
         return replay_counts(selected, selected, dry_run=True)
-    # the selection is bounded by the replay limit and used three times
+    # the selection is used several times
     selected = staged(selected, "replay").drop("row_id")
-    documents = staged(prepare(rebuild_messages(selected, cfg), cfg), "replay-documents")
-    routed = finish(merge_anchored(documents, cfg), cfg)
-    write_both(routed, table, failed_again, cfg)
+    again = cfg.with_(debug_sample_rate=1.0)
+    documents = staged(prepare(rebuild_messages(selected, again), again), "replay-documents")
+    routed = finish(merge_anchored(documents, again), again).drop("row_id")
+    write_both(routed, table, failed_again, again, new_write_id("replay"))
+    if replayed is not None:
+        selected.select("id").write.mode("append").parquet(replayed)
     return replay_counts(selected, documents, dry_run=False)
 
 
@@ -93,16 +109,15 @@ def retention_job(
 
 
 def compact_partition(spark: SparkSession, table: str, data_stream: str, dt: str) -> None:
-    """Rewrite one partition into well-filled files.
+    """Rewrite the writes of one stream and day as one write of well-filled files.
 
-    The rows pass through the shared scratch folder, so the partition is replaced
-    only after its new content is complete.
+    The folders there at the start are read, the new one is written, and only then
+    those are removed: rows that other writers add meanwhile stay, and a failure before
+    the end loses nothing.
     """
-    rows = read_table(spark, table).where(
-        (F.col("data_stream") == data_stream) & (F.col("dt") == F.lit(dt).cast("date"))
-    )
-    copy = scratch_path(spark, "compact")
-    rows.write.parquet(copy)
-    spark.read.parquet(copy).hint("rebalance").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("data_stream", "dt").parquet(table)
+    folders = partition_writes(spark, table, data_stream, dt)
+    if not folders:
+        return
+    rows = spark.read.option("basePath", table).parquet(*folders)
+    write_routed(rows.drop("dt", "write_id"), table, new_write_id("compact"))
+    drop_folders(spark, folders)

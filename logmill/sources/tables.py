@@ -2,61 +2,73 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
 
+def new_write_id(kind: str = "job") -> str:
+    """Name of one write, different from that of every other write."""
+    return f"{kind}-{uuid.uuid4().hex}"
+
+
 def write_routed(
-    documents: DataFrame, path: str, batch_id: int | None = None, max_records: int = 2_000_000
+    documents: DataFrame, path: str, write_id: str | None = None, max_records: int = 2_000_000
 ) -> None:
-    """Append documents to their stream, one folder per stream and day.
+    """Write documents to their stream, one folder per stream, day and write.
 
+    Every writer uses these folders, so streams, jobs, replays and compaction share a
+    table.  A write replaces only what the same ``write_id`` wrote before: repeating a
+    micro-batch duplicates nothing, and no writer touches rows of another one.
     ``rebalance`` lets adaptive execution split the folder of a busy stream over
-    several tasks and pack small ones together, so neither skew nor tiny files
-    build up.  With a ``batch_id`` a repeated write of the same batch replaces the
-    first one instead of duplicating it.
+    several tasks and pack small ones together, so neither skew nor tiny files build up.
     """
     keys = ["data_stream", "dt"]
     rows = documents.withColumn("dt", F.to_date("event_time"))
-    if batch_id is not None:
-        rows = rows.withColumn("batch_id", F.lit(batch_id))
-    folders = keys if batch_id is None else [*keys, "batch_id"]
-    writer = rows.hint("rebalance", *keys).write.option("maxRecordsPerFile", max_records)
-    if batch_id is None:
-        writer.mode("append").partitionBy(*folders).parquet(path)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *folders
-        ).parquet(path)
-
-
-def write_dead_letters(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append dead-letter documents, one folder per day."""
-    dated = rows.withColumn("dt", F.to_date("event_time"))
-    if batch_id is None:
-        dated.write.mode("append").partitionBy("dt").parquet(path)
-    else:
-        dated.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("dt", "batch_id").parquet(path)
+    _replace(rows.hint("rebalance", *keys), path, keys, write_id, max_records)
+
+
+def write_dead_letters(rows: DataFrame, path: str, write_id: str | None = None) -> None:
+    """Write dead-letter documents, one folder per day and write."""
+    _replace(rows.withColumn("dt", F.to_date("event_time")), path, ["dt"], write_id)
+
+
+def _replace(
+    rows: DataFrame, path: str, keys: list[str], write_id: str | None, max_records: int = 2_000_000
+) -> None:
+    named = rows.withColumn("write_id", F.lit(write_id or new_write_id()))
+    (
+        named.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", max_records)
+        .partitionBy(*keys, "write_id")
+        .parquet(path)
+    )
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def latest_per_id(rows: DataFrame, id_column: str = "id", order: str = "ingested_at") -> DataFrame:
+def latest_per_id(
+    rows: DataFrame, id_column: str = "id", order: str = "ingested_at", ties: tuple[str, ...] | None = None
+) -> DataFrame:
     """The row written last per id, as a keyed store would hold it.
 
     An aggregation rather than a ranking: copies of one id are combined before
-    the shuffle, however many there are.
+    the shuffle, however many there are.  Rows of equal ``order`` are told apart by the
+    columns ``ties`` (the topic partition and offset of ``source``, where rows have it).
     """
+    if ties is None:
+        ties = ("source.topic", "source.partition", "source.offset") if "source" in rows.columns else ()
     others = [c for c in rows.columns if c != id_column]
+    place = F.struct(F.col(order).alias("o"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(ties)])
     return (
         rows.groupBy(id_column)
-        .agg(F.max_by(F.struct(*others), F.col(order)).alias("_last"))
+        .agg(F.max_by(F.struct(*others), place).alias("_last"))
         .select(id_column, "_last.*")
     )
 
@@ -67,7 +79,7 @@ def upsert_by_day(
     """Keyed write: rows replace stored rows of the same id within their day partition."""
     fresh = rows.withColumn("dt", F.to_date("event_time"))
     target = fresh
-    if _exists(spark, path):
+    if table_exists(spark, path):
         days = fresh.select("dt").distinct()
         stored = spark.read.parquet(path).join(days, "dt", "left_semi")
         target = stored.unionByName(fresh)
@@ -84,11 +96,18 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     fs, target = _file_system(spark, path)
     return fs.exists(target)
 
 
+def partition_writes(spark: SparkSession, path: str, data_stream: str, dt: str) -> list[str]:
+    """Folders of the writes of one stream and day."""
+    fs, _ = _file_system(spark, path)
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/data_stream={data_stream}/dt={dt}/write_id=*")
+    return sorted(str(status.getPath()) for status in fs.globStatus(glob) or [])
+
+
 def stream_partitions(spark: SparkSession, path: str) -> DataFrame:
     """``(data_stream, dt, folder)`` of a routed table, from folder names alone."""
     fs, _ = _file_system(spark, path)

@@ -33,14 +33,17 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start writing a message stream to the routed table and the dead letters.
 
-    A micro-batch that is repeated after a failure overwrites what its first
-    attempt wrote, so rows are neither lost nor duplicated.
+    A micro-batch that is repeated after a failure replaces what its first attempt
+    wrote, so rows are neither lost nor duplicated.  The write is named after the
+    query, whose id belongs to its checkpoint, and the batch: another stream, or the
+    same one from a new checkpoint, never replaces these rows.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
-            write_both(rows, table, dead_letters, cfg, batch_id)
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            write_both(rows, table, dead_letters, cfg, f"stream-{query}-{batch_id}")
         finally:
             rows.unpersist()
 

@@ -11,21 +11,21 @@ msgs AS (
       WHEN 0 THEN 'plain line ' || event_id
       WHEN 1 THEN '{"resourceLogs":[{"resource":{"attributes":[{"key":"service.name","value":{"stringValue":"svc-' || event_type
         || '"}},{"key":"region","value":{"stringValue":"r' || (user_id % 3) || '"}}]},"scopeLogs":[{"logRecords":[]},{"logRecords":[{"timeUnixNano":"'
-        || (epoch_us(ts) * 1000) || '","severityText":"ERROR","body":{"stringValue":"' || event_type || ' failed orderId=' || event_id
+        || (epoch_us(ts) * 1000) || '","severityText":"ERROR","body":{"stringValue":"' || event_type || ' broke off at cart ' || event_id
         || '"},"attributes":[{"key":"error.type","value":{"stringValue":"E' || (user_id % 2) || '"}},{"key":"n","value":{"intValue":"' || event_id
         || '"}}]},{"body":{"stringValue":"second ' || event_id || '"}}]}]}]}'
       WHEN 2 THEN '{"timestamp":' || (epoch_us(ts) // 1000) || ',"level":"DEBUG","service":"svc ' || event_type || '","msg":"' || event_type
-        || ' failed orderId=' || event_id || '","severityNumber":' || (event_id % 24) || '}'
+        || ' broke off at cart ' || event_id || '","severityNumber":' || (event_id % 24) || '}'
       WHEN 3 THEN ''
       WHEN 4 THEN '{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '","severity":"INFO","serviceName":"gw","body":"access","attributes":{"url.path":"'
         || (CASE WHEN event_id % 20 = 4 THEN '/health' ELSE '/p/' || (event_id % 7) END) || '","tenant.id":"t' || (user_id % 3)
         || '","userPassword":"pw' || user_id || '"}}'
       WHEN 5 THEN '{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '","severityText":"INFO","serviceName":"svc-' || event_type || '","body":"' || event_type
-        || ' failed orderId=' || event_id || '","traceId":"tr' || user_id || '","region":"home","exception":{"type":"X' || (user_id % 4) || '","message":"m '
+        || ' broke off at cart ' || event_id || '","traceId":"tr' || user_id || '","region":"home","exception":{"type":"X' || (user_id % 4) || '","message":"m '
         || event_id || '","stacktrace":"at line ' || event_id || '"},"attributes":{"tenant.id":"t' || (user_id % 3) || '"}}'
       WHEN 6 THEN '{"timestamp":"not a time ' || event_id || '","serviceName":"svc-' || event_type || '","body":"late"}'
       ELSE '{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '","severityText":"' || (CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END)
-        || '","serviceName":"svc-' || event_type || '","body":"' || event_type || ' failed orderId=' || event_id || '","traceId":"tr' || user_id
+        || '","serviceName":"svc-' || event_type || '","body":"' || event_type || ' broke off at cart ' || event_id || '","traceId":"tr' || user_id
         || '","attributes":{"tenant.id":"t' || (user_id % 3) || '","userPassword":"pw' || user_id || '"}}'
     END AS value
   FROM events)
@@ -357,6 +357,9 @@ ORACLES: dict[str, str] = {
       SELECT id, data_stream, 'event' AS kind, NULL::VARCHAR AS failure FROM placed WHERE action = 'raw'
       UNION ALL SELECT 'aggregate-' || hash || '-' || (window_us // 1000), 'logs-aggregate-metrics-' || namespace, 'metric', NULL FROM placed WHERE action = 'aggregate'
       UNION ALL SELECT id, data_stream, 'event', failure FROM routed WHERE failure IS NOT NULL"""),
+    "shared_table": _docs("""
+      SELECT data_stream, make_timestamp(event_us)::DATE::VARCHAR AS day, count(*) AS n FROM kept
+      WHERE off % 4 <> 3 OR trim(value) <> '' GROUP BY 1, 2"""),
     "stream_tumbling": _docs(
         "SELECT hash, event_us // 21600000000 * 21600000000 AS window_us, count(*) AS occurrence_count FROM kept GROUP BY 1, 2"
     ),

@@ -22,11 +22,11 @@ from ..operators import retention as RT
 from ..operators import search as S
 from ..operators.fingerprint import fingerprint
 from ..plans.ingest import dry_run, finish, prepare
-from ..plans.jobs import write_both
+from ..plans.jobs import compact_partition, ingest_batch, replay_job, write_both
 from ..session import configure, scratch_path, spread, staged
 from ..sources.messages import ad_hoc, file_stream
 from ..sources.tables import latest_per_id, read_table, upsert_by_day
-from ..streaming.ingest import routed_stream, tumbling_counts
+from ..streaming.ingest import routed_stream, start_ingest, tumbling_counts
 from . import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -675,7 +675,7 @@ def routed_write(spark, sf_dir):
     """Write documents and dead letters as a batch job does and read both back."""
     routed = FI.validate(stored(spark, sf_dir).drop("row_id"))
     table, dead = scratch_path(spark, "routed"), scratch_path(spark, "dead")
-    write_both(routed, table, dead, MERGE_CFG, batch_id=7)
+    write_both(routed, table, dead, MERGE_CFG, "job-7")
     rows = read_table(spark, table).groupBy("data_stream").agg(F.count("*").alias("n"))
     open_rows = read_table(spark, dead).groupBy("data_stream").agg(F.count("*").alias("n"))
     return rows.unionByName(open_rows)
@@ -782,6 +782,31 @@ def stream_ingest(spark, sf_dir):
     return _drained(rows.select("id", "data_stream", F.col("event.kind").alias("kind"), "failure"), "append")
 
 
+@query
+def shared_table(spark, sf_dir):
+    """Two streams with checkpoints of their own, a job, a replay and a compaction on one table."""
+    cfg = MERGE_CFG.with_(merge_enabled=False)
+    table, dead = scratch_path(spark, "shared"), scratch_path(spark, "dead")
+    log, turn = X.messages(spark, sf_dir), F.col("offset") % 4
+    for part in (0, 1):
+        folder, state = scratch_path(spark, "log"), scratch_path(spark, "state")
+        log.where(turn == part).repartition(2).write.parquet(folder)
+        source = file_stream(spark, folder, max_files=1)
+        start_ingest(source, table, dead, state, cfg, {"availableNow": True}).awaitTermination()
+    ingest_batch(log.where(turn == 2), table, dead, cfg)
+    letters, again, done = (scratch_path(spark, n) for n in ("letters", "again", "done"))
+    log.where(turn == 3).select(
+        F.concat(F.lit("lost-"), "offset").alias("id"), F.col("timestamp").alias("event_time"), "topic",
+        F.col("key").alias("message_key"), F.col("value").alias("payload"), F.lit("lost").alias("error_type"),
+    ).write.parquet(letters)
+    request = R.ReplayRequest(limit=None, dry_run=False)
+    for _ in range(2):  # the second run finds nothing left
+        replay_job(spark, letters, table, again, request, cfg, done)
+    busy = read_table(spark, table).groupBy("data_stream", "dt").count().orderBy(F.desc("count"), "data_stream", "dt").first()
+    compact_partition(spark, table, busy.data_stream, str(busy.dt))
+    return read_table(spark, table).groupBy("data_stream", F.col("dt").cast("string").alias("day")).agg(F.count("*").alias("n"))
+
+
 @query
 def stream_tumbling(spark, sf_dir):
     rows = tumbling_counts(_message_stream(spark, sf_dir), MERGE_CFG)

@@ -90,7 +90,7 @@ def test_batch_job_replay_and_retention(spark, messages_of, tmp_path):
 def test_repeated_batch_write_replaces(spark, messages_of, tmp_path):
     rows = prepare(messages_of(["a", "b"]), CFG)
     for batch in (3, 3, 4):
-        write_routed(rows, str(tmp_path / "t"), batch)
+        write_routed(rows, str(tmp_path / "t"), f"stream-{batch}")
     assert read_table(spark, str(tmp_path / "t")).count() == 4
 
 

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from logmill import PipelineConfig
@@ -90,7 +91,9 @@ def test_dead_letters_and_replay(spark):
     pick = lambda **kw: [r.offset for r in replay.select_for_replay(letters, replay.ReplayRequest(**kw)).collect()]
     assert pick() == [1, 2] and pick(limit=1) == [1] and pick(error_type="other") == []
     assert pick(since=at(3), topic="t") == [2] and pick(until=at(2)) == [1] and pick(topic=" ") == [1, 2]
-    assert replay.ReplayRequest(limit=0).safe_limit == 100 and replay.ReplayRequest(limit=9_999).safe_limit == 5_000
+    assert replay.ReplayRequest(limit=0).safe_limit == 100 and replay.ReplayRequest(limit=None).safe_limit is None
+    with pytest.raises(ValueError):
+        replay.ReplayRequest(limit=9_999)
     assert values(replay.rebuild_messages(letters), "value", "offset") == [("new", -1)]
     processed = spark.createDataFrame([(None,)], "failure string")
     assert tuple(replay.replay_counts(letters, processed, False).first()) == (2, 1, 0, 1)
@@ -117,6 +120,8 @@ def test_offset_marks(spark):
     )
     unresolved = written.where("offset = 21")
     handled = spark.createDataFrame([(1, True), (2, False), (3, False)], "batch_id int, may_commit boolean")
+    unfinished = offsets.mark_offsets(written, unresolved, handled.where("batch_id <> 2"))
+    assert values(unfinished.where("offset IN (20, 21)"), "handled") == [(False,), (False,)]
     rows = offsets.mark_offsets(written, unresolved, handled)
     assert values(rows, "offset", "handled") == [(10, True), (11, True), (20, True), (21, False), (30, False), (31, False)]
 
