@@ -68,10 +68,10 @@ class PipelineConfig:
     debug_suffix: str = "debug"
     audit_dataset: str = "audit"
     aggregate_dataset: str = "aggregate-metrics"
-    # payload limits, in characters
-    max_message_length: int = 16_384
+    # payload limits, in characters; None: no limit
+    max_message_length: int | None = 16_384
     include_raw_payload: bool = True
-    max_raw_payload_length: int = 65_536
+    max_raw_payload_length: int | None = 65_536
     # filter and redaction
     drop_health_checks: bool = True
     health_paths: tuple[str, ...] = ("/health", "/actuator/health")
@@ -98,7 +98,8 @@ class PipelineConfig:
             raise ValueError("merge_threshold must be at least 1")
         if self.merge_window_millis < 1:
             raise ValueError("merge_window_millis must be at least 1")
-        if self.max_message_length < 1 or self.max_raw_payload_length < 0:
+        shortest = 1 if self.max_message_length is None else self.max_message_length
+        if shortest < 1 or (self.max_raw_payload_length or 0) < 0:
             raise ValueError("payload limits must be positive")
         if self.otlp_records not in ("first", "all"):
             raise ValueError("otlp_records must be 'first' or 'all'")

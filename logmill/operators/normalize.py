@@ -227,11 +227,14 @@ def _arrival(messages: DataFrame) -> Column:
     return F.current_timestamp()
 
 
-def large_message(message: Column, limit: int) -> dict[str, Column]:
-    """Message cut to ``limit`` characters plus what was lost; the digest covers the full text."""
+def large_message(message: Column, limit: int | None) -> dict[str, Column]:
+    """Message cut to ``limit`` characters plus what was lost; the digest covers the full text.
+
+    ``None`` cuts nothing.
+    """
     length = F.char_length(message)
-    cut = length > limit
-    head = F.substring(message, 1, limit)
+    cut = F.lit(False) if limit is None else length > limit
+    head = message if limit is None else F.substring(message, 1, limit)
     return {
         "message": F.when(cut, head).otherwise(message),
         "truncated": cut,
@@ -245,9 +248,24 @@ def large_message(message: Column, limit: int) -> dict[str, Column]:
 def raw_payload(value: Column, cfg: PipelineConfig) -> Column:
     if not cfg.include_raw_payload:
         return F.lit(None).cast("string")
+    if cfg.max_raw_payload_length is None:
+        return value
     return F.when(F.char_length(value) <= cfg.max_raw_payload_length, value)
 
 
+def long_payloads(messages: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """(id, payload) of the messages too long for a limit, whole: a side table of the documents.
+
+    The documents keep the digest and the beginning; joined by id this table gives back
+    what the limits cut.  One map-side pass; without limits it is empty.
+    """
+    limits = [n for n in (cfg.max_message_length, cfg.max_raw_payload_length) if n is not None]
+    length = F.char_length("value")
+    long = F.lit(False) if not limits else length > min(limits)
+    key = _document_id(F.col("topic"), F.col("partition"), F.col("offset"), F.col("value"))
+    return messages.where(long).select(key.alias("id"), F.col("value").alias("payload"))
+
+
 def normalize(messages: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Messages ``(topic, partition, offset, key, value, timestamp)`` to documents.
 

@@ -230,6 +230,9 @@ ORACLES: dict[str, str] = {
       SELECT doc_id, sha256(text) AS full_hash, sha256(substring(text, 1, 2000)) AS kept_hash, length(text) > 2000 AS truncated, length(text)::BIGINT AS original_length,
         CASE WHEN length(text) > 2000 THEN 2000::BIGINT END AS preview_length, CASE WHEN length(text) > 2000 THEN sha256(text) END AS message_hash,
         CASE WHEN length(text) > 2000 THEN 'truncate-message' ELSE 'normal' END AS policy FROM documents""",
+    "long_messages": """
+      SELECT 'texts-0-' || doc_id AS id, sha256(text) AS text_hash, length(text) > 1000 AS truncated, sha256(text) AS whole_hash, sha256(text) AS raw_hash
+      FROM documents""",
     "raw_payload": "SELECT doc_id, CASE WHEN length(text) <= 3000 THEN sha256(text) END AS payload_hash FROM documents",
     "document_id": f"""WITH {MSGS} SELECT CASE WHEN off >= 100 THEN topic || '-' || part || '-' || (off - 100) ELSE topic || '-' || sha256(value) END AS id,
         off - 100 AS "offset" FROM msgs""",

@@ -209,6 +209,22 @@ def raw_payload(spark, sf_dir):
     return texts.select("doc_id", F.sha2(kept, 256).alias("payload_hash"))
 
 
+@query
+def long_messages(spark, sf_dir):
+    """What the limits cut off long texts, given back by the side table; and without limits."""
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.lit("texts").alias("topic"), F.lit(0).alias("partition"), F.col("doc_id").alias("offset"),
+        F.lit(None).cast("string").alias("key"), F.col("text").alias("value"), F.lit("2026-01-01").cast("timestamp").alias("timestamp"),
+    )
+    short = KEEP_ALL.with_(max_message_length=1_000, max_raw_payload_length=2_000)
+    cut = N.normalize(texts, short).select("id", "message", "ingest")
+    joined = cut.join(N.long_payloads(texts, short), "id", "left")
+    whole = N.normalize(texts, KEEP_ALL.with_(max_message_length=None, max_raw_payload_length=None))
+    return joined.select("id", F.sha2(F.coalesce("payload", "message"), 256).alias("text_hash"), F.col("ingest.truncated").alias("truncated")).join(
+        whole.select("id", F.sha2("message", 256).alias("whole_hash"), F.sha2("ingest.raw_payload", 256).alias("raw_hash")), "id"
+    )
+
+
 @query
 def document_id(spark, sf_dir):
     half = F.col("offset") - 100

@@ -12,16 +12,16 @@ from logmill.operators.normalize import (
 )
 
 FLAT = {
-    "timestamp": "2026-05-25T00:00:00Z",
+    "host.name": "rack-7",
+    "body": "shelf restocked",
+    "resource": {"attributes": {"region": "north", "service.version": "3.9"}},
+    "logger": "stock.Shelf",
+    "serviceName": "warehouse",
+    "attributes": {"list": {"arrayValue": {"values": [{"intValue": "1"}, {"stringValue": "x"}]}}, "tenant.id": "acme"},
+    "spanId": "span-5",
+    "traceId": "trace-4",
     "severityText": "INFO",
-    "traceId": "tr",
-    "spanId": "sp",
-    "serviceName": "order",
-    "body": "hello",
-    "logger": "a.B",
-    "attributes": {"tenant.id": "t1", "list": {"arrayValue": {"values": [{"intValue": "1"}, {"stringValue": "x"}]}}},
-    "resource": {"attributes": {"service.version": "1.2", "region": "eu"}},
-    "host.name": "h1",
+    "timestamp": "2025-11-03T07:15:30Z",
 }
 OTLP = {
     "resourceLogs": [
@@ -49,7 +49,7 @@ OTLP = {
     ]
 }
 CASES = [
-    (json.dumps(FLAT), {"message": "hello", "event_time": datetime(2026, 5, 25), "failure": None}),
+    (json.dumps(FLAT), {"message": "shelf restocked", "event_time": datetime(2025, 11, 3, 7, 15, 30), "failure": None}),
     (json.dumps(OTLP), {"message": '{"a":[true]}', "event_time": datetime(2026, 5, 25, 0, 0, 0, 1), "failure": None}),
     ("plain text", {"message": "plain text", "event_time": datetime(2026, 1, 1, 0, 0, 2)}),
     ("   ", {"message": ""}),
@@ -99,10 +99,10 @@ def test_case(rows, index):
 def test_flat_json_fields(rows):
     row = rows[0]
     assert row.id == "t-0-0"
-    assert (row.log.level, row.log.logger) == ("INFO", "a.B")
-    assert (row.service.version, row.service.environment) == ("1.2", "prod")
-    assert (row.trace.id, row.span.id, row.tenant.id) == ("tr", "sp", "t1")
-    assert row.labels == {"region": "eu", "host.name": "h1"}
+    assert (row.log.level, row.log.logger) == ("INFO", "stock.Shelf")
+    assert (row.service.version, row.service.environment) == ("3.9", "prod")
+    assert (row.trace.id, row.span.id, row.tenant.id) == ("trace-4", "span-5", "acme")
+    assert row.labels == {"region": "north", "host.name": "rack-7"}
     assert row.attributes["list"] == '["1","x"]'
     assert row.ingest.policy == "normal" and row.ingest.raw_payload == CASES[0][0]
 
@@ -141,8 +141,8 @@ def test_hash_id_without_offset(messages_of):
 def test_flat_form(messages_of):
     payloads = [json.dumps(FLAT | {"severityNumber": "9"}), '{"severity_number": "high"}', '{"severity_number": 3.7}']
     rows = {r.offset: r for r in normalize_flat(messages_of(payloads)).collect()}
-    assert rows[0].bucket == "logs-flat-2026.05.25" and rows[0].severity_number == 9
-    assert rows[0].resource["service.version"] == "1.2"
+    assert rows[0].bucket == "logs-flat-2025.11.03" and rows[0].severity_number == 9
+    assert rows[0].resource["service.version"] == "3.9"
     assert rows[1].failure == "severity_number_unparseable"
     assert rows[2].severity_number == 3 and rows[2].failure is None
 
