@@ -152,4 +152,34 @@ def op9_license_scan(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-OP9_SQL = None
+def _values(phrases: Mapping[str, str], statements: Mapping[str, str]) -> str:
+    rows = [f"('{t}', '{label}', true)" for t, label in phrases.items()]
+    rows += [f"('{t}', '{label}', false)" for t, label in statements.items()]
+    return ", ".join(rows)
+
+
+OP9_SQL = rf"""
+WITH templates(template, label, exact) AS (VALUES {_values(PHRASES, STATEMENTS)}),
+places AS (
+  SELECT template, label, exact, len(w) - 1 AS pairs, i AS t_pos, w[i + 1] || ' ' || w[i + 2] AS gram
+  FROM (SELECT *, string_split(template, ' ') AS w FROM templates), unnest(range(0, len(w) - 1)) AS r(i)),
+read AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{GAPS}'), lambda x: x <> '') AS w
+  FROM documents),
+pairs AS (SELECT doc_id, i AS word, w[i + 1] || ' ' || w[i + 2] AS gram FROM read, unnest(range(0, len(w) - 1)) AS r(i)),
+votes AS (SELECT DISTINCT doc_id, template, label, exact, pairs, t_pos, word - t_pos AS diagonal FROM pairs JOIN places USING (gram)),
+diagonals AS (
+  SELECT *, CASE WHEN exact OR last IS NULL OR diagonal - last > 3 THEN 1 ELSE 0 END AS opens
+  FROM (SELECT *, lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS last
+        FROM (SELECT DISTINCT doc_id, template, exact, diagonal FROM votes))),
+bands AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS band FROM diagonals),
+spans AS (
+  SELECT doc_id, template, label, v.exact, band, min(diagonal) + min(t_pos) AS start, count(DISTINCT t_pos) / any_value(pairs) AS share
+  FROM votes v JOIN bands USING (doc_id, template, diagonal) GROUP BY ALL),
+kept AS (SELECT * FROM spans WHERE share >= CASE WHEN exact THEN 1 ELSE 0.75 END)
+SELECT doc_id, len(w)::BIGINT AS n_words, count(start) FILTER (WHERE exact) AS n_base,
+  (min(start) FILTER (WHERE exact))::BIGINT AS first_word, (max(start) FILTER (WHERE exact))::BIGINT AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0)::DOUBLE AS score
+FROM read LEFT JOIN kept USING (doc_id) GROUP BY doc_id, w
+"""

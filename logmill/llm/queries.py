@@ -25,6 +25,10 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_sentence_pieces": op10_sentence_pieces,
 }
-ORACLES = {"op1_mix_sources": OP1_SQL, "op2_repeated_passages": OP2_SQL, "op6_hamming_top_k": OP6_SQL, "op7_warc": OP7_SQL}
-if OP9_SQL:
-    ORACLES["op9_license_scan"] = OP9_SQL
+ORACLES = {
+    "op1_mix_sources": OP1_SQL,
+    "op2_repeated_passages": OP2_SQL,
+    "op6_hamming_top_k": OP6_SQL,
+    "op7_warc": OP7_SQL,
+    "op9_license_scan": OP9_SQL,
+}
