@@ -168,13 +168,8 @@ def star_pairs(entries: DataFrame) -> DataFrame:
     return entries.join(hubs.select("bucket", "hub"), "bucket").where("doc <> hub")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (doc, hub) ``pairs`` whose texts align.
-
-    The words of a hub meet the words of its documents in groups of about PAIR_GROUP
-    documents, so a hub of very many documents spans many groups.
-    """
-    pairs = keep(pairs.select("doc", "hub").distinct(), "pairs")
+def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(doc, words): the word hashes of the documents that the pairs name."""
     involved = pairs.select("doc").union(pairs.select("hub")).distinct()
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,12 +179,22 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 lists = [w.hashes[a:b].tobytes() for a, b in zip(w.first[:-1], w.first[1:])]
                 yield pa.record_batch([part.column("doc"), pa.array(lists, pa.binary())], names=["doc", "words"])
 
-    needed = texts.join(involved, "doc").select("text", "doc").mapInArrow(words, "doc bigint, words binary")
-    needed = keep(needed, "words")
+    # as many documents as there are near copies: planned as a shuffle at every size
+    needed = texts.join(involved.hint("merge"), "doc").select("text", "doc")
+    return keep(needed.mapInArrow(words, "doc bigint, words binary"), "words")
+
+
+def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """The (doc, hub) ``pairs`` whose texts align.
+
+    The words of a hub meet the words of its documents in groups of about PAIR_GROUP
+    documents, so a hub of very many documents spans many groups.
+    """
+    pairs = keep(pairs.select("doc", "hub").distinct(), "pairs")
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PAIR_GROUP).alias("groups"))
     placed = keep(pairs.join(sizes, "hub").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("groups"))), "placed-pairs")
-    members = placed.join(needed, "doc").select("hub", "part", "doc", "words")
-    hubs = placed.select("hub", "part").distinct().join(needed.withColumnRenamed("doc", "hub"), "hub").select("hub", "part", "words")
+    members = placed.join(words, "doc").select("hub", "part", "doc", "words")
+    hubs = placed.select("hub", "part").distinct().join(words.withColumnRenamed("doc", "hub"), "hub").select("hub", "part", "words")
     members, hubs = members.toDF("hub", "part", "doc", "words"), hubs.toDF("hub", "part", "words")
     schema = pa.schema([("doc", pa.int64()), ("hub", pa.int64())])
 
@@ -238,7 +243,8 @@ def classes(
     sketch = keep(sketch.join(members.where("doc = first").select("doc"), "doc"), "sketches")
     entries = sketch.select("doc", F.posexplode("keys").alias("j", "key"))
     level1 = keep(star_pairs(entries.select("doc", "j", F.xxhash64("j", "key").alias("bucket"))).select("bucket", "j", "doc", "hub"), "level-1")
-    links = keep(verified(level1, texts, threshold), "links-1")
+    words = words_of(texts, level1)
+    links = keep(verified(level1, words, threshold), "links-1")
     roots = components(links.select(F.col("doc").alias("a"), F.col("hub").alias("b")))
 
     def rooted(frame: DataFrame) -> DataFrame:
@@ -252,7 +258,7 @@ def classes(
     turns = F.array(*[F.xxhash64("bucket", F.lit(t), F.element_at("keys", ((F.col("j") + t) % F.size("keys") + 1).cast("int"))) for t in (1, 2, 3)])
     finer = open_.select("doc", F.explode(turns).alias("bucket"))
     level2 = rooted(star_pairs(finer.distinct()).select("doc", "hub"))
-    more = keep(verified(level2, texts, threshold), "links-2")
+    more = keep(verified(level2, words, threshold), "links-2")
     roots = components(links.union(more).select(F.col("doc").alias("a"), F.col("hub").alias("b")))
     texts_of = members.join(roots.select(F.col("node").alias("first"), "root"), "first", "left")
     of_doc = texts_of.select("doc", F.coalesce("root", "first").alias("class"))
@@ -274,11 +280,10 @@ def without_near_copies(docs: DataFrame, **options) -> DataFrame:
     # rows that stand several times: few, so only they are shuffled
     again = docs.groupBy("doc_id", F.xxhash64("text").alias("h")).count().where("count > 1 AND doc_id IS NOT NULL")
     again = keep(again.select("doc_id", "h"), "repeated-rows")
-    left = docs.join(gone, "doc_id", "left_anti")
-    same = (F.col("l.doc_id") == F.col("a.doc_id")) & (F.xxhash64("l.text") == F.col("a.h"))
-    once = left.alias("l").join(again.alias("a"), same, "left_semi")
-    single = left.alias("l").join(again.alias("a"), same, "left_anti")
-    return single.unionByName(once.dropDuplicates(["doc_id", "text"]))
+    same = (F.col("d.doc_id") == F.col("a.doc_id")) & (F.xxhash64("d.text") == F.col("a.h"))
+    once = docs.alias("d").join(again.alias("a"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    single = docs.alias("d").join(again.alias("a"), same, "left_anti")
+    return single.join(gone.hint("merge"), "doc_id", "left_anti").unionByName(once.join(gone, "doc_id", "left_anti"))
 
 
 def op8_near_copies(spark, sf_dir):

@@ -92,7 +92,7 @@ def extended(docs: DataFrame, shared: DataFrame, min_words: int, prefix: int) ->
     whose minimiser the suffix is are all that need looking at.
     """
     heads = shared.groupBy("doc").agg(F.collect_set("head").alias("heads"))
-    joined = docs.select("text", "doc").join(heads, "doc").select("text", "doc", "heads")
+    joined = docs.select("text", "doc").join(heads.hint("merge"), "doc").select("text", "doc", "heads")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,7 +196,7 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     @F.pandas_udf("string")
     def remaining(texts: pd.Series, cuts: pd.Series) -> pd.Series:
-        return pd.Series([_without(t, c) for t, c in zip(texts, cuts)], dtype=object)
+        return pd.Series([None if c is None else _without(t, c) for t, c in zip(texts, cuts)], dtype=object)
 
     cuts = repeated_spans(docs, min_words).where(F.size("cuts") > 0)
     h = F.xxhash64("text")
@@ -208,13 +208,20 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .join(cuts.alias("c"), cut_ids).select("d.doc_id", "d.h", "c.cuts").dropDuplicates(["doc_id", "h"]),
         "cuts-by-text",
     )
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text").alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.xxhash64("d.text") == F.col("c.h"))
-    joined = rows.join(chosen.alias("c"), on, "left").select("d.doc", "d.text", "c.cuts")
-    same = joined.where("cuts IS NULL").select("doc.*")
-    less = joined.where("cuts IS NOT NULL").withColumn("text", remaining("text", "cuts")).where(F.trim("text") != "")
-    kept = {c: F.col("text") if c == "text" else F.length("text").cast(docs.schema[c].dataType) if c == "n_chars" else F.col(f"doc.`{c}`") for c in docs.columns}
-    return same.unionByName(less.select(*[v.alias(c) for c, v in kept.items()]))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", h.alias("h")).alias("d")
+    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.h") == F.col("c.h"))
+    joined = rows.join(chosen.alias("c").hint("merge"), on, "left").select("d.doc", "c.cuts")
+    # only texts that lose something go to Python
+    lost = F.col("cuts").isNotNull()
+    left = joined.withColumn("left", remaining(F.when(lost, F.col("doc.text")), F.col("cuts")))
+    left = left.where(~lost | (F.trim("left") != ""))
+    changed = {"text": F.col("left"), "n_chars": F.length("left")}
+    return left.select(
+        *[
+            (F.when(lost, changed[c].cast(docs.schema[c].dataType)).otherwise(F.col(f"doc.`{c}`")) if c in changed else F.col(f"doc.`{c}`")).alias(c)
+            for c in docs.columns
+        ]
+    )
 
 
 def op2_repeated_passages(spark, sf_dir):
