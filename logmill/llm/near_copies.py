@@ -165,7 +165,9 @@ def star_pairs(entries: DataFrame) -> DataFrame:
     As many pairs as members: a bucket of any size is summed up before the shuffle.
     """
     hubs = entries.groupBy("bucket").agg(F.min("doc").alias("hub"), F.max("doc").alias("_last")).where("hub <> _last")
-    return entries.join(hubs.select("bucket", "hub"), "bucket").where("doc <> hub")
+    # a table of its own: Spark splits a skewed join only where no aggregation shares its stage
+    hubs = keep(hubs.select("bucket", "hub"), "hubs")
+    return entries.join(hubs, "bucket").where("doc <> hub")
 
 
 def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -263,7 +265,7 @@ def classes(
     texts_of = members.join(roots.select(F.col("node").alias("first"), "root"), "first", "left")
     of_doc = texts_of.select("doc", F.coalesce("root", "first").alias("class"))
     found = keep(part.join(of_doc, "doc").select("doc", "class"), "classes")
-    sizes = found.groupBy("class").agg(F.count("*").alias("class_size"))
+    sizes = keep(found.groupBy("class").agg(F.count("*").alias("class_size")), "class-sizes")
     sized = found.join(sizes, "class").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), F.nullif("class", F.lit(_LAST)).alias("class_id"), "class_size")
     others = rows.alias("r").join(low.alias("l"), (F.col("r.doc") == F.col("l.doc")) & (F.col("r.h") != F.col("l.h")))
     others = others.select(F.nullif("r.doc", F.lit(_LAST)).alias("doc_id"), F.nullif("r.doc", F.lit(_LAST)).alias("class_id"), F.lit(1).cast("long").alias("class_size"))

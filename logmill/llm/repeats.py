@@ -141,7 +141,8 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, prefix: int = PR
     shared = keep(shared_heads(suffixes), "shared-suffixes")
     windows = keep(extended(texts, shared, min_words, prefix), "windows")
     firsts = windows.groupBy("passage").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
-    firsts = firsts.where("first_doc <> last_doc").select("passage", "first_doc")
+    # a table of its own: Spark splits a skewed join only where no aggregation shares its stage
+    firsts = keep(firsts.where("first_doc <> last_doc").select("passage", "first_doc"), "first-documents")
     hits = windows.join(firsts, "passage").select("doc", "start", "first_doc")
     found = hits.groupBy("doc").agg(F.collect_list(F.struct("start", "first_doc")).alias("hits"))
     span = "array<struct<start:int,end:int,first_doc:bigint>>"
