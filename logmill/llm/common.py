@@ -47,6 +47,12 @@ def worker_state(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def bounded_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+    """``df``, with rows going to Python a few MB at a time rather than 10,000 at once."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def text_slices(batch, columns: Sequence[str], limit: int = 4 << 20):
     """Arrow batches cut into slices of about ``limit`` bytes of their first column's text.
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, one_text_per_id, table, text_slices
+from .common import bounded_batches, keep, one_text_per_id, table, text_slices
 from .components import components
 from .hashing import Words, gram_hashes, mix64
 
@@ -156,7 +156,7 @@ def sketched(texts: DataFrame, shingle: int, sketches: int, size: int) -> DataFr
                         [part.column("doc").take(pa.array(rows)), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "keys"]
                     )
 
-    return texts.select("text", "doc").mapInArrow(sketch, "doc bigint, keys array<bigint>")
+    return bounded_batches(texts).select("text", "doc").mapInArrow(sketch, "doc bigint, keys array<bigint>")
 
 
 def star_pairs(entries: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_slices, worker_state
+from .common import bounded_batches, table, text_slices, worker_state
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 NO_RANK = -1e8  # lower scores mark pieces that no merge makes
-CACHED_UNITS = 400_000
+CACHED_UNITS = 250_000
 LONG_UNIT = 48
 NBEST = 4
 _UNIT = re.compile(r"[\n▁]| *[^ \n▁]+| +")
@@ -336,7 +337,7 @@ def encode(docs: DataFrame, path: str, nbest: int = NBEST) -> DataFrame:
                     names=schema_out,
                 )
 
-    wrapped = docs.select("text", F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"))
+    wrapped = bounded_batches(docs).select("text", F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"))
     kind = wrapped.schema["doc"].dataType.simpleString()
     return wrapped.mapInArrow(run, f"doc {kind}, ids array<int>, score double, alternatives {ALTERNATIVE_SQL}")
 
@@ -353,6 +354,19 @@ def decoded(ids, path: str):
     return run(ids)
 
 
+def checked(ids, path: str):
+    """(crc32, text) of a column of ids: their crc32 as little-endian 32-bit integers, and what they decode to."""
+
+    @F.pandas_udf("crc32 bigint, text string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = segmenter(path).model
+        for rows in batches:
+            lists = [np.asarray(r, dtype="<i4") for r in rows]
+            yield pd.DataFrame({"crc32": [zlib.crc32(r.tobytes()) for r in lists], "text": [model.decode(r.astype(np.int64)) for r in lists]})
+
+    return run(ids)
+
+
 def model_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
@@ -362,16 +376,14 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 def token_digests(docs: DataFrame, path: str, nbest: int = NBEST) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, score, second_score and whether decoding gave the text back."""
     told = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    rows = encode(told, path, nbest)
-    back = decoded(F.col("ids"), path)
-    octets = F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 8, "0")), "")
+    rows = encode(told, path, nbest).withColumn("back", checked(F.col("ids"), path))
     return rows.select(
         "doc.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.crc32(F.unhex(octets)).alias("ids_crc32"),
+        F.col("back.crc32").alias("ids_crc32"),
         "score",
         F.get(F.col("alternatives.score"), F.lit(0)).alias("second_score"),
-        (F.xxhash64(back) == F.col("doc.text_hash")).alias("round_trip"),
+        (F.xxhash64("back.text") == F.col("doc.text_hash")).alias("round_trip"),
     )
 
 

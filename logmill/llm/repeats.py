@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, one_text_per_id, table, text_slices
+from .common import bounded_batches, keep, one_text_per_id, table, text_slices
 from .hashing import Words, gram_hashes, minimisers, window_hashes
 
 MIN_WORDS, PREFIX_WORDS = 50, 16
@@ -40,7 +40,7 @@ def sparse_suffixes(docs: DataFrame, min_words: int, prefix: int) -> DataFrame:
                 docs_ = part.column("doc").to_numpy()[words.owners()[chosen]]
                 yield pa.record_batch([_long(grams[chosen]), _long(docs_)], names=["head", "doc"])
 
-    return docs.select("text", "doc").mapInArrow(select, "head bigint, doc bigint")
+    return bounded_batches(docs).select("text", "doc").mapInArrow(select, "head bigint, doc bigint")
 
 
 def shared_heads(suffixes: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import scratch_path
-from .common import keep, table, text_slices, worker_state
+from .common import bounded_batches, keep, table, text_slices, worker_state
 
 END_ID = 0
 # bounds of the sample that the dictionary is trained on
@@ -219,7 +219,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if rows:
             yield shard()
 
-    ordered = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"))
+    ordered = bounded_batches(docs).select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"))
     ordered = ordered.repartitionByRange(F.col("doc_id"), F.col("h")).sortWithinPartitions("doc_id", "h")
     written = ordered.mapInArrow(shards, SHARD_SQL)
     # the place of a shard: its partition, then its order in there

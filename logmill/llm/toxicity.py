@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_slices
+from .common import bounded_batches, table, text_slices
 
 # Letters of other scripts that look like Latin ones
 HOMOGLYPHS = {
@@ -285,7 +285,7 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     equal scores, and with an empty lexicon every score is 0.  One map-side pass:
     nothing is shuffled, and only texts go to the Python workers.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), rated(F.col("text"), lexicon).alias("score"))
+    rows = bounded_batches(docs).select(F.struct(*docs.columns).alias("doc"), rated(F.col("text"), lexicon).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
