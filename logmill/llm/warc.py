@@ -173,10 +173,11 @@ def http_payload(block: Column) -> Column:
     return F.when(chunked, joined).otherwise(body)
 
 
-def captures(records: DataFrame) -> DataFrame:
+def captures(records: DataFrame, payloads: bool = True) -> DataFrame:
     """One nested row per capture: request, response or revisit, and metadata records
 
-    joined through their concurrent-to identifiers.  A capture without a request or
+    joined through their concurrent-to identifiers.  Digest and size are taken of the
+    payload before the join; without ``payloads`` the text itself stays out of it.  A capture without a request or
     metadata record has null there; of several requests (or metadata records) that name
     the same capture each makes a row.
     """
@@ -187,6 +188,8 @@ def captures(records: DataFrame) -> DataFrame:
         "id", "uri", "date", "type", "refers_to", F.regexp_replace("digest", "^sha1:", "").alias("digest"),
         http.alias("http"), payload.alias("payload"),
     ).withColumns({"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
+    if not payloads:
+        answers = answers.withColumn("payload", F.lit(None).cast("string"))
 
     def beside(kind: str) -> DataFrame:
         rows = records.where((F.col("type") == kind) & F.col("concurrent_to").isNotNull())
@@ -228,7 +231,7 @@ def op7_warc(spark, sf_dir):
     """All pages written as archives and read back."""
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    return page_digests(captures(read_warc(spark, path)))
+    return page_digests(captures(read_warc(spark, path), payloads=False))
 
 
 OP7_SQL = """
