@@ -370,3 +370,40 @@ def merge_tumbling(documents: DataFrame, cfg: PipelineConfig = PipelineConfig())
             "last_message",
         )
     )
+
+
+def tumbling_parts(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """Counts of some rows that :func:`sum_parts` adds to those of other rows."""
+    width = f"{cfg.merge_window_millis} milliseconds"
+    sample = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(arrival_order())], F.col("message").alias("message"))
+    return (
+        documents.where(F.col("event.hash").isNotNull())
+        .groupBy(F.col("event.hash").alias("hash"), F.window("event_time", width)["start"].alias("window_start"))
+        .agg(
+            F.count("*").alias("occurrence_count"),
+            F.min("event_time").alias("first_seen"),
+            F.max("event_time").alias("last_seen"),
+            F.min(sample).alias("first"),
+            F.max(sample).alias("last"),
+        )
+    )
+
+
+def sum_parts(parts: DataFrame) -> DataFrame:
+    """The result of :func:`merge_tumbling` from the parts of all rows."""
+    summed = parts.groupBy("hash", "window_start").agg(
+        F.sum("occurrence_count").alias("occurrence_count"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+    )
+    return summed.select(
+        "hash",
+        "window_start",
+        "occurrence_count",
+        "first_seen",
+        "last_seen",
+        F.col("first.message").alias("first_message"),
+        F.col("last.message").alias("last_message"),
+    )

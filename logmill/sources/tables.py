@@ -49,6 +49,11 @@ def _replace(
     )
 
 
+def write_parts(rows: DataFrame, path: str, write_id: str) -> None:
+    """Rows of one write beside those of other writes, in a table without days."""
+    _replace(rows, path, [], write_id)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

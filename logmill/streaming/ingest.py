@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
-from ..operators.merge import merge_tumbling
+from ..operators.merge import merge_tumbling, sum_parts, tumbling_parts
 from ..operators.metrics import observe_progress
 from ..plans.ingest import finish, prepare
 from ..plans.jobs import write_both
 from ..session import configure
+from ..sources.tables import read_table, write_parts
 from .merge_state import merge_stream
 
 
@@ -56,10 +57,46 @@ def start_ingest(
     )
 
 
+def start_tumbling(
+    messages: DataFrame,
+    table: str,
+    checkpoint: str,
+    cfg: PipelineConfig = PipelineConfig(),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Count duplicates per fingerprint and window over a stream, however late rows come.
+
+    Every micro-batch writes the counts of its own rows, named as in
+    :func:`start_ingest`; :func:`read_tumbling` adds them up.  So there is no state, no
+    watermark that drops rows, and a repeated batch replaces its own counts.
+    """
+    configure(messages.sparkSession)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_parts(tumbling_parts(batch, cfg), table, f"stream-{query}-{batch_id}")
+
+    return (
+        prepare(messages, cfg).where("failure IS NULL")
+        .writeStream.foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
+def read_tumbling(spark: SparkSession, table: str) -> DataFrame:
+    """Counts of all micro-batches so far."""
+    return sum_parts(read_table(spark, table))
+
+
 def tumbling_counts(
     messages: DataFrame, cfg: PipelineConfig = PipelineConfig(), lateness: str = "10 minutes"
 ) -> DataFrame:
-    """True duplicate counts per fingerprint and window over a stream."""
+    """Duplicate counts per fingerprint and window as a streaming aggregation.
+
+    Rows later than ``lateness`` are dropped; :func:`start_tumbling` counts them too.
+    """
     configure(messages.sparkSession)
     documents = prepare(messages, cfg).where("failure IS NULL")
     return merge_tumbling(documents.withWatermark("event_time", lateness), cfg)

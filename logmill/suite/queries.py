@@ -26,7 +26,7 @@ from ..plans.jobs import compact_partition, ingest_batch, replay_job, write_both
 from ..session import configure, scratch_path, spread, staged
 from ..sources.messages import ad_hoc, file_stream
 from ..sources.tables import latest_per_id, read_table, upsert_by_day
-from ..streaming.ingest import routed_stream, start_ingest, tumbling_counts
+from ..streaming.ingest import read_tumbling, routed_stream, start_ingest, start_tumbling
 from . import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -825,9 +825,12 @@ def shared_table(spark, sf_dir):
 
 @query
 def stream_tumbling(spark, sf_dir):
-    rows = tumbling_counts(_message_stream(spark, sf_dir), MERGE_CFG)
-    counts = rows.select("hash", micros("window_start").alias("window_us"), "occurrence_count")
-    return _drained(counts, "update")
+    """Counts over several micro-batches, each of which holds rows of all days."""
+    folder, table, state = (scratch_path(spark, n) for n in ("log", "tumbling", "state"))
+    X.messages(spark, sf_dir).repartition(3).write.parquet(folder)
+    source = file_stream(spark, folder, max_files=1)
+    start_tumbling(source, table, state, MERGE_CFG, {"availableNow": True}).awaitTermination()
+    return read_tumbling(spark, table).select("hash", micros("window_start").alias("window_us"), "occurrence_count")
 
 
 # ---- search --------------------------------------------------------------------------

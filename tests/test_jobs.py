@@ -11,7 +11,7 @@ from logmill.plans import jobs
 from logmill.plans.ingest import prepare, process
 from logmill.sources.messages import file_stream, message_files
 from logmill.sources.tables import read_table, upsert_by_day, write_routed
-from logmill.streaming.ingest import start_ingest, tumbling_counts
+from logmill.streaming.ingest import read_tumbling, start_ingest, start_tumbling, tumbling_counts
 from logmill.streaming.progress import ProgressCounters
 
 CFG = PipelineConfig(debug_sample_rate=1.0, merge_threshold=2)
@@ -64,6 +64,18 @@ def test_tumbling_stream(spark, messages_of, tmp_path):
     assert sorted(map(tuple, spark.table("tumbling").select(names).collect())) == sorted(map(tuple, want.select(names).collect()))
 
 
+def test_late_rows_of_a_stream_are_counted(spark, messages_of, tmp_path):
+    source, table = str(tmp_path / "in"), str(tmp_path / "counts")
+    payload = '{"message": "shelf %s empty", "level": "ERROR", "timestamp": "2026-01-%02dT00:00:00Z"}'
+    for day, run in ((20, 0), (2, 1), (2, 2), (20, 3)):  # the later files are weeks late
+        messages_of([payload % ("x", day)] * 2).coalesce(1).write.mode("append").parquet(source)
+    for _ in range(2):  # the second start finds nothing new
+        stream = file_stream(spark, source, max_files=1)
+        start_tumbling(stream, table, str(tmp_path / "ck"), CFG, {"availableNow": True}).awaitTermination(300)
+    rows = read_tumbling(spark, table).collect()
+    assert sorted(r.occurrence_count for r in rows) == [4, 4]
+
+
 def test_batch_job_replay_and_retention(spark, messages_of, tmp_path):
     table, dead, again = (str(tmp_path / n) for n in ("table", "dead", "again"))
     counts = jobs.ingest_batch(messages_of(PAYLOADS), table, dead, CFG).first()
