@@ -806,8 +806,8 @@ def shared_table(spark, sf_dir):
     log, turn = X.messages(spark, sf_dir), F.col("offset") % 4
     for part in (0, 1):
         folder, state = scratch_path(spark, "log"), scratch_path(spark, "state")
-        log.where(turn == part).repartition(2).write.parquet(folder)
-        source = file_stream(spark, folder, max_files=1)
+        log.where(turn == part).write.parquet(folder)
+        source = file_stream(spark, folder)
         start_ingest(source, table, dead, state, cfg, {"availableNow": True}).awaitTermination()
     ingest_batch(log.where(turn == 2), table, dead, cfg)
     letters, again, done = (scratch_path(spark, n) for n in ("letters", "again", "done"))
