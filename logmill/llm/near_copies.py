@@ -16,6 +16,9 @@ from .hashing import Words, gram_hashes, mix64
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PER_SKETCH = 16, 2
 PAIR_GROUP = 256
+BLOCK, BAG = 64, 128
+# further hubs are drawn, for at most so many turns, while more pairs than this are left
+TURNS, PAIRS, PAIRS_A_ROW = 8, 100_000, 2
 _LAST = 2**63 - 1  # stands for a null id, which is ordered last
 _SEEDS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEP = 32
@@ -159,31 +162,110 @@ def sketched(texts: DataFrame, shingle: int, sketches: int, size: int) -> DataFr
     return bounded_batches(texts).select("text", "doc").mapInArrow(sketch, "doc bigint, keys array<bigint>")
 
 
-def star_pairs(entries: DataFrame) -> DataFrame:
-    """(bucket, doc, hub): each document of a bucket beside the bucket's smallest one.
+def shared_buckets(entries: DataFrame) -> DataFrame:
+    """(bucket, doc, weight, root): the entries of buckets with several documents.
 
-    As many pairs as members: a bucket of any size is summed up before the shuffle.
+    ``weight`` is the number of entries in all buckets of the document: what most copies
+    come from shares its buckets with more of them than they share with each other.
     """
-    hubs = entries.groupBy("bucket").agg(F.min("doc").alias("hub"), F.max("doc").alias("_last")).where("hub <> _last")
+    several = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     # a table of its own: Spark splits a skewed join only where no aggregation shares its stage
-    hubs = keep(hubs.select("bucket", "hub"), "hubs")
-    return entries.join(hubs, "bucket").where("doc <> hub")
+    several = keep(several, "bucket-sizes")
+    entries = keep(entries.join(several, "bucket"), "shared-buckets")
+    weights = keep(entries.groupBy("doc").agg(F.sum("n").alias("weight")), "weights")
+    entries = entries.select("bucket", "doc").join(weights, "doc")
+    return keep(entries.withColumn("root", F.col("doc")), "weighed-buckets")
 
 
-def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc, words): the word hashes of the documents that the pairs name."""
-    involved = pairs.select("doc").union(pairs.select("hub")).distinct()
+def star_hubs(entries: DataFrame, turn: int) -> DataFrame:
+    """(bucket, hub, hub_root): one document of every bucket.
+
+    It is the document of most weight, in later turns one drawn anew by hash.  As many
+    pairs as members: a bucket of any size is summed up before the shuffle.
+    """
+    draw = F.col("weight") if turn == 0 else F.xxhash64("doc", F.lit(turn))
+    hubs = entries.groupBy("bucket").agg(F.max(F.struct(draw.alias("draw"), (-F.col("doc")).alias("minus"), "root")).alias("top"))
+    return keep(hubs.select("bucket", (-F.col("top.minus")).alias("hub"), F.col("top.root").alias("hub_root")), "hubs")
+
+
+def with_roots(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """``entries`` with the ``root`` of their documents, of buckets that hold several roots."""
+    of = roots.select(F.col("node").alias("doc"), "root")
+    entries = entries.drop("root").join(of, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    entries = keep(entries, "rooted")
+    by_root = entries.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    by_root = keep(by_root.select("bucket"), "open-buckets")
+    return keep(entries.join(by_root, "bucket"), "open-entries")
+
+
+def untested(entries: DataFrame) -> int:
+    """Pairs of different roots in the buckets."""
+    by_root = entries.groupBy("bucket", "root").count()
+    by_bucket = by_root.groupBy().agg(F.sum(F.col("count") * F.col("count")).alias("same"))
+    sizes = entries.groupBy("bucket").count().groupBy().agg(F.sum(F.col("count") * F.col("count")).alias("all"))
+    row = sizes.crossJoin(by_bucket).first()
+    return ((row["all"] or 0) - (row["same"] or 0)) // 2
+
+
+def block_pairs(entries: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """(doc, hub): all pairs of a bucket in different components that may be similar.
+
+    A bucket is cut into blocks of about BLOCK documents and each pair of blocks is a
+    group of its own, so no task holds a bucket.  A pair is left out only if its lengths
+    or word counts show that it needs more edits than allowed.
+    """
+    sizes = keep(entries.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    placed = entries.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    placed = placed.join(words.select("doc", "size", "bag"), "doc")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    spread = placed.select("bucket", "doc", "root", "size", "bag", "own", other)
+    spread = spread.select(
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc", "root", "size", "bag"
+    )
+    schema = pa.schema([("doc", pa.int64()), ("hub", pa.int64())])
+
+    def pairs(group: pa.Table) -> pa.Table:
+        own, doc, root, size = (group[c].to_numpy() for c in ("own", "doc", "root", "size"))
+        bags = np.frombuffer(b"".join(group["bag"].to_pylist()), dtype=np.uint8).reshape(-1, BAG).astype(np.int16)
+        low, high = group["low"][0].as_py(), group["high"][0].as_py()
+        found = [np.empty((0, 2), dtype=np.int64)]
+        for i in np.flatnonzero(own == low):
+            # within one block each pair once, between two blocks every pair
+            js = np.flatnonzero((own == high) & (root != root[i]) & ((doc > doc[i]) | (low != high)))
+            longer = np.maximum(size[js], size[i])
+            allowed = ((1 - threshold) * longer + 1e-9).astype(np.int64)
+            near = np.abs(size[js] - size[i]) <= allowed
+            js, allowed = js[near], allowed[near]
+            more = bags[js] - bags[i]
+            least = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+            js = js[least <= allowed]
+            found.append(np.stack([np.maximum(doc[js], doc[i]), np.minimum(doc[js], doc[i])], axis=1))
+        both = np.concatenate(found)
+        return pa.Table.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
+
+    return spread.groupBy("bucket", "low", "high").applyInArrow(pairs, "doc bigint, hub bigint")
+
+
+def words_of(texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """(doc, words, size, bag): the word hashes of the documents of ``entries``.
+
+    ``bag`` counts the words by hash modulo BAG, up to 255: an edit changes one word on
+    either side, so what one bag has more than another is a lower bound of the edits.
+    """
+    involved = entries.select("doc").distinct()
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, ["text"], 1 << 20):
                 w = Words(part.column("text"), lower=True)
-                lists = [w.hashes[a:b].tobytes() for a, b in zip(w.first[:-1], w.first[1:])]
-                yield pa.record_batch([part.column("doc"), pa.array(lists, pa.binary())], names=["doc", "words"])
+                lists = [w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
+                bags = [np.minimum(np.bincount((h % np.uint64(BAG)).astype(np.int64), minlength=BAG), 255).astype(np.uint8).tobytes() for h in lists]
+                columns = [pa.array([h.tobytes() for h in lists], pa.binary()), pa.array([len(h) for h in lists], pa.int64()), pa.array(bags, pa.binary())]
+                yield pa.record_batch([part.column("doc"), *columns], names=["doc", "words", "size", "bag"])
 
     # as many documents as there are near copies: planned as a shuffle at every size
     needed = texts.join(involved.hint("merge"), "doc").select("text", "doc")
-    return keep(needed.mapInArrow(words, "doc bigint, words binary"), "words")
+    return keep(needed.mapInArrow(words, "doc bigint, words binary, size bigint, bag binary"), "words")
 
 
 def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
@@ -193,6 +275,7 @@ def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     documents, so a hub of very many documents spans many groups.
     """
     pairs = keep(pairs.select("doc", "hub").distinct(), "pairs")
+    words = words.select("doc", "words")
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PAIR_GROUP).alias("groups"))
     placed = keep(pairs.join(sizes, "hub").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("groups"))), "placed-pairs")
     members = placed.join(words, "doc").select("hub", "part", "doc", "words")
@@ -221,9 +304,12 @@ def classes(
     its size the number of its rows.
 
     Texts of equal bytes are one text.  Texts that share a sketch meet in a bucket, and
-    each is aligned with the bucket's smallest document.  Where that fails, the document
-    is looked at again with those that also share a second sketch with it.  So pairs
-    grow with the rows, also in buckets of very many documents.
+    each is aligned with the bucket's hub, the document that shares most.  While many
+    pairs of different components are left, further hubs are drawn; then all pairs of a
+    bucket that are still in different components are tested.  So every two similar texts
+    that share a sketch are in one class.  Near copies cost pairs that grow with the
+    rows; the last step grows with the square of a bucket only as far as its documents
+    are not copies of each other, and counts of words rule out most of those.
 
     * Null and empty texts: empty texts are copies of each other, null texts too.
     * Rows of equal id and text are one document.  Of several texts of an id, and of
@@ -244,24 +330,26 @@ def classes(
     sketch = sketched(texts, shingle, sketches, per_sketch).dropDuplicates(["doc"])
     sketch = keep(sketch.join(members.where("doc = first").select("doc"), "doc"), "sketches")
     entries = sketch.select("doc", F.posexplode("keys").alias("j", "key"))
-    level1 = keep(star_pairs(entries.select("doc", "j", F.xxhash64("j", "key").alias("bucket"))).select("bucket", "j", "doc", "hub"), "level-1")
-    words = words_of(texts, level1)
-    links = keep(verified(level1, words, threshold), "links-1")
+    open_ = shared_buckets(entries.select("doc", F.xxhash64("j", "key").alias("bucket")))
+    words = words_of(texts, open_)
+    links = words.select("doc", F.col("doc").alias("hub")).limit(0)
+    left = untested(open_)
+    enough = max(PAIRS_A_ROW * rows.count(), PAIRS)
+    for turn in range(TURNS if left else 0):
+        # the hub meets all others of its bucket, so it leaves it
+        others = keep(open_.join(star_hubs(open_, turn), "bucket").where("doc <> hub"), "stars")
+        more = keep(verified(others.where("root <> hub_root"), words, threshold), "links")
+        links = links.unionByName(more)
+        roots = components(links.select(F.col("doc").alias("a"), F.col("hub").alias("b")))
+        open_ = with_roots(others.drop("hub", "hub_root"), roots)
+        left = untested(open_)
+        if left <= enough:
+            break
+    if left:
+        # all that is left, whatever its number
+        last = keep(verified(block_pairs(open_, words, threshold), words, threshold), "links-last")
+        links = links.unionByName(last)
     roots = components(links.select(F.col("doc").alias("a"), F.col("hub").alias("b")))
-
-    def rooted(frame: DataFrame) -> DataFrame:
-        """Pairs whose sides are not yet in one component."""
-        a = roots.select(F.col("node").alias("doc"), F.col("root").alias("doc_root"))
-        b = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        joined = frame.join(a, "doc", "left").join(b, "hub", "left")
-        return joined.where(F.coalesce("doc_root", "doc") != F.coalesce("hub_root", "hub")).drop("doc_root", "hub_root")
-
-    open_ = rooted(level1).join(sketch, "doc")
-    turns = F.array(*[F.xxhash64("bucket", F.lit(t), F.element_at("keys", ((F.col("j") + t) % F.size("keys") + 1).cast("int"))) for t in (1, 2, 3)])
-    finer = open_.select("doc", F.explode(turns).alias("bucket"))
-    level2 = rooted(star_pairs(finer.distinct()).select("doc", "hub"))
-    more = keep(verified(level2, words, threshold), "links-2")
-    roots = components(links.union(more).select(F.col("doc").alias("a"), F.col("hub").alias("b")))
     texts_of = members.join(roots.select(F.col("node").alias("first"), "root"), "first", "left")
     of_doc = texts_of.select("doc", F.coalesce("root", "first").alias("class"))
     found = keep(part.join(of_doc, "doc").select("doc", "class"), "classes")

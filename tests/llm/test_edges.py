@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 
 import numpy as np
@@ -234,6 +235,39 @@ def test_hot_group_of_near_copies(documents):
     assert {found[i] for i in range(400)} == {0} and all(found[1000 + i] == 1000 + i for i in range(200))
 
 
+def _copies(n: int, length: int, edits: int, seed: int) -> list[list[str]]:
+    """Texts of which each replaces some words of one original, which stands in the middle."""
+    rng = random.Random(seed)
+    base = [f"g{seed}w{i}" for i in range(length)]
+    texts = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.sample(range(length), edits if i != n // 2 else 0):
+            words[k] = f"e{rng.randrange(10**6)}"
+        texts.append(words)
+    return texts
+
+
+@pytest.mark.parametrize("turns", [near_copies.TURNS, 0])
+def test_copies_of_an_original_that_is_not_the_smallest(documents, monkeypatch, turns):
+    """Every copy that shares a sketch with the original is in its class, also without any hub."""
+    monkeypatch.setattr(near_copies, "TURNS", turns)
+    size = 300 if turns else 60
+    rows, groups = [], []
+    for g, edits in enumerate((15, 18, 24, 30)):
+        ids = [1000 * g + i for i in range(size)]
+        rows += zip(ids, map(" ".join, _copies(size, 150, edits, g)))
+        groups.append(ids)
+    table = documents(rows)
+    sketch = near_copies.sketched(table.selectExpr("doc_id AS doc", "text"), near_copies.SHINGLE, near_copies.SKETCHES, near_copies.PER_SKETCH)
+    keys = {r.doc: set(enumerate(r["keys"])) for r in sketch.collect()}
+    found = {r.doc_id: r.class_id for r in near_copies.classes(table).collect()}
+    for ids in groups:
+        original = ids[size // 2]
+        meet = [i for i in ids if keys[i] & keys[original]]
+        assert len(meet) > size // 3 and len({found[i] for i in meet}) == 1
+
+
 def test_alignment_against_edit_distance():
     import random
 
