@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +14,10 @@ from .common import bounded_batches, keep, one_text_per_id, table, text_slices
 from .components import components
 from .hashing import Words, gram_hashes, mix64
 
-SHINGLE, SIMILARITY = 5, 0.8
-SKETCHES, PER_SKETCH = 16, 2
+SHINGLE, SIMILARITY = 3, 0.8
+SKETCHES, PER_SKETCH = 48, 2
+# texts of at most so many words: shingle, sketches, shingles per sketch
+SHORT = ((16, 2, 24, 1), (60, 2, 40, 2))
 PAIR_GROUP = 256
 BLOCK, BAG = 64, 128
 # further hubs are drawn, for at most so many turns, while more pairs than this are left
@@ -139,25 +142,39 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     return False
 
 
-def sketched(texts: DataFrame, shingle: int, sketches: int, size: int) -> DataFrame:
-    """(doc, keys): the sketch keys of every text with a word; short texts are one shingle."""
+def text_keys(words: np.ndarray, first: np.ndarray, shingle: int, sketches: int, size: int, threshold: float) -> list[np.ndarray]:
+    """The sketch keys of texts: words first[i]:first[i + 1] belong to text i.
+
+    Short texts have few shingles and an edit spoils more of them, so they have sketches of
+    their own.  A text so near to a limit of SHORT that a similar one may be beyond it has
+    the sketches of both sides: two texts of ``threshold`` always have a kind in common.
+    """
+    out: list[list[np.ndarray]] = [[] for _ in range(len(first) - 1)]
+    lengths, least = np.diff(first), 1
+    for kind, (most, k, n, per) in enumerate((*SHORT, (np.inf, shingle, sketches, size))):
+        grams = gram_hashes(words, k)
+        salt = mix64(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(kind << 32))
+        for i in np.flatnonzero((lengths >= least) & (lengths <= most)):
+            a, b = int(first[i]), int(first[i + 1])
+            own = grams[a : b - k + 1] if b - a >= k else gram_hashes(words[a:b], b - a)[:1]
+            out[i].append(mix64(order_minhash(own, n, per) ^ salt))
+        if most < np.inf:
+            least = math.ceil(threshold * (most + 1) - 1e-9)
+    return [np.concatenate(keys) if keys else np.empty(0, dtype=np.uint64) for keys in out]
+
+
+def sketched(texts: DataFrame, shingle: int, sketches: int, size: int, threshold: float = SIMILARITY) -> DataFrame:
+    """(doc, keys): the sketch keys of every text with a word; texts below a shingle are one."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, ["text"], 1 << 20):
                 words = Words(part.column("text"), lower=True)
-                grams = gram_hashes(words.hashes, shingle)
-                rows, keys = [], []
-                for i in range(part.num_rows):
-                    a, b = words.first[i], words.first[i + 1]
-                    if b > a:
-                        own = grams[a : b - shingle + 1] if b - a >= shingle else gram_hashes(words.hashes[a:b], int(b - a))[:1]
-                        rows.append(i)
-                        keys.append(order_minhash(own, sketches, size).view(np.int64))
+                keys = text_keys(words.hashes, words.first, shingle, sketches, size, threshold)
+                rows = [i for i, own in enumerate(keys) if len(own)]
                 if rows:
-                    yield pa.record_batch(
-                        [part.column("doc").take(pa.array(rows)), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "keys"]
-                    )
+                    lists = pa.array([keys[i].view(np.int64) for i in rows], pa.list_(pa.int64()))
+                    yield pa.record_batch([part.column("doc").take(pa.array(rows)), lists], names=["doc", "keys"])
 
     return bounded_batches(texts).select("text", "doc").mapInArrow(sketch, "doc bigint, keys array<bigint>")
 
@@ -315,7 +332,7 @@ def classes(
     * Rows of equal id and text are one document.  Of several texts of an id, and of
       rows without id, one takes part; the others are classes of their own (class_id is
       their doc_id) and keep it.
-    * Texts shorter than ``shingle`` are one shingle.  No rows give no rows.
+    * Texts shorter than a shingle are one shingle.  No rows give no rows.
     """
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
     digest = F.coalesce(F.md5("text"), F.lit(""))
@@ -327,10 +344,10 @@ def classes(
     members = keep(part.select("doc", "digest").distinct().join(firsts, "digest").select("doc", "first"), "members")
     # the copies that need no sketch: few beside the rows, or else a plain join
     texts = one_text_per_id(docs.select("doc_id", "text").where("text IS NOT NULL")).select(doc.alias("doc"), "text")
-    sketch = sketched(texts, shingle, sketches, per_sketch).dropDuplicates(["doc"])
+    sketch = sketched(texts, shingle, sketches, per_sketch, threshold).dropDuplicates(["doc"])
     sketch = keep(sketch.join(members.where("doc = first").select("doc"), "doc"), "sketches")
-    entries = sketch.select("doc", F.posexplode("keys").alias("j", "key"))
-    open_ = shared_buckets(entries.select("doc", F.xxhash64("j", "key").alias("bucket")))
+    entries = sketch.select("doc", F.explode("keys").alias("bucket"))
+    open_ = shared_buckets(entries)
     words = words_of(texts, open_)
     links = words.select("doc", F.col("doc").alias("hub")).limit(0)
     left = untested(open_)

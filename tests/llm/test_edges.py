@@ -268,6 +268,32 @@ def test_copies_of_an_original_that_is_not_the_smallest(documents, monkeypatch,
         assert len(meet) > size // 3 and len({found[i] for i in meet}) == 1
 
 
+def test_share_of_similar_texts_that_share_a_sketch():
+    """Random substitutions, at the threshold and above; short texts with the edit in the middle."""
+    rng = np.random.default_rng(4)
+
+    def share(length, edits, n=300):
+        texts, first = [], [0]
+        for _ in range(n):
+            a = rng.integers(1, 2**62, length).astype(np.uint64)
+            b = a.copy()
+            at = rng.choice(length, edits, replace=False) if length >= 10 else [length // 2]
+            b[at] = rng.integers(1, 2**62, len(at)).astype(np.uint64)
+            texts += [a, b]
+            first += [first[-1] + length, first[-1] + 2 * length]
+        keys = near_copies.text_keys(np.concatenate(texts), np.array(first), near_copies.SHINGLE, near_copies.SKETCHES, near_copies.PER_SKETCH, 0.8)
+        return sum(bool(np.intersect1d(keys[2 * i], keys[2 * i + 1]).size) for i in range(n)) / n
+
+    assert min(share(length, 1) for length in range(5, 10)) >= 0.98
+    assert min(share(length, length // 5) for length in (10, 20, 50, 100, 200, 400)) >= 0.96
+    # one text above, one below a limit
+    words = rng.integers(1, 2**62, 75).astype(np.uint64)
+    for longer, shorter in ((20, 16), (75, 60)):
+        both = np.concatenate([words[:longer], words[:shorter]])
+        a, b = near_copies.text_keys(both, np.array([0, longer, longer + shorter]), near_copies.SHINGLE, near_copies.SKETCHES, near_copies.PER_SKETCH, 0.8)
+        assert np.intersect1d(a, b).size
+
+
 def test_alignment_against_edit_distance():
     import random
 
