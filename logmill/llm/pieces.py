@@ -33,6 +33,40 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NEVER = -1e18
 
 
+class _Path:
+    """Edges from the end of a unit to a place: the last one and the path before it.
+
+    Ordered as the tuple of its (piece, start) from the end.
+    """
+
+    __slots__ = ("piece", "start", "before", "edges")
+
+    def __init__(self, piece: int = 0, start: int = 0, before: _Path | None = None):
+        self.piece, self.start, self.before = piece, start, before
+        self.edges = 0 if before is None else before.edges + 1
+
+    def steps(self) -> list[tuple[int, int]]:
+        out, node = [], self
+        while node.before is not None:
+            out.append((node.piece, node.start))
+            node = node.before
+        return out[::-1]
+
+    def __lt__(self, other: _Path) -> bool:
+        a, b = self, other
+        while a.edges > b.edges:
+            a = a.before
+        while b.edges > a.edges:
+            b = b.before
+        # the first difference from the end of the unit is the last one met on the way back
+        less = self.edges < other.edges
+        while a is not b:
+            if (a.piece, a.start) != (b.piece, b.start):
+                less = (a.piece, a.start) < (b.piece, b.start)
+            a, b = a.before, b.before
+        return less
+
+
 class PieceModel:
     """Pieces, scores and byte pieces of a SentencePiece model file.
 
@@ -112,22 +146,30 @@ class PieceModel:
         The best score from the beginning to a place is what any path through it gains
         at most, and exactly what the best one does: paths leave the agenda in order.
         Equal scores leave it in the order of their ids from the end.
+
+        A path is a node: (its last edge, the node before).  Paths of one end share their
+        nodes.  Only the ``n`` best ways from the end to a place can be in a result, so a
+        place is left ``n`` times at most.
         """
         edges = self.edges(unit)
         ahead = [_NEVER] * (len(unit) + 1)
         ahead[0] = 0.0
         for end in range(1, len(unit) + 1):
             ahead[end] = max(ahead[start] + score for start, _, score in edges[end])
-        agenda = [(-ahead[-1], (), len(unit), 0.0, len(unit))]
+        agenda = [(-ahead[-1], _Path(), len(unit), 0.0)]
+        left = [0] * (len(unit) + 1)
         found = []
         while agenda and len(found) < n:
-            _, path, place, behind, _ = heapq.heappop(agenda)
+            _, path, place, behind = heapq.heappop(agenda)
             if place == 0:
-                found.append((behind, self._expand(unit, path)))
+                found.append((behind, self._expand(unit, path.steps())))
+                continue
+            if left[place] == n:
                 continue
+            left[place] += 1
             for start, piece, score in edges[place]:
                 total = behind + score
-                heapq.heappush(agenda, (-(ahead[start] + total), (*path, (piece, start)), start, total, start))
+                heapq.heappush(agenda, (-(ahead[start] + total), _Path(piece, start, path), start, total))
         return found
 
     def _expand(self, unit: str, path) -> list[int]:

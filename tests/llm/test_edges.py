@@ -370,3 +370,17 @@ def test_nbest_against_all_paths():
         units = held.split(text)
         held.learn(set(units))
         assert model.decode(np.frombuffer(held.segment(units, 3)[0], dtype="<i4").astype(np.int64)) == text
+
+
+def test_nbest_of_a_long_unspaced_run():
+    import base64
+    import tracemalloc
+
+    model = pieces.PieceModel(pieces.model_path())
+    unit = base64.b64encode(random.Random(3).randbytes(15_000)).decode()
+    tracemalloc.start()
+    ((first, ids), (second, others)) = model.nbest(unit, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(unit) == 20_000 and peak < 100 << 20 and first >= second and ids != others
+    assert model.decode(np.array(ids)) == model.decode(np.array(others)) == unit
