@@ -82,6 +82,8 @@ class PipelineConfig:
     merge_enabled: bool = True
     merge_window_millis: int = 60_000
     merge_threshold: int = 3
+    # when a window is summed up: "threshold" (at its multiples) or "final" (once, at its end)
+    merge_flush: str = "threshold"
     fingerprint_tenant: bool = False
     # OTLP payloads: only the first record of a message, or every record
     otlp_records: str = "first"
@@ -96,6 +98,8 @@ class PipelineConfig:
     def __post_init__(self) -> None:
         if self.merge_threshold < 1:
             raise ValueError("merge_threshold must be at least 1")
+        if self.merge_flush not in ("threshold", "final"):
+            raise ValueError("merge_flush must be 'threshold' or 'final'")
         if self.merge_window_millis < 1:
             raise ValueError("merge_window_millis must be at least 1")
         shortest = 1 if self.max_message_length is None else self.max_message_length

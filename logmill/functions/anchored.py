@@ -13,13 +13,15 @@ import numpy as np
 SLICE = 8192
 
 
-def fold(groups, micros, width, carry=None):
+def fold(groups, micros, width, carry=None, more=None):
     """Window start and ordinal of each row.
 
     ``groups`` are non-decreasing group numbers starting at 0, ``micros`` the event
     times in arrival order, ``carry`` the ``(window_start, ordinal)`` reached by
-    group 0 before these rows, or None.
+    group 0 before these rows, or None.  A row that stands for several, all of them in
+    its window, has the others in ``more``; only the first row of a group may.
     """
+    more = np.zeros(len(micros), np.int64) if more is None else more
     starts = np.empty(len(micros), np.int64)
     ordinals = np.empty(len(micros), np.int64)
     for lo in range(0, len(micros), SLICE):
@@ -27,12 +29,12 @@ def fold(groups, micros, width, carry=None):
         if lo and groups[lo] != groups[lo - 1]:
             carry = None
         part = groups[lo:hi] - groups[lo]
-        starts[lo:hi], ordinals[lo:hi] = _fold_slice(part, micros[lo:hi], width, carry)
+        starts[lo:hi], ordinals[lo:hi] = _fold_slice(part, micros[lo:hi], width, carry, more[lo:hi])
         carry = (int(starts[hi - 1]), int(ordinals[hi - 1]))
     return starts, ordinals
 
 
-def _fold_slice(groups, micros, width, carry):
+def _fold_slice(groups, micros, width, carry, more):
     size = len(micros)
     millis = micros // 1000
     low = int(millis.min())
@@ -55,7 +57,7 @@ def _fold_slice(groups, micros, width, carry):
     opener = np.maximum.accumulate(np.where(opens, rows, -1))
     inherited = opener < 0
     starts = micros[np.where(inherited, 0, opener)]
-    ordinals = rows - opener + 1
+    ordinals = rows - opener + 1 + more[np.maximum(opener, 0)]
     if carry is not None:
         starts = np.where(inherited, carry[0], starts)
         ordinals = np.where(inherited, carry[1] + rows + 1, ordinals)

@@ -85,11 +85,11 @@ def _folder(width):
                 carry = None if start is None else (start, _column(batch, "carry_n")[0].as_py())
             elif hashes[0] != last_hash:
                 carry = None
-            starts, ordinals = fold(_group_numbers(hashes), _ints(batch, "us"), width, carry)
+            starts, ordinals = fold(_group_numbers(hashes), _ints(batch, "us"), width, carry, _ints(batch, "more"))
             last_hash, carry = hashes[-1], (int(starts[-1]), int(ordinals[-1]))
             yield pa.RecordBatch.from_arrays(
-                [_column(batch, "row_id"), pa.array(starts), pa.array(ordinals)],
-                ["row_id", "window_us", "ordinal"],
+                [_column(batch, "row_id"), hashes, pa.array(starts), pa.array(ordinals)],
+                ["row_id", "hash", "window_us", "ordinal"],
             )
 
     return run
@@ -113,7 +113,7 @@ def _summariser(width):
                 # the last fingerprint begins in this partition: its exit is known
                 if last_hash is not None and hashes[0] != last_hash:
                     carry = None
-                starts, ordinals = fold(_group_numbers(hashes), us, width, carry)
+                starts, ordinals = fold(_group_numbers(hashes), us, width, carry, _ints(batch, "more"))
                 carry = (int(starts[-1]), int(ordinals[-1]))
             else:
                 top = np.maximum.accumulate(us // 1000)
@@ -195,10 +195,13 @@ def _chainer(width):
     return run
 
 
-def positions(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """``(row_id, window_start, ordinal)`` for every row that has a fingerprint.
+def folded(documents: DataFrame, cfg: PipelineConfig = PipelineConfig(), opened: DataFrame | None = None) -> DataFrame:
+    """``(row_id, hash, window_us, ordinal)`` for every row that has a fingerprint.
 
     ``documents`` must have a stable ``row_id`` (see :func:`logmill.session.staged`).
+    ``opened`` has the windows that are open before these rows: hash (binary), window_us,
+    ordinal.  Each comes back as a row without ``row_id``, in front of its fingerprint:
+    a row at the beginning of the window that stands for all the window holds.
     """
     width = cfg.merge_window_millis
     order = [c.alias(f"o{i}") for i, c in enumerate(arrival_order())]
@@ -206,13 +209,17 @@ def positions(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> D
         "row_id",
         F.unhex("event.hash").alias("hash"),
         F.unix_micros("event_time").alias("us"),
+        F.lit(0).cast("bigint").alias("more"),
         *order,
     )
+    if opened is not None:
+        first = opened.select("hash", F.col("window_us").alias("us"), (F.col("ordinal") - 1).alias("more"))
+        narrow = narrow.unionByName(first, allowMissingColumns=True)
     keys = ["hash", *[f"o{i}" for i in range(len(order))], "row_id"]
     ranged = (
         narrow.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .select("row_id", "hash", "us", F.spark_partition_id().alias("pid"))
+        .select("row_id", "hash", "us", "more", F.spark_partition_id().alias("pid"))
     )
     rows = checkpointed(ranged)
 
@@ -237,7 +244,7 @@ def positions(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> D
     # broadcasts hold one row per shuffle partition, whatever the data size
     summaries = (
         rows.join(F.broadcast(handing_over), "pid")
-        .select("pid", "heir", "latest", "hash", "us")
+        .select("pid", "heir", "latest", "hash", "us", "more")
         .mapInArrow(
             _summariser(width),
             "hash binary, pid int, heir int, entry bigint, exit_start bigint, exit_n bigint",
@@ -248,12 +255,53 @@ def positions(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> D
         .sortWithinPartitions("hash", "pid", "entry")
         .mapInArrow(_chainer(width), "pid int, carry_start bigint, carry_n bigint")
     )
-    placed = (
+    return (
         rows.join(F.broadcast(carried), "pid", "left")
-        .select("row_id", "hash", "us", "carry_start", "carry_n")
-        .mapInArrow(_folder(width), "row_id bigint, window_us bigint, ordinal bigint")
+        .select("row_id", "hash", "us", "more", "carry_start", "carry_n")
+        .mapInArrow(_folder(width), "row_id bigint, hash binary, window_us bigint, ordinal bigint")
     )
-    return placed.select("row_id", F.timestamp_micros("window_us").alias("window_start"), "ordinal")
+
+
+def positions(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """``(row_id, window_start, ordinal)`` for every row that has a fingerprint."""
+    return folded(documents, cfg).select("row_id", F.timestamp_micros("window_us").alias("window_start"), "ordinal")
+
+
+def last_of_windows(found: DataFrame) -> DataFrame:
+    """``(hash, window_us, ordinal, row_id)`` of the last row of each window: its ordinal is the true count.
+
+    An aggregation that combines before its shuffle, so a busy window is as cheap as others.
+    """
+    last = F.max(F.struct("ordinal", "row_id")).alias("last")
+    return found.groupBy("hash", "window_us").agg(last).select("hash", "window_us", "last.*")
+
+
+def has_window() -> Column:
+    return F.col("failure").isNull() & F.col("event.hash").isNotNull()
+
+
+def emitted(found: DataFrame, cfg: PipelineConfig, keep_suppressed: bool = False) -> DataFrame:
+    """``(row_id, window_start, ordinal, action)`` of the rows to write, from :func:`folded` rows.
+
+    ``merge_flush='threshold'``: raw rows up to the threshold, then a summary at every
+    multiple of it.  ``'final'``: raw rows up to the threshold and, for windows that hold
+    more, one summary at their last row, with the true count.
+    """
+    rows = found.where("row_id IS NOT NULL")
+    limit = cfg.merge_threshold
+    if cfg.merge_flush == "final":
+        rows = checkpointed(rows)
+        last = last_of_windows(rows).where(F.col("ordinal") > limit)
+        first = rows.where(F.col("ordinal") <= limit).withColumn("action", F.lit("raw"))
+        told = first.unionByName(last.withColumn("action", F.lit("aggregate")))
+        if keep_suppressed:
+            rest = rows.where(F.col("ordinal") > limit).join(last.select("row_id"), "row_id", "left_anti")
+            told = told.unionByName(rest.withColumn("action", F.lit("suppressed")))
+    else:
+        told = rows.withColumn("action", emission(F.col("ordinal"), cfg))
+        if not keep_suppressed:
+            told = told.where(F.col("action") != "suppressed")
+    return told.select("row_id", F.timestamp_micros("window_us").alias("window_start"), "ordinal", "action")
 
 
 def with_positions(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
@@ -263,38 +311,26 @@ def with_positions(documents: DataFrame, cfg: PipelineConfig = PipelineConfig())
 
 def _placed(documents: DataFrame, cfg: PipelineConfig, keep_suppressed: bool) -> DataFrame:
     if not cfg.merge_enabled:
-        return documents.withColumns(
-            {
-                "window_start": F.lit(None).cast("timestamp"),
-                "ordinal": F.lit(None).cast("bigint"),
-                "action": F.lit("raw"),
-            }
-        )
+        return unplaced(documents)
     if "row_id" not in documents.columns:
         documents = staged(documents, "documents")
-    understood = F.col("failure").isNull() & F.col("event.hash").isNotNull()
-    found = positions(documents.where(understood), cfg).withColumn(
-        "action", emission(F.col("ordinal"), cfg)
-    )
-    if not keep_suppressed:
-        found = found.where(F.col("action") != "suppressed")
+    understood = has_window()
+    found = emitted(folded(documents.where(understood), cfg), cfg, keep_suppressed)
     placed = documents.where(understood).join(found, "row_id").drop("row_id")
-    others = (
-        documents.where(~understood)
-        .drop("row_id")
-        .withColumns(
-            {
-                "window_start": F.lit(None).cast("timestamp"),
-                "ordinal": F.lit(None).cast("bigint"),
-                "action": F.lit("raw"),
-            }
-        )
-    )
-    return placed.unionByName(others)
+    return placed.unionByName(unplaced(documents.where(~understood).drop("row_id")))
+
 
+def unplaced(documents: DataFrame) -> DataFrame:
+    """Documents outside any window: they are written as they are."""
+    nothing = {"window_start": F.lit(None).cast("timestamp"), "ordinal": F.lit(None).cast("bigint")}
+    return documents.withColumns({**nothing, "action": F.lit("raw")})
 
-def aggregate_rows(documents: DataFrame) -> DataFrame:
-    """Turn rows whose ``action`` is ``aggregate`` into window summaries."""
+
+def aggregate_rows(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """Turn rows whose ``action`` is ``aggregate`` into window summaries.
+
+    With ``merge_flush='final'`` they keep the stack trace of their last row.
+    """
     is_aggregate = F.col("action") == "aggregate"
     attributes = F.create_map(
         F.lit("merge.window_start"),
@@ -306,6 +342,9 @@ def aggregate_rows(documents: DataFrame) -> DataFrame:
         F.lit("merge.sample_message"),
         F.col("message"),
     )
+    if cfg.merge_flush == "final":
+        trace = F.create_map(F.lit("merge.sample_stack_trace"), F.col("error.stack_trace"))
+        attributes = F.when(F.col("error.stack_trace").isNotNull(), F.map_concat(attributes, trace)).otherwise(attributes)
     event = (
         F.col("event")
         .withField("kind", F.lit("metric"))
@@ -338,7 +377,7 @@ def aggregate_rows(documents: DataFrame) -> DataFrame:
 
 def merge_anchored(documents: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Documents to write: raw rows and window summaries, suppressed rows left out."""
-    kept = aggregate_rows(_placed(documents, cfg, keep_suppressed=False))
+    kept = aggregate_rows(_placed(documents, cfg, keep_suppressed=False), cfg)
     return kept.drop("window_start", "ordinal")
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import sys
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +27,8 @@ RUNTIME_CONF = {
 }
 
 _fallback_dirs: dict[str, str] = {}
+_workspace: contextvars.ContextVar[str | None] = contextvars.ContextVar("workspace", default=None)
+_checkpointing = threading.Lock()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -53,7 +59,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_workspace.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any store that Spark reaches."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def workspace(spark: SparkSession, name: str = "work") -> Iterator[str]:
+    """Staged tables and checkpoints made inside go when the block ends.
+
+    For work that repeats, such as a micro-batch: write the results before leaving.
+    """
+    folder = scratch_path(spark, name)
+    token = _workspace.set(folder)
+    try:
+        yield folder
+    finally:
+        _workspace.reset(token)
+        remove_folder(spark, folder)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -68,8 +95,10 @@ def spread(df: DataFrame) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: partitions and row order stay as they are."""
     spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    # the folder is a setting of the whole application
+    with _checkpointing:
+        spark.sparkContext.setCheckpointDir(_workspace.get() or shared_dir(spark))
+        return df.checkpoint(eager=True)
 
 
 def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

@@ -59,6 +59,10 @@ def message_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.format(fmt).schema(MESSAGES).load(path)
 
 
+def no_messages(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], MESSAGES)
+
+
 def text_lines(spark: SparkSession, path: str, topic: str) -> DataFrame:
     """Every line of text files as one message without a broker offset."""
     return ad_hoc(spark.read.text(path).withColumnRenamed("value", "payload"), topic)

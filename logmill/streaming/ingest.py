@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
@@ -10,17 +13,65 @@ from ..operators.merge import merge_tumbling, sum_parts, tumbling_parts
 from ..operators.metrics import observe_progress
 from ..plans.ingest import finish, prepare
 from ..plans.jobs import write_both
-from ..session import configure
+from ..session import configure, staged, workspace
+from ..sources.messages import no_messages
 from ..sources.tables import read_table, write_parts
-from .merge_state import merge_stream
+from .windows import close_windows, merge_batch, open_windows
 
+WINDOWS = "open-windows"
 
-def routed_stream(
-    messages: DataFrame, cfg: PipelineConfig = PipelineConfig(), idle_millis: int | None = None
-) -> DataFrame:
-    """Streaming messages to routed rows, as ``process`` does for static ones."""
-    configure(messages.sparkSession)
-    return finish(merge_stream(prepare(messages, cfg), cfg, idle_millis), cfg)
+
+Sink = Callable[[DataFrame, int], None]
+
+
+def start_routed(
+    messages: DataFrame,
+    sink: Sink,
+    checkpoint: str,
+    cfg: PipelineConfig = PipelineConfig(),
+    trigger: dict | None = None,
+    lateness_millis: int | None = None,
+) -> StreamingQuery:
+    """Hand the routed rows of each micro-batch of a message stream to ``sink(rows, batch_id)``.
+
+    Over all batches these are the rows of ``process`` on the same messages.  Parsed
+    documents and other tables of a batch live until it is done; the open duplicate windows are
+    a table in the checkpoint folder (see :mod:`logmill.streaming.windows`, also for
+    ``lateness_millis``).  With ``merge_flush='final'``, :func:`finish_routed` writes the
+    summaries of windows still open when the stream has ended.
+    """
+    spark = configure(messages.sparkSession)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with workspace(spark, "batch"):
+            documents = staged(batch, "documents")
+            if cfg.merge_enabled:
+                windows = open_windows(spark, f"{checkpoint}/{WINDOWS}", documents, cfg)
+                merged = merge_batch(documents, windows, batch_id, cfg, lateness_millis)
+            else:
+                merged = documents.drop("row_id").withColumn("action", F.lit("raw"))
+            sink(staged(finish(merged, cfg), "routed").drop("row_id"), batch_id)
+
+    return (
+        observe_progress(prepare(messages, cfg))
+        .writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "3 seconds"}))
+        .start()
+    )
+
+
+def finish_routed(
+    spark: SparkSession, sink: Sink, checkpoint: str, batch_id: int, cfg: PipelineConfig = PipelineConfig()
+) -> None:
+    """After the last batch of a stopped stream: summaries of its open windows go to ``sink``.
+
+    ``batch_id`` is one that the stream has not used yet.
+    """
+    configure(spark)
+    with workspace(spark, "batch"):
+        windows = open_windows(spark, f"{checkpoint}/{WINDOWS}", prepare(no_messages(spark), cfg), cfg)
+        sink(staged(finish(close_windows(windows, batch_id, cfg), cfg), "routed").drop("row_id"), batch_id)
 
 
 def start_ingest(
@@ -30,7 +81,7 @@ def start_ingest(
     checkpoint: str,
     cfg: PipelineConfig = PipelineConfig(),
     trigger: dict | None = None,
-    idle_millis: int | None = None,
+    lateness_millis: int | None = None,
 ) -> StreamingQuery:
     """Start writing a message stream to the routed table and the dead letters.
 
@@ -40,21 +91,11 @@ def start_ingest(
     same one from a new checkpoint, never replaces these rows.
     """
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        try:
-            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            write_both(rows, table, dead_letters, cfg, f"stream-{query}-{batch_id}")
-        finally:
-            rows.unpersist()
-
-    stream = observe_progress(routed_stream(messages, cfg, idle_millis))
-    return (
-        stream.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "3 seconds"}))
-        .start()
-    )
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_both(rows, table, dead_letters, cfg, f"stream-{query}-{batch_id}")
+
+    return start_routed(messages, sink, checkpoint, cfg, trigger, lateness_millis)
 
 
 def start_tumbling(

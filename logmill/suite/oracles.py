@@ -291,6 +291,18 @@ ORACLES: dict[str, str] = {
         'logs-aggregate-metrics-' || namespace AS data_stream, 'metric' AS kind, 'aggregate-metrics' AS dataset, ordinal::VARCHAR AS occurrence_count,
         {_iso('window_us')} AS window_start, {_iso('event_us')} AS window_end, message AS sample_message, 'merge-window' AS policy
       FROM placed WHERE action = 'aggregate'"""),
+    "merge_final": _placed(f"""
+      , counted AS (SELECT *, max(ordinal) OVER (PARTITION BY hash, window_us) AS total FROM placed)
+      SELECT id, data_stream, 'raw' AS action, NULL::VARCHAR AS occurrence_count, NULL::VARCHAR AS window_end, NULL::VARCHAR AS sample_message,
+        NULL::VARCHAR AS sample_stack_trace FROM counted WHERE ordinal <= 3
+      UNION ALL SELECT 'aggregate-' || hash || '-' || (window_us // 1000), 'logs-aggregate-metrics-' || namespace, 'aggregate', total::VARCHAR,
+        {_iso('event_us')}, message, stack_trace FROM counted WHERE ordinal = total AND total > 3"""),
+    "stream_final": _placed(f"""
+      , counted AS (SELECT *, max(ordinal) OVER (PARTITION BY hash, window_us) AS total FROM placed)
+      SELECT id, data_stream, 'raw' AS action, NULL::VARCHAR AS occurrence_count, NULL::VARCHAR AS window_end, NULL::VARCHAR AS sample_message,
+        NULL::VARCHAR AS sample_stack_trace FROM counted WHERE ordinal <= 3
+      UNION ALL SELECT 'aggregate-' || hash || '-' || (window_us // 1000), 'logs-aggregate-metrics-' || namespace, 'aggregate', total::VARCHAR,
+        {_iso('event_us')}, message, stack_trace FROM counted WHERE ordinal = total AND total > 3"""),
     "merge_tumbling": _docs("""
       SELECT hash, event_us // 21600000000 * 21600000000 AS window_us, count(*) AS occurrence_count, min(event_us) AS first_us, max(event_us) AS last_us,
         arg_min(message, (ts_us, part, off)) AS first_message, arg_max(message, (ts_us, part, off)) AS last_message

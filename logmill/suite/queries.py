@@ -26,7 +26,7 @@ from ..plans.jobs import compact_partition, ingest_batch, replay_job, write_both
 from ..session import configure, scratch_path, spread, staged
 from ..sources.messages import ad_hoc, file_stream
 from ..sources.tables import latest_per_id, read_table, upsert_by_day
-from ..streaming.ingest import read_tumbling, routed_stream, start_ingest, start_tumbling
+from ..streaming.ingest import finish_routed, read_tumbling, start_ingest, start_routed, start_tumbling
 from . import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -765,37 +765,65 @@ def consumer_counters(spark, sf_dir):
 # ---- streams -------------------------------------------------------------------------
 
 
-def _message_stream(spark, sf_dir) -> DataFrame:
-    """The message log as files that a stream picks up."""
+def _arriving_log(spark, sf_dir, steps: int = 4) -> str:
+    """The message log as files that arrive in the order of its times, ``steps`` times eight of them."""
     folder = scratch_path(spark, "log")
-    X.messages(spark, sf_dir).write.parquet(folder)
-    return file_stream(spark, folder)
+    log = X.messages(spark, sf_dir)
+    cuts = log.agg(F.percentile_approx("timestamp", [i / steps for i in range(1, steps)]).alias("cuts")).first()["cuts"] or []
+    step = sum((F.col("timestamp") > F.lit(c)).cast("int") for c in cuts) if cuts else F.lit(0)
+    for i in range(len(cuts) + 1):
+        log.where(step == i).repartition(8).write.mode("append").parquet(folder)
+    return folder
 
 
-def _drained(stream: DataFrame, mode: str) -> DataFrame:
-    """Run a stream over what is there now and read back what it wrote."""
-    spark = stream.sparkSession
+def _ingested(spark, sf_dir, cfg) -> DataFrame:
+    """Rows of a stream over several micro-batches and of the windows open at its end."""
     target, state = scratch_path(spark, "out"), scratch_path(spark, "state")
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    running = (
-        stream.writeStream.foreachBatch(sink)
-        .outputMode(mode)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start()
-    )
+    source = file_stream(spark, _arriving_log(spark, sf_dir), max_files=8)
+    running = start_routed(source, sink, state, cfg, {"availableNow": True})
     running.awaitTermination()
+    if cfg.merge_flush == "final":
+        finish_routed(spark, sink, state, 1_000_000, cfg)
     return spark.read.parquet(target).drop("batch")
 
 
 @query
 def stream_ingest(spark, sf_dir):
-    """The document path with the stateful merge on a stream of messages."""
-    rows = routed_stream(_message_stream(spark, sf_dir), MERGE_CFG)
-    return _drained(rows.select("id", "data_stream", F.col("event.kind").alias("kind"), "failure"), "append")
+    """The document path with the duplicate windows going on from batch to batch."""
+    rows = _ingested(spark, sf_dir, MERGE_CFG)
+    return rows.select("id", "data_stream", F.col("event.kind").alias("kind"), "failure")
+
+
+FINAL_CFG = MERGE_CFG.with_(merge_flush="final")
+
+
+def _window_rows(rows: DataFrame) -> DataFrame:
+    found = F.when(F.col("action") == "aggregate", F.col("attributes"))
+    return rows.where("failure IS NULL").select(
+        "id",
+        "data_stream",
+        "action",
+        found["merge.occurrence_count"].alias("occurrence_count"),
+        found["merge.window_end"].alias("window_end"),
+        found["merge.sample_message"].alias("sample_message"),
+        found["merge.sample_stack_trace"].alias("sample_stack_trace"),
+    )
+
+
+@query
+def merge_final(spark, sf_dir):
+    """One summary per window with its true count, beside the raw rows up to the threshold."""
+    return _window_rows(finish(M.merge_anchored(stored(spark, sf_dir), FINAL_CFG), FINAL_CFG))
+
+
+@query
+def stream_final(spark, sf_dir):
+    """The same over a stream: windows are summed up when they close, the rest at its end."""
+    return _window_rows(_ingested(spark, sf_dir, FINAL_CFG))
 
 
 @query
