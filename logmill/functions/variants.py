@@ -3,7 +3,8 @@
 Three notions matter here: a key can be absent (SQL NULL), present with a JSON
 ``null`` (a variant null), or present with a value.  Telemetry values may be
 wrapped as ``{"stringValue": ...}`` and the like; :func:`opened_text` removes
-such wrappers and renders the content as text.
+such wrappers and renders the content as text.  Wrappers around lists, which nest, are
+the matter of :mod:`logmill.functions.nested`.
 
 All members of interest are read by one cast of an object to a struct of
 variants, which walks the object once; path look-ups would search it per key.
@@ -26,12 +27,8 @@ SCALAR_WRAPPERS: tuple[str, ...] = (
     "boolValue",
     "bytesValue",
 )
-ARRAY_WRAPPER = "arrayValue"
-KV_WRAPPER = "kvlistValue"
 
-_WRAPPER_STRUCT = "struct<{},{}:struct<values:array<variant>>,{}:struct<values:variant>>".format(
-    ",".join(f"{key}:variant" for key in SCALAR_WRAPPERS), ARRAY_WRAPPER, KV_WRAPPER
-)
+_WRAPPER_STRUCT = "struct<{}>".format(",".join(f"{key}:variant" for key in SCALAR_WRAPPERS))
 
 
 def cast_variant(value: str, target: str) -> str:
@@ -66,14 +63,14 @@ def first_text(struct: str, names: Iterable[str]) -> str:
     return f"coalesce({', '.join(f'{struct}.`{name}`' for name in names)})"
 
 
-def unwrapped(text: str, value: str, depth: int = 0) -> str:
+def unwrapped(text: str, value: str) -> str:
     """``text`` of ``value``, without a telemetry wrapper.
 
     Only text that looks like an object can hide one; ``value`` is evaluated for
     such rows alone.
     """
     bound = f"transform(array({value}), y -> named_struct('value', y, 'opened', {wrapper('y')}))"
-    exact = f"get(transform({bound}, z -> {opened_text('z.value', 'z.opened', depth)}), 0)"
+    exact = f"get(transform({bound}, z -> {opened_text('z.value', 'z.opened')}), 0)"
     return f"CASE WHEN startswith({text}, '{{') THEN {exact} ELSE {text} END"
 
 
@@ -82,40 +79,19 @@ def wrapper(value: str) -> str:
     return cast_variant(value, _WRAPPER_STRUCT)
 
 
-def opened_text(value: str, opened: str, depth: int = 0) -> str:
+def opened_text(value: str, opened: str) -> str:
     """Text of ``value``, whose :func:`wrapper` is ``opened``, without that wrapper.
 
-    Scalars come as text, objects and arrays as JSON text, JSON null as NULL.
-    Nested array and key/value wrappers are removed down to ``depth`` levels and
-    rendered as JSON text; deeper ones keep their raw JSON.
+    Scalars come as text, objects and arrays as JSON text, JSON null as NULL.  Wrappers
+    that nest have been opened before (:mod:`logmill.functions.nested`).
     """
-    return cast_variant(_opened(value, opened, depth), "string")
+    return cast_variant(f"coalesce({_scalar(opened)}, {value})", "string")
 
 
 def _scalar(opened: str) -> str:
     return f"coalesce({', '.join(f'{opened}.{key}' for key in SCALAR_WRAPPERS)})"
 
 
-def _opened(value: str, opened: str, depth: int) -> str:
-    options = [f"{opened}.{key}" for key in SCALAR_WRAPPERS]
-    if depth > 0:
-        x, e = f"x{depth}", f"e{depth}"
-        inner = _opened(f"{e}.value", f"{e}.opened", depth - 1)
-        content = (
-            f"transform({opened}.{ARRAY_WRAPPER}.values,"
-            f" {x} -> named_struct('value', {x}, 'opened', {wrapper(x)}))"
-        )
-        pairs = _opened_entries(f"{opened}.{KV_WRAPPER}.values", x)
-        array_json = f"coalesce(to_json(transform({content}, {e} -> {inner})), '[]')"
-        map_json = (
-            "coalesce(to_json(map_from_entries("
-            f"transform({pairs}, {e} -> struct({e}.key, {inner})))), '{{}}')"
-        )
-        for key, text in ((ARRAY_WRAPPER, array_json), (KV_WRAPPER, map_json)):
-            options.append(f"CASE WHEN {opened}.{key} IS NOT NULL THEN try_parse_json({text}) END")
-    return f"coalesce({', '.join([*options, value])})"
-
-
 def _entries(body: str) -> str:
     """Entries of a ``{key, value}`` list or of an object as ``ARRAY<STRUCT<key, value>>``."""
     listed = cast_variant(body, "array<struct<key:string,value:variant>>")
@@ -135,19 +111,14 @@ def has_entries(value: str) -> str:
     return f"coalesce(size({_entries(value)}) > 0, false)"
 
 
-def text_map(value: str, opened: str, depth: int = 3) -> str:
+def text_map(value: str, opened: str) -> str:
     """Attribute list or object to ``MAP<STRING, STRING>``; other values give an empty map.
 
-    ``opened`` is the :func:`wrapper` of ``value``: a key/value or array wrapper
-    around the entries is looked through.  A later entry replaces an earlier one
+    ``opened`` is the :func:`wrapper` of ``value``.  A later entry replaces an earlier one
     with the same key.
     """
-    body = (
-        f"coalesce({opened}.{KV_WRAPPER}.values,"
-        f" CAST({opened}.{ARRAY_WRAPPER}.values AS VARIANT), {value})"
-    )
-    text = opened_text("m.value", "m.opened", depth)
-    entries = f"transform({_opened_entries(body, 'n')}, m -> struct(m.key, {text}))"
+    text = opened_text("m.value", "m.opened")
+    entries = f"transform({_opened_entries(value, 'n')}, m -> struct(m.key, {text}))"
     return (
         f"coalesce(CASE WHEN {_scalar(opened)} IS NULL THEN map_from_entries({entries}) END,"
         " CAST(map() AS MAP<STRING, STRING>))"

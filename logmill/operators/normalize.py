@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
+from ..functions.nested import may_nest, settled
 from ..functions.plan import filter_barrier
 from ..functions.text import has_text, iso_instant, sha256_hex, text_or, text_or_null
 from ..functions.times import resolve_event_time
@@ -101,7 +102,7 @@ def extract_record(decoded: DataFrame, records: str = "first") -> DataFrame:
         )
     own = members("top.resource", ("attributes",)) + ".attributes"
     bundled = members("parts.resource", ("attributes",)) + ".attributes"
-    return (
+    found = (
         nested.withColumn("rec", F.coalesce("rec", "bundle", "doc"))
         .withColumn("own", sql(own))
         .withColumn(
@@ -110,9 +111,20 @@ def extract_record(decoded: DataFrame, records: str = "first") -> DataFrame:
             .when(sql(has_entries("own")), F.col("own"))
             .otherwise(F.col("top.resource")),
         )
+        .drop("doc", "top", "bundle", "parts", "own")
+    )
+    # records with wrappers that nest are rewritten, all others pass a null
+    deep = may_nest(F.col("value"))
+    names = _distinct([*_RECORD_FIELDS.values(), *ERROR_RECORD_KEYS.values()])
+    texts = (F.when(deep, F.to_json(c)) for c in ("rec", "res"))
+    return (
+        found.withColumn("plain", settled(*texts, names, "exception", "attributes"))
+        .withColumn("rec", F.coalesce(F.try_parse_json("plain.rec"), "rec"))
+        .withColumn("res", F.coalesce(F.try_parse_json("plain.res"), "res"))
+        .drop("plain")
         .withColumn("res_opened", sql(wrapper("res")))
         .withColumn("resource", sql(text_map("res", "res_opened")))
-        .drop("doc", "top", "bundle", "parts", "own", "res", "res_opened")
+        .drop("res", "res_opened")
     )
 
 
@@ -161,7 +173,7 @@ def _with_fields(extracted: DataFrame) -> DataFrame:
         "open_attributes": wrapper("fields.attributes"),
     }
     texts = {
-        f"txt_{n}": unwrapped(f"txt_{n}", lookup("rec", keys), 3 if n == "body" else 0)
+        f"txt_{n}": unwrapped(f"txt_{n}", lookup("rec", keys))
         for n, keys in _RECORD_FIELDS.items()
     }
     texts |= {

@@ -37,18 +37,41 @@ END
 """.replace("{iso}", ISO)
 
 
+# a plain object keeps what it holds
+_PLAIN_OBJECT = '{"z":1,"a":[{"stringValue":"kept"}]}'
+_DEPTH = "CAST(event_id % 8 + 1 AS INT)"
+_LISTS = f"""concat(repeat('{{"arrayValue":{{"values":[', {_DEPTH}), '{{"intValue":"', event_id, '"}}', repeat(']}}}}', {_DEPTH}))"""
+_PAIRS = f"""concat(repeat('{{"kvlistValue":{{"values":[{{"key":"k","value":', {_DEPTH}), '{{"stringValue":"v', user_id, '"}}', repeat('}}]}}}}', {_DEPTH}))"""
+# every seventh record is flat
+_NESTED = f"""
+CASE WHEN event_id % 7 = 0 THEN concat('{{"body":"flat ', event_id, '","severityText":"INFO","serviceName":"flat","region":"r","attributes":{{"plain":"7"}}}}')
+ELSE concat('{{"body":', CASE WHEN event_id % 2 = 0 THEN {_PAIRS} ELSE {_LISTS} END,
+  ',"severityText":', CASE event_id % 3 WHEN 0 THEN '{{"stringValue":"WARN"}}' WHEN 1 THEN '{{"arrayValue":{{"values":[{{"stringValue":"WARN"}},{{"boolValue":true}}]}}}}' ELSE '"INFO"' END,
+  ',"serviceName":', CASE event_id % 5 WHEN 0 THEN {_PAIRS} ELSE '{{"stringValue":"svc"}}' END,
+  ',"region":', {_LISTS}, ',"exception":{{"type":', {_LISTS}, ',"message":{{"stringValue":"m', event_id, '"}}}}',
+  ',"attributes":[{{"key":"deep","value":', {_LISTS}, '}},{{"key":"plain","value":{{"intValue":"7"}}}},{{"key":"stringValue","value":{_PLAIN_OBJECT}}}]',
+  ',"resource":{{"attributes":{{"kvlistValue":{{"values":[{{"key":"az","value":', {_PAIRS}, '}}]}}}}}}}}')
+END
+"""
+
+
+def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose values are wrapped up to eight levels deep, in every field."""
+    return messages(spark, sf_dir, _NESTED)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
     return raw.withColumn("at", F.col("ts").cast("timestamp"))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, value: str = _VALUE) -> DataFrame:
     return spread(events(spark, sf_dir)).select(
         F.lit("app.logs").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("user_id").cast("string").alias("key"),
-        F.expr(_VALUE).alias("value"),
+        F.expr(value).alias("value"),
         F.col("at").alias("timestamp"),
     )
 

@@ -211,6 +211,16 @@ _TEMPLATE = r"""regexp_replace(regexp_replace(regexp_replace(text, '[0-9a-fA-F]{
 ORACLES: dict[str, str] = {
     "decode_json_or_text": f"WITH {MSGS} SELECT off AS \"offset\", CASE WHEN value LIKE '{{%' THEN 'object' WHEN trim(value) = '' THEN 'blank' ELSE 'text' END AS kind FROM msgs",
     "normalize_documents": _docs("SELECT id, event_us, message, level, service, 'prod' AS environment, trace_id, tenant_id, attr_n, failure FROM docs"),
+    "nested_values": """
+      WITH v AS (SELECT event_id, user_id, event_id % 7 = 0 AS flat, (event_id % 8 + 1)::INT AS d FROM events),
+      w AS (SELECT *, repeat('[', d) || '"' || event_id || '"' || repeat(']', d) AS lists, repeat('{"k":', d) || '"v' || user_id || '"' || repeat('}', d) AS pairs FROM v)
+      SELECT 'app.logs-' || (user_id % 4) || '-' || event_id AS id,
+        CASE WHEN flat THEN 'flat ' || event_id WHEN event_id % 2 = 0 THEN pairs ELSE lists END AS message,
+        CASE WHEN flat THEN 'INFO' WHEN event_id % 3 = 0 THEN 'WARN' WHEN event_id % 3 = 1 THEN '["WARN",true]' ELSE 'INFO' END AS level,
+        CASE WHEN flat THEN 'flat' WHEN event_id % 5 = 0 THEN pairs ELSE 'svc' END AS service,
+        CASE WHEN flat THEN 'r' ELSE lists END AS region, CASE WHEN NOT flat THEN pairs END AS az, CASE WHEN NOT flat THEN lists END AS error_type,
+        CASE WHEN NOT flat THEN 'm' || event_id END AS error_message, CASE WHEN NOT flat THEN lists END AS deep, '7' AS plain,
+        CASE WHEN NOT flat THEN '{"a":[{"stringValue":"kept"}],"z":1}' END AS object, NULL::VARCHAR AS failure FROM w""",
     "normalize_flat": _docs(
         "SELECT id, 'logs-flat-' || strftime(make_timestamp(event_us), '%Y.%m.%d') AS bucket, event_us, level AS severity_text, severity_number, trace_id,"
         " service AS service_name, message AS body, key AS message_key, res_region AS region, value AS raw_payload, failure FROM docs"

@@ -123,6 +123,26 @@ def normalize_documents(spark, sf_dir):
     )
 
 
+@query
+def nested_values(spark, sf_dir):
+    """Values wrapped one to eight levels deep, in every field of a record."""
+    rows = N.normalize(X.nested_messages(spark, sf_dir), KEEP_ALL)
+    return rows.select(
+        "id",
+        "message",
+        F.col("log.level").alias("level"),
+        F.col("service.name").alias("service"),
+        F.col("labels")["region"].alias("region"),
+        F.col("labels")["az"].alias("az"),
+        F.col("error.type").alias("error_type"),
+        F.col("error.message").alias("error_message"),
+        F.col("attributes")["deep"].alias("deep"),
+        F.col("attributes")["plain"].alias("plain"),
+        F.col("attributes")["stringValue"].alias("object"),
+        "failure",
+    )
+
+
 @query
 def normalize_flat(spark, sf_dir):
     rows = N.normalize_flat(X.messages(spark, sf_dir))
