@@ -52,27 +52,31 @@ def shared_heads(suffixes: DataFrame) -> DataFrame:
     """
     ordered = suffixes.repartitionByRange("head", "doc").sortWithinPartitions("head", "doc")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a batch is held back until the next shows how its last head goes on
-        head, doc, first = None, None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            h, d = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            head, doc = (h, d) if head is None else (np.concatenate([head, h]), np.concatenate([doc, d]))
-            first = head[0] if first is None else first
-            whole = int(np.searchsorted(head, head[-1], side="left"))
-            # a head that fills whole batches is passed on piece by piece: it is shared or an edge
-            if whole == 0 and len(head) > 1 << 18:
-                pass_on, whole = np.ones(len(head) - 1, dtype=bool), len(head) - 1
-            else:
-                pass_on = _differ(head[:whole], doc[:whole]) | (head[:whole] == first)
-            yield pa.record_batch([_long(head[:whole][pass_on]), _long(doc[:whole][pass_on])], names=["head", "doc"])
-            head, doc = head[whole:], doc[whole:]
-        if head is not None:
-            yield pa.record_batch([_long(head), _long(doc)], names=["head", "doc"])
-
-    return ordered.mapInArrow(compare, "head bigint, doc bigint")
+    return ordered.mapInArrow(_compare_neighbours, "head bigint, doc bigint")
+
+
+def _compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # a batch is held back until the next shows how its last head goes on
+    head, doc, first, passed = None, None, None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, d = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        head, doc = (h, d) if head is None else (np.concatenate([head, h]), np.concatenate([doc, d]))
+        first = head[0] if first is None else first
+        whole = int(np.searchsorted(head, head[-1], side="left"))
+        # a head that fills whole batches is passed on piece by piece: it is shared or an edge
+        if whole == 0 and len(head) > 1 << 18:
+            pass_on, whole, passed = np.ones(len(head) - 1, dtype=bool), len(head) - 1, head[-1]
+        else:
+            pass_on = _differ(head[:whole], doc[:whole]) | (head[:whole] == first)
+            if passed is not None:
+                # the rest of a head whose beginning was passed on
+                pass_on |= head[:whole] == passed
+        yield pa.record_batch([_long(head[:whole][pass_on]), _long(doc[:whole][pass_on])], names=["head", "doc"])
+        head, doc = head[whole:], doc[whole:]
+    if head is not None:
+        yield pa.record_batch([_long(head), _long(doc)], names=["head", "doc"])
 
 
 def _differ(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
