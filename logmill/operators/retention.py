@@ -49,23 +49,56 @@ def rules_table(spark, rules: tuple[RetentionRule, ...]) -> DataFrame:
     )
 
 
+_EDGE = "\u0001"  # stands before and behind a whole name
+
+
+def _keys(text: str) -> str:
+    """Everything that a name must hold to contain ``text``: words between separators, three signs in a row, nothing."""
+    words = f"transform(regexp_extract_all({text}, '(?<=[^0-9A-Za-z])[0-9A-Za-z]+(?=[^0-9A-Za-z])', 0), w -> concat('w', w))"
+    signs = f"if(char_length({text}) < 3, array(), transform(sequence(1, greatest(char_length({text}) - 2, 1)), i -> concat('s', substring({text}, i, 3))))"
+    return f"array_distinct(concat(array('', concat('n', {text})), {words}, {signs}))"
+
+
+def name_keys(names: DataFrame) -> DataFrame:
+    """(data_stream, key): what the literal text of a matching pattern can ask for."""
+    whole = f"concat('{_EDGE}', data_stream, '{_EDGE}')"
+    return names.select("data_stream", F.explode(F.expr(_keys(whole))).alias("key"))
+
+
+def pattern_keys(rules: DataFrame) -> DataFrame:
+    """(pattern, key): the keys that every name must have that a pattern matches."""
+    pieces = f"split(concat('{_EDGE}', pattern, '{_EDGE}'), '\\\\*')"
+    # a piece asks for itself only where it is the whole pattern
+    kept = f"if(size({pieces}) = 1, k, filter(k, x -> NOT startswith(x, 'n')))"
+    every = f"flatten(transform(transform({pieces}, p -> {_keys('p')}), k -> {kept}))"
+    return rules.select("pattern").distinct().select("pattern", F.explode(F.array_distinct(F.expr(every))).alias("key"))
+
+
+def rarest_keys(names: DataFrame, rules: DataFrame) -> DataFrame:
+    """(pattern, key, n): of the keys of a pattern the one that fewest names have; none that no name has."""
+    held = name_keys(names).groupBy("key").agg(F.count("*").alias("n"))
+    asked = pattern_keys(rules).join(held, "key", "left")
+    least = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key")).alias("least")
+    return asked.groupBy("pattern").agg(least).where("least.n > 0").select("pattern", "least.key", "least.n")
+
+
 def match_rules(streams: DataFrame, rules: DataFrame) -> DataFrame:
     """Best rule per stream name from a table of rules, however many there are.
 
-    A name can only match patterns whose text before the first star begins it, so the
-    beginnings of the distinct names meet that text in an equi-join, and the few pairs
-    left are tested in full.  Of rules of equal priority the last policy name wins, as
-    in :func:`rule_column`.
+    A name matches a pattern only if it holds all literal text of it.  Of that text the
+    pattern is joined by what fewest names hold: a word between separators, three signs
+    in a row, or the whole name; the pairs found are tested in full.  A pattern for which
+    even that is common does match many names; Spark splits such a key, and the best
+    rule of a name is found before the shuffle.  Of rules of equal priority the last
+    policy name wins, as in :func:`rule_column`.
     """
     names = streams.select("data_stream").distinct()
-    heads = names.select(
-        "data_stream",
-        F.explode(F.expr("transform(sequence(0, length(data_stream)), n -> left(data_stream, n))")).alias("head"),
-    )
-    side = rules.withColumn("head", F.substring_index("pattern", "*", 1))
+    chosen = rarest_keys(names, rules).drop("n")
+    side = rules.join(chosen, "pattern")
     best = F.struct("priority", "policy", "warm_days", "delete_days")
     return (
-        heads.join(side, "head")
+        name_keys(names)
+        .join(side, "key")
         .where(F.expr("data_stream RLIKE regex"))
         .groupBy("data_stream")
         .agg(F.max(best).alias("best"))

@@ -276,6 +276,17 @@ ORACLES: dict[str, str] = {
         CASE retention WHEN 'SHORT' THEN 'logs-*-access-*,logs-*-debug-*' WHEN 'ERROR' THEN 'logs-*-error-*' ELSE 'logs-*-*' END AS patterns, count(*) AS n
       FROM routed GROUP BY ALL"""),
     "retention_by_pattern": _docs(f"SELECT {POLICY} AS policy, count(*) AS n FROM routed GROUP BY 1"),
+    "retention_many_patterns": """
+      WITH o AS (SELECT DISTINCT o_orderkey AS k, o_custkey AS c FROM orders),
+      hit AS (
+        SELECT k, c, 500 AS p, 'broad' AS policy, 30 AS d FROM o
+        UNION ALL SELECT k, c, 560, 'nines', 2 FROM o WHERE k % 10 = 9
+        UNION ALL SELECT k, c, 600, 'keep-600', 9 FROM o WHERE k % 4 = 0
+        UNION ALL SELECT k, c, 700, 'keep-700', 9 FROM o WHERE k % 4 = 2
+        UNION ALL SELECT a.k, a.c, 650, 'keep-650', 9 FROM o a JOIN o b ON b.k = a.k - 1 WHERE b.k % 4 = 3
+        UNION ALL SELECT k, c, 550, 'keep-550', 9 FROM o SEMI JOIN (SELECT c FROM o WHERE k % 4 = 1) b USING (c))
+      SELECT 'logs-c' || c || '-' || k || '-prod' AS data_stream, max(p)::BIGINT AS priority, arg_max(policy, p) AS policy, arg_max(d, p)::BIGINT AS delete_days
+      FROM hit GROUP BY k, c""",
     "retention_by_table": _docs(f"""
       , s AS (SELECT DISTINCT data_stream FROM routed), p AS (SELECT data_stream, {POLICY} AS policy FROM s)
       SELECT data_stream, policy, CASE policy WHEN 'audit-policy' THEN 900 WHEN 'error-policy' THEN 800 WHEN 'short-policy' THEN 700 ELSE 500 END::BIGINT AS priority,

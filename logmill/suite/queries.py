@@ -392,6 +392,27 @@ def retention_by_pattern(spark, sf_dir):
     )
 
 
+@query
+def retention_many_patterns(spark, sf_dir):
+    """A rule per order and more beside a few broad ones: as many patterns as stream names."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    part = {"k": F.col("o_orderkey"), "c": F.col("o_custkey")}
+    name = F.concat(F.lit("logs-c"), part["c"], F.lit("-"), part["k"], F.lit("-prod"))
+    glob = (
+        F.when(part["k"] % 4 == 0, F.concat(F.lit("logs-*-"), part["k"], F.lit("-*")))
+        .when(part["k"] % 4 == 1, F.concat(F.lit("logs-c"), part["c"], F.lit("-*")))
+        .when(part["k"] % 4 == 2, name)
+        .otherwise(F.concat(F.lit("*-"), part["k"] + 1, F.lit("-prod")))
+    )
+    rank = F.element_at(F.array(*[F.lit(p) for p in (600, 550, 700, 650)]), (part["k"] % 4 + 1).cast("int"))
+    own = orders.select(glob.alias("pattern"), rank.alias("priority"), F.concat(F.lit("keep-"), rank).alias("policy"), F.lit(3).alias("warm_days"), F.lit(9).alias("delete_days"))
+    broad = spark.createDataFrame([("logs-*-*", 500, "broad", 3, 30), ("logs-*9-prod", 560, "nines", 1, 2), ("audit-*", 900, "never", 1, 1)], own.schema)
+    # the stars of a glob are the only signs in it that mean something in a regular expression
+    rules = own.unionByName(broad).withColumn("regex", F.concat(F.lit("^"), F.regexp_replace("pattern", r"\*", ".*"), F.lit("$")))
+    rows = RT.match_rules(orders.select(name.alias("data_stream")), rules)
+    return rows.select("data_stream", big("priority").alias("priority"), "policy", big("delete_days").alias("delete_days"))
+
+
 @query
 def retention_by_table(spark, sf_dir):
     rows = C.classify(documents(spark, sf_dir), KEEP_ALL)
