@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..session import scratch_path
+from ..session import remove_folder, scratch_path
 
 # tasks get these functions with the job, wherever the package is installed
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
@@ -30,7 +30,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(_nullable(df.schema)).parquet(path)
+    kept = df.sparkSession.read.schema(_nullable(df.schema)).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`keep` that nothing refers to any more."""
+    for df in tables:
+        path = df.__dict__.pop("kept_at", None)
+        if path is not None:
+            remove_folder(df.sparkSession, path)
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, keep, one_text_per_id, table, text_slices
+from .common import bounded_batches, discard, keep, one_text_per_id, table, text_slices
 from .components import components
 from .hashing import Words, gram_hashes, mix64
 
@@ -20,7 +20,12 @@ SKETCHES, PER_SKETCH = 48, 2
 SHORT = ((16, 2, 24, 1), (60, 2, 40, 2))
 PAIR_GROUP = 256
 BLOCK, BAG = 64, 128
-# further hubs are drawn, for at most so many turns, while more pairs than this are left
+# every so manieth sketch is looked at first
+FIRST_SKETCHES = 6
+# further hubs are drawn, for at most so many turns, while this share of their pairs is linked and
+# more pairs than this are left; the classes are the same whenever the turns end, since all pairs
+# left are tested
+LINKED = 0.1
 TURNS, PAIRS, PAIRS_A_ROW = 8, 100_000, 2
 _LAST = 2**63 - 1  # stands for a null id, which is ordered last
 _SEEDS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -180,18 +185,28 @@ def sketched(texts: DataFrame, shingle: int, sketches: int, size: int, threshold
 
 
 def shared_buckets(entries: DataFrame) -> DataFrame:
-    """(bucket, doc, weight, root): the entries of buckets with several documents.
+    """(bucket, doc, weight, root): the entries (bucket, doc, root) of buckets with several roots.
 
-    ``weight`` is the number of entries in all buckets of the document: what most copies
-    come from shares its buckets with more of them than they share with each other.
+    Near copies share most of their sketches, so many buckets hold the same documents as
+    others: of those with equal sets one is enough.  Sets are compared by their size and
+    128 bits of a sum that does not depend on the order.  ``weight`` is the number of
+    entries in all buckets of the document: what most copies come from shares its buckets
+    with more of them than they share with each other.
     """
-    several = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    several = entries.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     # a table of its own: Spark splits a skewed join only where no aggregation shares its stage
-    several = keep(several, "bucket-sizes")
-    entries = keep(entries.join(several, "bucket"), "shared-buckets")
+    several = keep(several.select("bucket"), "several-roots")
+    shared = keep(entries.join(several, "bucket"), "shared-buckets")
+    marks = [F.bit_xor(F.xxhash64("doc", F.lit(seed))).alias(f"s{seed}") for seed in (1, 2)]
+    sets = shared.groupBy("bucket").agg(F.count("*").alias("n"), *marks)
+    sets = keep(sets.groupBy("n", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "bucket-sets")
+    discard(several)
+    entries = keep(shared.join(sets, "bucket"), "different-buckets")
+    discard(shared, sets)
     weights = keep(entries.groupBy("doc").agg(F.sum("n").alias("weight")), "weights")
-    entries = entries.select("bucket", "doc").join(weights, "doc")
-    return keep(entries.withColumn("root", F.col("doc")), "weighed-buckets")
+    weighed = keep(entries.select("bucket", "doc", "root").join(weights, "doc"), "weighed-buckets")
+    discard(entries, weights)
+    return weighed
 
 
 def star_hubs(entries: DataFrame, turn: int) -> DataFrame:
@@ -209,10 +224,12 @@ def with_roots(entries: DataFrame, roots: DataFrame) -> DataFrame:
     """``entries`` with the ``root`` of their documents, of buckets that hold several roots."""
     of = roots.select(F.col("node").alias("doc"), "root")
     entries = entries.drop("root").join(of, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-    entries = keep(entries, "rooted")
-    by_root = entries.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    rooted = keep(entries, "rooted")
+    by_root = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     by_root = keep(by_root.select("bucket"), "open-buckets")
-    return keep(entries.join(by_root, "bucket"), "open-entries")
+    left = keep(rooted.join(by_root, "bucket"), "open-entries")
+    discard(rooted, by_root)
+    return left
 
 
 def untested(entries: DataFrame) -> int:
@@ -285,8 +302,8 @@ def words_of(texts: DataFrame, entries: DataFrame) -> DataFrame:
     return keep(needed.mapInArrow(words, "doc bigint, words binary, size bigint, bag binary"), "words")
 
 
-def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """The (doc, hub) ``pairs`` whose texts align.
+def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> tuple[int, DataFrame]:
+    """How many different (doc, hub) ``pairs`` there are, and those whose texts align.
 
     The words of a hub meet the words of its documents in groups of about PAIR_GROUP
     documents, so a hub of very many documents spans many groups.
@@ -308,7 +325,11 @@ def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
         left = left.filter(pa.array(good, pa.bool_()))
         return pa.Table.from_arrays([left["doc"], left["hub"]], schema=schema)
 
-    return members.groupBy("hub", "part").cogroup(hubs.groupBy("hub", "part")).applyInArrow(align, "doc bigint, hub bigint")
+    aligned = members.groupBy("hub", "part").cogroup(hubs.groupBy("hub", "part")).applyInArrow(align, "doc bigint, hub bigint")
+    links = keep(aligned, "links")
+    tested = pairs.count()
+    discard(pairs, placed)
+    return tested, links
 
 
 def classes(
@@ -321,8 +342,9 @@ def classes(
     its size the number of its rows.
 
     Texts of equal bytes are one text.  Texts that share a sketch meet in a bucket, and
-    each is aligned with the bucket's hub, the document that shares most.  While many
-    pairs of different components are left, further hubs are drawn; then all pairs of a
+    each is aligned with the bucket's hub, the document that shares most: first in the
+    buckets of some sketches, then in those of all sketches that still hold several
+    components.  While that links many, further hubs are drawn; then all pairs of a
     bucket that are still in different components are tested.  So every two similar texts
     that share a sketch are in one class.  Near copies cost pairs that grow with the
     rows; the last step grows with the square of a bucket only as far as its documents
@@ -346,25 +368,44 @@ def classes(
     texts = one_text_per_id(docs.select("doc_id", "text").where("text IS NOT NULL")).select(doc.alias("doc"), "text")
     sketch = sketched(texts, shingle, sketches, per_sketch, threshold).dropDuplicates(["doc"])
     sketch = keep(sketch.join(members.where("doc = first").select("doc"), "doc"), "sketches")
-    entries = sketch.select("doc", F.explode("keys").alias("bucket"))
-    open_ = shared_buckets(entries)
-    words = words_of(texts, open_)
-    links = words.select("doc", F.col("doc").alias("hub")).limit(0)
-    left = untested(open_)
     enough = max(PAIRS_A_ROW * rows.count(), PAIRS)
-    for turn in range(TURNS if left else 0):
-        # the hub meets all others of its bucket, so it leaves it
-        others = keep(open_.join(star_hubs(open_, turn), "bucket").where("doc <> hub"), "stars")
-        more = keep(verified(others.where("root <> hub_root"), words, threshold), "links")
-        links = links.unionByName(more)
-        roots = components(links.select(F.col("doc").alias("a"), F.col("hub").alias("b")))
-        open_ = with_roots(others.drop("hub", "hub_root"), roots)
+    links = None
+    # first some of the sketches link most copies; then all of them, in buckets of several components
+    for part_of in (FIRST_SKETCHES, 1):
+        keys = F.filter("keys", lambda key, i: i % part_of == 0)
+        if links is None:
+            entries = sketch.select("doc", F.col("doc").alias("root"), F.explode(keys).alias("bucket"))
+        else:
+            found = roots.select(F.col("node").alias("doc"), "root")
+            entries = sketch.join(found, "doc", "left").select("doc", F.coalesce("root", "doc").alias("root"), F.explode(keys).alias("bucket"))
+        open_ = shared_buckets(entries)
+        words = words_of(texts, open_)
         left = untested(open_)
-        if left <= enough:
-            break
+        for turn in range(TURNS if left else 0):
+            # the hub meets all others of its bucket, so it leaves it
+            hubs = star_hubs(open_, turn)
+            others = keep(open_.join(hubs, "bucket").where("doc <> hub"), "stars")
+            discard(open_, hubs)
+            tested, more = verified(others.where("root <> hub_root"), words, threshold)
+            links = more if links is None else links.unionByName(more)
+            open_ = others.drop("hub", "hub_root")
+            if part_of > 1 or more.count() < LINKED * tested:
+                # hubs bring few links more: what is left are hardly copies
+                break
+            roots = components(links.select(F.col("doc").alias("a"), F.col("hub").alias("b")))
+            open_ = with_roots(open_, roots)
+            discard(others)
+            left = untested(open_)
+            if left <= enough:
+                break
+        if links is None:
+            links = sketch.select("doc", F.col("doc").alias("hub")).limit(0)
+        if part_of > 1:
+            roots = components(links.select(F.col("doc").alias("a"), F.col("hub").alias("b")))
+            discard(open_, words)
     if left:
         # all that is left, whatever its number
-        last = keep(verified(block_pairs(open_, words, threshold), words, threshold), "links-last")
+        _, last = verified(block_pairs(open_, words, threshold), words, threshold)
         links = links.unionByName(last)
     roots = components(links.select(F.col("doc").alias("a"), F.col("hub").alias("b")))
     texts_of = members.join(roots.select(F.col("node").alias("first"), "root"), "first", "left")

@@ -384,3 +384,29 @@ def test_nbest_of_a_long_unspaced_run():
     tracemalloc.stop()
     assert len(unit) == 20_000 and peak < 100 << 20 and first >= second and ids != others
     assert model.decode(np.array(ids)) == model.decode(np.array(others)) == unit
+
+
+@pytest.mark.parametrize("more", [[], [9]], ids=["last", "followed"])
+def test_rows_of_a_hot_head_are_all_passed_on(more):
+    import pyarrow as pa
+
+    n = (1 << 18) + 1
+    heads = np.array([1] * 3 + [5] * n + more, dtype=np.int64)
+    docs = np.arange(len(heads), dtype=np.int64)
+    whole = pa.record_batch([pa.array(heads), pa.array(docs)], names=["head", "doc"])
+    for size in (n + 3, 100_000):
+        cut = [whole.slice(a, size) for a in range(0, len(heads), size)]
+        got = pa.Table.from_batches(repeats._compare_neighbours(iter(cut))).to_pydict()
+        assert sum(h == 5 for h in got["head"]) == n
+
+
+def test_work_tables_go(documents, spark):
+    import os
+
+    from logmill.llm.common import discard, keep
+
+    kept = keep(documents([(1, "a")]), "gone")
+    path = kept.kept_at
+    assert os.path.isdir(path)
+    discard(kept, kept)
+    assert not os.path.exists(path)
