@@ -184,8 +184,9 @@ def nearest(
     base = keep(smallest_ids(base.where(F.size("embedding") == n), "embedding", "vec_id", k + 1), "ann-vectors")
     asked = clean(queries).where(F.size("embedding") == n).dropDuplicates(["vec_id", "embedding"])
     router = fit(sampled(base, sample), parts, k, target)
-    base = keep(_routed(base, router, 1, "ids array<bigint>, embedding array<float>"), "ann-base")
-    asked = keep(_routed(asked, router, router.probes if router else 1, "vec_id bigint, embedding array<float>"), "ann-queries")
+    kind, asked_kind = (df.schema["embedding"].dataType.simpleString() for df in (base, asked))
+    base = keep(_routed(base, router, 1, f"ids array<bigint>, embedding {kind}"), "ann-base")
+    asked = keep(_routed(asked, router, router.probes if router else 1, f"vec_id bigint, embedding {asked_kind}"), "ann-queries")
     schema = pa.schema([("query_id", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:

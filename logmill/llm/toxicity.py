@@ -33,7 +33,9 @@ STEMS = (4, 5, 6)
 
 _GLYPHS = str.maketrans(HOMOGLYPHS)
 _SIGNS = str.maketrans(SUBSTITUTES)
-_FOREIGN = re.compile(r"[^\x00-ſ]")
+# beyond U+017F, or one of the few before it that is not written as such: dotless i, long s, soft
+# hyphen, ligatures, raised digits and letters, fractions
+_FOREIGN = re.compile("[^\\x00-\u017f]|[\u0131\u017f\u00ad\u0132\u0133\u013f\u0140\u0149\u00a0\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be]")
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 _SIGNED = re.compile(r"(?<=[^\W\d_])[0-9@$]+|[0-9@$]+(?=[^\W\d_])")
 _GAPS = re.compile(r"[\W_]+")

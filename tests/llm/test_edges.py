@@ -410,3 +410,37 @@ def test_work_tables_go(documents, spark):
     assert os.path.isdir(path)
     discard(kept, kept)
     assert not os.path.exists(path)
+
+
+@pytest.mark.parametrize("text", ["id­iot", "ıdiot", "id​iot", "idiºt", "ｉdiot", "іdiot", "1d10t", "IDıOT"])
+def test_look_alikes_fold_on_their_own(text):
+    assert toxicity.fold(text) == " idiot "
+    assert toxicity.fold("häßlich ſo") == " häßlich so "
+
+
+def test_matching_agrees_with_a_search_per_pattern():
+    rng = random.Random(8)
+    weights = {"=bad": 2.0, "ba": 1.0, "badl": 1.5, "fool": 3.0, "=a": 0.5, "ol": 0.25}
+    lexicon = toxicity.Lexicon(weights, ["a bad day", "not fool"], (0.0, 1.0, 1.0))
+    machine = lexicon.automaton()
+    words = ["a", "bad", "badly", "day", "not", "fool", "foo1", "old", "01d", "ba", "x"]
+    for _ in range(500):
+        folded = toxicity.fold(" ".join(rng.choice(words) for _ in range(rng.randrange(0, 14))))
+        at = lambda p: [i for i in range(len(folded)) if folded.startswith(p, i)]
+        spared = [(i, i + len(e) + 2) for e in lexicon.exceptions for i in at(f" {e} ")]
+        best = {}
+        for pattern, weight in lexicon.patterns().items():
+            for i in at(pattern):
+                if not any(a <= i and i + len(pattern) <= b for a, b in spared):
+                    best[i] = max(weight, best.get(i, 0.0))
+        assert lexicon.matched(machine, folded) == pytest.approx(sum(best.values()))
+
+
+def test_neighbours_of_double_vectors(spark):
+    rows = [(i, [math.cos(i / 40), math.sin(i / 40), 0.5]) for i in range(120)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.nearest(vectors, vectors.where("vec_id = 50")).orderBy("rank").collect()
+    x = np.array([r[1] for r in rows])
+    cosine = (x @ x[50]) / np.linalg.norm(x, axis=1) / np.linalg.norm(x[50])
+    want = sorted((i for i in range(120) if i != 50), key=lambda i: (-cosine[i], i))[:5]
+    assert [r.vec_id for r in got] == want and all(abs(r.score - cosine[r.vec_id]) < 1e-12 for r in got)
