@@ -24,9 +24,9 @@ def test_routing(messages_of):
     rows = routed(
         messages_of,
         [
-            {"serviceName": "payment-service", "exception": {"type": "E", "message": "m", "stacktrace": "s"}},
-            {"serviceName": "gateway", "attributes": {"http.request.method": "GET"}, "level": "ERROR"},
-            {"serviceName": "order-service", "level": "debug"},
+            {"serviceName": "ticket-desk", "exception": {"type": "E", "message": "m", "stacktrace": "s"}},
+            {"serviceName": "front-door", "attributes": {"http.request.method": "GET"}, "level": "ERROR"},
+            {"serviceName": "parcel-desk", "level": "debug"},
             {"serviceName": "x", "attributes": {"audit.action": "a", "url.path": "/p"}},
             {"serviceName": "A  b//C", "attributes": {"tenantId": "T_1"}},
             {"serviceName": "--", "attributes": {"tenant.id": "!!"}},
@@ -35,9 +35,9 @@ def test_routing(messages_of):
         ],
     )
     assert {k: r.data_stream for k, r in rows.items()} == {
-        0: "logs-payment-service-error-prod",
-        1: "logs-gateway-access-prod",
-        2: "logs-order-service-debug-prod",
+        0: "logs-ticket-desk-error-prod",
+        1: "logs-front-door-access-prod",
+        2: "logs-parcel-desk-debug-prod",
         3: "logs-audit-prod",
         4: "logs-a-b-c-t_1",
         5: "logs-application-application",
@@ -84,7 +84,7 @@ def test_retention_tables(spark):
 
 def test_best_pattern_wins(spark):
     cfg = PipelineConfig()
-    names = ["logs-audit-error-x", "logs-gateway-error-prod", "logs-aggregate-metrics-t", "logs-a-debug-p", "logs-a-p", "other"]
+    names = ["logs-audit-error-x", "logs-front-door-error-prod", "logs-aggregate-metrics-t", "logs-a-debug-p", "logs-a-p", "other"]
     streams = spark.createDataFrame([(n,) for n in names], "data_stream string")
     by_rule = dict(streams.select("data_stream", retention.rule_column(F.col("data_stream"), cfg)).collect())
     assert [by_rule[n] for n in names] == [
