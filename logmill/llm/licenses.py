@@ -69,9 +69,12 @@ def scan(
     and spans (array of template, label, start, end, share).  All word pairs of a text
     join the positions of the templates; matches vote for their diagonal (text position
     minus template position).  An exact phrase is a diagonal that all its pairs vote
-    for.  For longer statements, diagonals at most ``drift`` apart are merged, so that a
-    few words may be missing or added; a span counts if at least ``min_share`` of the
-    template's pairs agree.  ``score`` is the largest share, 1 where a phrase stands.
+    for.  For longer statements, a diagonal and those up to ``drift`` behind it are merged,
+    so that a few words may be missing or added and a span is at most ``drift`` words longer
+    than its template.  Spans are verified: of the agreeing pairs only those that stand in
+    the template's order count, and they must be at least ``min_share`` of its pairs; of
+    spans that share diagonals the one of the largest share stays, then the first.
+    ``score`` is the largest share, 1 where a phrase stands.
 
     A null or empty text has no words and no spans.  Rows of the same id and text are
     scanned once and come back as often as they stand.  No rows give no rows.  The
@@ -104,31 +107,52 @@ def votes(hits: DataFrame) -> DataFrame:
     )
 
 
+def in_order(hits: Column) -> Column:
+    """Most ``(t_pos, word)`` places that ascend in both: at most one per template position.
+
+    A candidate has at most ``drift + 1`` places per position of its template, so the
+    arrays are short however long the text is.
+    """
+    sorted_hits = F.array_sort(F.transform(hits, lambda h: F.struct(h["t_pos"], (-h["word"]).alias("back"))))
+
+    def grow(chains: Column, hit: Column) -> Column:
+        shorter = F.transform(F.filter(chains, lambda c: c["word"] < -hit["back"]), lambda c: c["n"])
+        n = F.coalesce(F.array_max(shorter), F.lit(0)) + 1
+        return F.concat(chains, F.array(F.struct((-hit["back"]).alias("word"), n.alias("n"))))
+
+    none = F.array().cast("array<struct<word:int,n:int>>")
+    return F.aggregate(sorted_hits, none, grow, lambda chains: F.array_max(F.transform(chains, lambda c: c["n"])))
+
+
 def spans_by_document(diagonals: DataFrame, templates: Mapping[str, tuple[str, bool]], min_share: float, drift: int) -> DataFrame:
     names = list(templates)
     per = lambda of, kind: F.element_at(F.create_map(*[F.lit(x) for t in names for x in (t, of(t))], F.lit(""), F.lit(None).cast(kind)), F.col("template"))
     rows = diagonals.withColumn("pairs", per(lambda t: len(t.split()) - 1, "int"))
     rows = rows.withColumn("exact", per(lambda t: templates[t][1], "boolean")).withColumn("label", per(lambda t: templates[t][0], "string"))
-    # neighbouring diagonals of a statement are one span; phrases allow no drift
+    # a statement's votes on a diagonal and up to drift behind it are one candidate; phrases allow no drift
     by = Window.partitionBy("doc_id", "text_hash", "n_chars", "template").orderBy("diagonal")
-    gap = F.col("diagonal") - F.lag("diagonal").over(by)
-    new = F.when(gap.isNull() | F.col("exact") | (gap > drift), 1).otherwise(0)
-    rows = rows.withColumn("new", new).withColumn("band", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = rows.groupBy(*DOC, "template", "band", "pairs", "exact", "label").agg(
-        F.min("diagonal").alias("low"),
-        F.max("n").alias("n"),
-        F.array_distinct(F.flatten(F.collect_list("agreed"))).alias("agreed"),
-    )
-    share = F.when(F.col("template") == "", 0.0).otherwise(F.size("agreed") / F.col("pairs"))
-    spans = spans.withColumn("share", share)
-    # where the voted pairs of a merged span begin and end in the text
-    start = F.col("low") + F.array_min("agreed")
-    end = F.col("low") + F.array_max("agreed") + 2
-    kept = F.col("share") >= F.when(F.col("exact"), 1.0).otherwise(min_share)
+    ahead = F.collect_list(F.struct("diagonal", "agreed")).over(by.rangeBetween(0, drift))
+    lines = F.when(F.col("exact") | (F.col("template") == ""), F.array(F.struct("diagonal", "agreed"))).otherwise(ahead)
+    spans = rows.withColumn("lines", lines)
+    least = F.col("pairs") * F.when(F.col("exact"), 1.0).otherwise(min_share)
+    total = F.aggregate("lines", F.lit(0), lambda acc, line: acc + F.size(line["agreed"]))
+    spans = spans.where((F.col("template") == "") | (total >= least))
+    place = lambda line: F.transform(line["agreed"], lambda t: F.struct(t.alias("t_pos"), (line["diagonal"] + t).alias("word")))
+    spans = spans.withColumn("hits", F.flatten(F.transform("lines", place)))
+    spans = spans.withColumn("share", F.when(F.col("template") == "", 0.0).otherwise(in_order(F.col("hits")) / F.col("pairs")))
+    # where the voted pairs of a span begin and end in the text
+    at = F.transform("hits", lambda h: h["word"])
+    start, end = F.array_min(at), F.array_max(at) + 2
+    spans = spans.where((F.col("template") == "") | (F.col("share") >= least / F.col("pairs")))
+    # of candidates that share diagonals the best stays
+    rank = F.struct("share", (-F.col("diagonal")).alias("before"))
+    best = F.max(rank).over(by.rangeBetween(-drift, drift))
+    kept = F.col("exact") | (rank == best)
+    spans = spans.withColumn("kept", kept)
     span = F.struct("template", "label", "exact", start.cast("long").alias("start"), end.cast("long").alias("end"), "share")
     found = spans.groupBy(*DOC).agg(
         F.max(F.when(F.col("template") == "", F.col("n"))).alias("copies"),
-        F.collect_list(F.when(kept & (F.col("template") != ""), span)).alias("spans"),
+        F.collect_list(F.when(F.col("kept") & (F.col("template") != ""), span)).alias("spans"),
     )
     base = F.filter("spans", lambda s: s["exact"])
     labels = lambda of: F.array_join(F.array_sort(F.array_distinct(F.transform(of, lambda s: s["label"]))), ",")
@@ -159,7 +183,7 @@ def _values(phrases: Mapping[str, str], statements: Mapping[str, str]) -> str:
 
 
 OP9_SQL = rf"""
-WITH templates(template, label, exact) AS (VALUES {_values(PHRASES, STATEMENTS)}),
+WITH RECURSIVE templates(template, label, exact) AS (VALUES {_values(PHRASES, STATEMENTS)}),
 places AS (
   SELECT template, label, exact, len(w) - 1 AS pairs, i AS t_pos, w[i + 1] || ' ' || w[i + 2] AS gram
   FROM (SELECT *, string_split(template, ' ') AS w FROM templates), unnest(range(0, len(w) - 1)) AS r(i)),
@@ -168,14 +192,24 @@ read AS (
   FROM documents),
 pairs AS (SELECT doc_id, i AS word, w[i + 1] || ' ' || w[i + 2] AS gram FROM read, unnest(range(0, len(w) - 1)) AS r(i)),
 votes AS (SELECT DISTINCT doc_id, template, label, exact, pairs, t_pos, word - t_pos AS diagonal FROM pairs JOIN places USING (gram)),
-diagonals AS (
-  SELECT *, CASE WHEN exact OR last IS NULL OR diagonal - last > 3 THEN 1 ELSE 0 END AS opens
-  FROM (SELECT *, lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS last
-        FROM (SELECT DISTINCT doc_id, template, exact, diagonal FROM votes))),
-bands AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS band FROM diagonals),
+bases AS (SELECT DISTINCT doc_id, template, label, exact, pairs, diagonal FROM votes),
+hits AS (
+  SELECT b.*, t_pos, t_pos + v.diagonal AS word,
+    row_number() OVER (PARTITION BY b.doc_id, b.template, b.diagonal ORDER BY t_pos, v.diagonal DESC) AS i,
+    count(*) OVER (PARTITION BY b.doc_id, b.template, b.diagonal) AS n
+  FROM bases b JOIN votes v ON v.doc_id = b.doc_id AND v.template = b.template
+    AND v.diagonal BETWEEN b.diagonal AND b.diagonal + CASE WHEN b.exact THEN 0 ELSE 3 END),
+likely AS (SELECT * FROM hits WHERE n >= pairs * CASE WHEN exact THEN 1 ELSE 0.75 END),
+chains(doc_id, template, diagonal, i, chain) AS (
+  SELECT doc_id, template, diagonal, i, [{{'word': word, 'n': 1}}] FROM likely WHERE i = 1
+  UNION ALL
+  SELECT c.doc_id, c.template, c.diagonal, l.i, list_append(c.chain, {{'word': l.word,
+    'n': (1 + coalesce(list_max(list_transform(list_filter(c.chain, lambda x: x.word < l.word), lambda x: x.n)), 0))::INTEGER}})
+  FROM chains c JOIN likely l ON l.doc_id = c.doc_id AND l.template = c.template AND l.diagonal = c.diagonal AND l.i = c.i + 1),
+lengths AS (SELECT doc_id, template, diagonal, max(list_max(list_transform(chain, lambda x: x.n))) AS len FROM chains GROUP BY ALL),
 spans AS (
-  SELECT doc_id, template, label, v.exact, band, min(diagonal) + min(t_pos) AS start, count(DISTINCT t_pos) / any_value(pairs) AS share
-  FROM votes v JOIN bands USING (doc_id, template, diagonal) GROUP BY ALL),
+  SELECT doc_id, template, label, l.exact, diagonal, min(word) AS start, any_value(len) / any_value(pairs) AS share
+  FROM likely l JOIN lengths USING (doc_id, template, diagonal) GROUP BY ALL),
 kept AS (SELECT * FROM spans WHERE share >= CASE WHEN exact THEN 1 ELSE 0.75 END)
 SELECT doc_id, len(w)::BIGINT AS n_words, count(start) FILTER (WHERE exact) AS n_base,
   (min(start) FILTER (WHERE exact))::BIGINT AS first_word, (max(start) FILTER (WHERE exact))::BIGINT AS last_word,

@@ -444,3 +444,27 @@ def test_neighbours_of_double_vectors(spark):
     cosine = (x @ x[50]) / np.linalg.norm(x, axis=1) / np.linalg.norm(x[50])
     want = sorted((i for i in range(120) if i != 50), key=lambda i: (-cosine[i], i))[:5]
     assert [r.vec_id for r in got] == want and all(abs(r.score - cosine[r.vec_id]) < 1e-12 for r in got)
+
+
+def test_license_spans_are_verified(documents):
+    """Only pairs in the template's order count, and a span is little longer than its template."""
+    apache = "licensed under the apache license version 2 0".split()
+    grant = next(t for t in licenses.STATEMENTS if t.startswith("redistribution")).split()
+    backwards = " ".join(f"{a} {b}" for a, b in reversed(list(zip(apache, apache[1:]))))
+    pairs = list(zip(grant, grant[1:]))
+    stretched = " ".join(f"{a} {b}" for a, b in pairs)  # every pair is there, the span is far too long
+    rows = {
+        1: backwards.replace("apache license", "apache x license"),
+        2: stretched,
+        3: " ".join(grant),
+        4: " ".join(grant[:5] + ["or", "more"] + grant[5:]),
+        5: " ".join(grant[:4] + grant[5:]),
+        6: " ".join(grant[8:] + grant[:8]),
+        7: " ".join(grant * 2000),
+    }
+    got = {r.doc_id: r for r in licenses.scan(documents(list(rows.items()))).collect()}
+    assert [got[i].labels for i in range(1, 7)] == ["", "", "bsd", "bsd", "bsd", ""]
+    assert got[3].score == 1.0 and 0.75 <= got[5].score < got[4].score < 1.0
+    assert [(s.start, s.end) for s in got[4].spans] == [(0, len(grant) + 2)]
+    # repeated statements are spans of their own
+    assert [s.start for s in sorted(got[7].spans, key=lambda s: s.start)] == [i * len(grant) for i in range(2000)]
