@@ -9,7 +9,7 @@ from ..config import PipelineConfig
 from ..functions.plan import within_days
 from .merge import merge_tumbling
 
-_GAPS = r"[^\p{L}\p{N}_]+"
+GAPS = r"[^\p{L}\p{N}_]+"
 
 
 def search(
@@ -56,8 +56,8 @@ def has_token(text: Column, token: str) -> Column:
 
     Words are runs of letters and digits of any script, and underscores.
     """
-    joined = F.regexp_replace(F.lower(text), _GAPS, " ")
-    words = F.regexp_replace(F.lower(F.lit(token)), _GAPS, " ")
+    joined = F.regexp_replace(F.lower(text), GAPS, " ")
+    words = F.regexp_replace(F.lower(F.lit(token)), GAPS, " ")
     wanted = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
     found = F.contains(F.concat(F.lit(" "), joined, F.lit(" ")), wanted)
     return F.coalesce(found & (F.trim(words) != ""), F.lit(False))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, staged, workspace
 
 
 def new_write_id(kind: str = "job") -> str:
@@ -95,6 +95,69 @@ def upsert_by_day(
     ).partitionBy("dt").parquet(path)
 
 
+def upsert_by_id(
+    spark: SparkSession,
+    rows: DataFrame,
+    path: str,
+    id_column: str = "id",
+    order: str = "ingested_at",
+    ties: tuple[str, ...] = (),
+    write_id: str | None = None,
+) -> None:
+    """Keyed write over all days: one row per id, the one last by ``order``, ``ties`` and day.
+
+    A row whose day changed leaves its old day.  Where an id is stored stands in a log of
+    narrow rows beside the table (``path``-days), so that only the days that gain or lose
+    rows are read and rewritten, and rows that come too late change nothing.  Winners
+    are decided on narrow columns; each whole row is joined once.
+
+    The result does not depend on the order of the writes.  The table is written before
+    the log: a write that failed half-way is repeated with the same rows (and
+    ``write_id``) before others, and ends as if it had not failed.  One writer at a time.
+    Rows without ``order`` or without id lose against others of the same (or no) id.
+    """
+    log = f"{path}-days"
+    with workspace(spark, "upsert"):
+        fresh = staged(rows.withColumn("dt", F.to_date("event_time")), "rows")
+        at = [F.col(order).alias("o"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(ties)], F.col("dt").alias("day")]
+        key = F.col(id_column).alias("key")
+        # the row id decides between equal places of one write
+        new = fresh.groupBy(key).agg(F.max(F.struct(F.struct(*at).alias("place"), "row_id")).alias("new"))
+        new = new.select("key", "new.place", "new.row_id")
+        if table_exists(spark, log):
+            stored = read_table(spark, log).groupBy("key").agg(F.max("place").alias("old"))
+            last = new.join(stored, new.key.eqNullSafe(stored.key), "left").drop(stored.key)
+            won = last.where(F.col("old").isNull() | (F.col("place") >= F.col("old")))
+        else:
+            won = new.withColumn("old", F.lit(None).cast(new.schema["place"].dataType))
+        write_path = scratch_path(spark, "won")
+        won.write.parquet(write_path)
+        won = read_table(spark, write_path)
+        # one value per day that gains or loses rows
+        gains = {r.day for r in won.select("place.day").distinct().collect()}
+        loses = {r.day for r in won.where("old IS NOT NULL").select("old.day").distinct().collect()}
+        target = fresh.join(won.select("row_id"), "row_id", "left_semi").drop("row_id")
+        emptied = set()
+        if table_exists(spark, path):
+            table = read_table(spark, path)
+            ids = won.select(F.col("key").alias("won_key"))
+            others = table.join(ids, table[id_column].eqNullSafe(ids.won_key), "left_anti")
+            left = others.where(_on_days(loses - gains)).select("dt").distinct()
+            emptied = loses - gains - {r.dt for r in left.collect()}
+            target = others.where(_on_days(gains | loses)).unionByName(target, allowMissingColumns=True)
+        target.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "dt"
+        ).parquet(path)
+        drop_folders(spark, [f"{path}/dt={day or '__HIVE_DEFAULT_PARTITION__'}" for day in sorted(emptied, key=str)])
+        write_parts(won.select("key", "place"), log, write_id or new_write_id("upsert"))
+
+
+def _on_days(days: set) -> Column:
+    known = sorted(d for d in days if d is not None)
+    inside = F.col("dt").isin(known) if known else F.lit(False)
+    return (inside | F.col("dt").isNull()) if None in days else inside
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

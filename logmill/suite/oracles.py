@@ -376,6 +376,9 @@ ORACLES: dict[str, str] = {
     "keyed_write": """
       WITH b AS (SELECT 'doc-' || (event_id // 3) AS id, epoch_us(date_trunc('month', ts)) AS event_us, event_id AS version, event_type FROM events)
       SELECT id, event_us, max(version) AS version, max_by(event_type, version) AS event_type FROM b GROUP BY 1, 2""",
+    "keyed_write_moved": """
+      SELECT 'doc-' || (event_id % 997) AS id, epoch_us(date_trunc('month', max_by(ts, event_id))) AS event_us, max(event_id) AS version,
+        max_by(event_type, event_id) AS event_type FROM events GROUP BY event_id % 997""",
     "write_totals": f"WITH {COUNTS} SELECT {_SUMS} FROM counts",
     "progress_windows": f"WITH {COUNTS}" + f"""
       SELECT epoch_us(date_trunc('day', ingested_at)) AS interval_us, max_by(part, (ingested_at, part, off)) AS last_partition, {_SUMS}, 'app.logs' AS last_topic,
@@ -403,6 +406,9 @@ ORACLES: dict[str, str] = {
       SELECT id, event_us FROM kept WHERE level = 'ERROR' AND service = 'svc-error' AND event_us >= epoch_us(TIMESTAMP '2024-01-03')
         AND event_us < epoch_us(TIMESTAMP '2024-01-28') ORDER BY event_us DESC, id LIMIT 50"""),
     "keyword_search": _docs("SELECT id FROM kept WHERE regexp_matches(lower(message), '\\bpurchase\\b')"),
+    "keyword_index": _docs("""
+      SELECT word, id FROM kept, (VALUES ('purchase', 'purchase'), ('cart', 'cart'), ('OFF at cart', 'off at cart')) AS t(word, wanted)
+      WHERE regexp_matches(lower(message), '\\b' || wanted || '\\b')"""),
     "top_terms": _docs("SELECT service AS term, count(*) AS n FROM kept GROUP BY 1 ORDER BY n DESC, term LIMIT 4"),
     "top_fingerprints": _docs("SELECT hash AS term, count(*) AS n FROM kept GROUP BY 1 ORDER BY n DESC, term LIMIT 5"),
     "storm_summary": _docs("""

@@ -12,6 +12,7 @@ from ..functions.text import iso_instant, stream_part, template
 from ..functions.times import resolve_event_time
 from ..operators import classify as C
 from ..operators import filters as FI
+from ..operators import keywords as K
 from ..operators import merge as M
 from ..operators import metrics as P
 from ..operators import normalize as N
@@ -25,7 +26,7 @@ from ..plans.ingest import dry_run, finish, prepare
 from ..plans.jobs import compact_partition, ingest_batch, replay_job, write_both
 from ..session import configure, scratch_path, spread, staged
 from ..sources.messages import ad_hoc, file_stream
-from ..sources.tables import latest_per_id, read_table, upsert_by_day
+from ..sources.tables import latest_per_id, read_table, upsert_by_day, upsert_by_id, write_routed
 from ..streaming.ingest import finish_routed, read_tumbling, start_ingest, start_routed, start_tumbling
 from . import fixtures as X
 
@@ -765,6 +766,22 @@ def keyed_write(spark, sf_dir):
     return rows.select("id", micros("event_time").alias("event_us"), F.col("ingested_at").alias("version"), "event_type")
 
 
+@query
+def keyed_write_moved(spark, sf_dir):
+    """Three keyed writes; ids move between months, and some rows of the last write come too late."""
+    target = scratch_path(spark, "keyed-moved")
+    base = X.events(spark, sf_dir).select(
+        F.concat(F.lit("doc-"), F.expr("event_id % 997")).alias("id"),
+        F.date_trunc("month", "at").alias("event_time"),
+        F.col("event_id").alias("ingested_at"),
+        "event_type",
+    )
+    for part in (1, 2, 0):
+        upsert_by_id(spark, base.where(F.expr(f"event_id div 997 % 3 = {part}")), target)
+    rows = read_table(spark, target)
+    return rows.select("id", micros("event_time").alias("event_us"), F.col("ingested_at").alias("version"), "event_type")
+
+
 @query
 def write_totals(spark, sf_dir):
     rows = P.write_totals(X.batch_counts(spark, sf_dir))
@@ -919,6 +936,22 @@ def keyword_search(spark, sf_dir):
     return understood(spark, sf_dir).where(S.keyword("purchase")).select("id")
 
 
+@query
+def keyword_index(spark, sf_dir):
+    """Words and a phrase looked up through the word index of a table written in two parts, the second not indexed."""
+    table, index = scratch_path(spark, "searched"), scratch_path(spark, "words")
+    # a folder a month and stream
+    rows = understood(spark, sf_dir).drop("row_id", "payload").withColumn("event_time", F.date_trunc("month", "event_time"))
+    write_routed(rows.where("source.offset % 5 <> 0"), table, "job-1")
+    K.index_words(spark, table, index, "words-1")
+    write_routed(rows.where("source.offset % 5 = 0"), table, "job-2")
+    found = [
+        K.search_words(spark, table, index, word).select(F.lit(word).alias("word"), "id")
+        for word in ("purchase", "cart", "OFF at cart")
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query
 def top_terms(spark, sf_dir):
     return S.top_terms(understood(spark, sf_dir), F.col("service.name"), 4)
