@@ -36,14 +36,23 @@ _NEVER = -1e18
 class _Path:
     """Edges from the end of a unit to a place: the last one and the path before it.
 
-    Ordered as the tuple of its (piece, start) from the end.
+    Ordered by the beginnings of its pieces from the end: the longer piece first.  The
+    edges after a path are its own, so two paths are equal up to the node they share
+    last.  ``far`` is a node further back, placed so that this node is found in a number
+    of steps that grows with the logarithm of the edges.
     """
 
-    __slots__ = ("piece", "start", "before", "edges")
+    __slots__ = ("piece", "start", "before", "far", "edges")
 
     def __init__(self, piece: int = 0, start: int = 0, before: _Path | None = None):
         self.piece, self.start, self.before = piece, start, before
-        self.edges = 0 if before is None else before.edges + 1
+        if before is None:
+            self.far, self.edges = self, 0
+            return
+        self.edges = before.edges + 1
+        # two jumps of one length make a jump over both
+        once, twice = before.far, before.far.far
+        self.far = twice if before.edges - once.edges == once.edges - twice.edges else before
 
     def steps(self) -> list[tuple[int, int]]:
         out, node = [], self
@@ -52,19 +61,21 @@ class _Path:
             node = node.before
         return out[::-1]
 
+    def cut(self, edges: int) -> _Path:
+        """Its first ``edges`` edges."""
+        node = self
+        while node.edges > edges:
+            node = node.far if node.far.edges >= edges else node.before
+        return node
+
     def __lt__(self, other: _Path) -> bool:
-        a, b = self, other
-        while a.edges > b.edges:
-            a = a.before
-        while b.edges > a.edges:
-            b = b.before
-        # the first difference from the end of the unit is the last one met on the way back
-        less = self.edges < other.edges
-        while a is not b:
-            if (a.piece, a.start) != (b.piece, b.start):
-                less = (a.piece, a.start) < (b.piece, b.start)
-            a, b = a.before, b.before
-        return less
+        edges = min(self.edges, other.edges)
+        a, b = self.cut(edges), other.cut(edges)
+        if a is b:
+            return self.edges < other.edges
+        while a.before is not b.before:
+            a, b = (a.far, b.far) if a.far is not b.far else (a.before, b.before)
+        return a.start < b.start
 
 
 class PieceModel:
@@ -145,7 +156,8 @@ class PieceModel:
 
         The best score from the beginning to a place is what any path through it gains
         at most, and exactly what the best one does: paths leave the agenda in order.
-        Equal scores leave it in the order of their ids from the end.
+        Equal scores leave it by the pieces from the end, the longer one first, which is
+        the rule of :meth:`best` too.
 
         A path is a node: (its last edge, the node before).  Paths of one end share their
         nodes.  Only the ``n`` best ways from the end to a place can be in a result, so a
@@ -168,6 +180,8 @@ class PieceModel:
                 continue
             left[place] += 1
             for start, piece, score in edges[place]:
+                if left[start] == n:
+                    continue
                 total = behind + score
                 heapq.heappush(agenda, (-(ahead[start] + total), _Path(piece, start, path), start, total))
         return found

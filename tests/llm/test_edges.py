@@ -183,7 +183,14 @@ def test_token_encoder_agrees_with_the_tokenizer():
     encoder = token_files.Encoder(token_files.tokenizer_path("byte_bpe_50k.json"))
     texts = ["", "a", " a", "a ", "a  b", "  x\n y", "it's we'll", "don’t <|endoftext|> x", "日本語 テスト", "x\x1cy z\x85 q", "½ ²³ a1b2 3.14", "tab\tsep a\n\nb", "emoji 😀", "a b c", LONG]
     want = [np.array(e.ids, dtype="<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert encoder.encode(texts) == want == encoder.encode(texts)
+    assert encoder.word_wise and encoder.encode(texts) == want == encoder.encode(texts)
+
+
+def test_token_ids_of_a_vocabulary_that_normalizes():
+    encoder = token_files.Encoder(token_files.tokenizer_path("word_bpe_49k.json"))
+    texts = ["", "a photo of Two  Cats", "É e\u0301 straße", "it's 2024, isn't it?", "<|startoftext|> x\ny", LONG]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert not encoder.word_wise and encoder.encode(texts) == want
 
 
 def test_warc(spark):
@@ -386,6 +393,44 @@ def test_nbest_of_a_long_unspaced_run():
     assert model.decode(np.array(ids)) == model.decode(np.array(others)) == unit
 
 
+def test_nbest_of_very_long_unspaced_runs():
+    import base64
+    import time
+
+    model = pieces.PieceModel(pieces.model_path())
+    began = time.time()
+    for unit in (base64.b64encode(random.Random(4).randbytes(75_000)).decode(), "a" * 100_000):
+        ((first, ids), (second, others)) = model.nbest(unit, 2)
+        assert len(unit) == 100_000 and first >= second and ids != others
+        assert model.decode(np.array(ids)) == model.decode(np.array(others)) == unit
+    assert time.time() - began < 120
+
+
+def test_both_searches_settle_ties_alike():
+    model, draw, ties = pieces.PieceModel(pieces.model_path()), random.Random(5), 0
+    units = ["".join(draw.choices(letters, k=draw.randint(2, pieces.LONG_UNIT))) for letters in ("ab", "abcde", "0123", "xyz-", "sten") for _ in range(300)]
+    for unit, (ids, score, loss) in zip(units, model.best(units)):
+        (best, path), *second = model.nbest(unit, 2)
+        assert best == score and np.frombuffer(ids, dtype="<i4").tolist() == path
+        assert loss == (best - second[0][0] if second else np.inf)
+        ties += loss == 0
+    assert ties
+
+
+def test_order_of_paths_is_that_of_their_beginnings():
+    draw = random.Random(6)
+    nodes = [pieces._Path()]
+    for _ in range(400):
+        before = draw.choice(nodes[-30:])
+        start = draw.randrange(1000)
+        if all(n.before is not before or n.start != start for n in nodes):
+            nodes.append(pieces._Path(draw.randrange(9), start, before))
+    want = {id(n): [start for _, start in n.steps()] for n in nodes}
+    for _ in range(4000):
+        a, b = draw.choice(nodes), draw.choice(nodes)
+        assert (a < b) == (want[id(a)] < want[id(b)])
+
+
 @pytest.mark.parametrize("more", [[], [9]], ids=["last", "followed"])
 def test_rows_of_a_hot_head_are_all_passed_on(more):
     import pyarrow as pa
