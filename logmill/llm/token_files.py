@@ -10,6 +10,7 @@ read by its shard row, a slice and one decompression.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from array import array
@@ -72,19 +73,35 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def splits_words(tokenizer) -> bool:
+    """Whether ``tokenizer`` is a plain byte-level BPE that takes texts as they are.
+
+    That is: no normaliser, the byte-level splitting without a space put first, no cut of
+    long texts, and a BPE without drop-out or marks at word ends, whose pieces depend on
+    nothing but their letters.
+    """
+    held = json.loads(tokenizer.to_str())
+    split, model = held.get("pre_tokenizer") or {}, held["model"]
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    marks = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "fuse_unk")
+    whole = not held.get("normalizer") and not held.get("truncation") and not held.get("padding")
+    return bool(plain and whole and model.get("type") == "BPE" and not any(model.get(m) for m in marks))
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     A byte-level BPE never merges across the space before a word, so a text without
     runs of white space is encoded word by word, each distinct word once, by the BPE
-    model alone.  Other texts, and those with special tokens, go to the tokenizer whole.
+    model alone.  Other texts, and those with special tokens, go to the tokenizer whole, as
+    do all texts if the tokenizer isn't of that kind (see :func:`splits_words`).
     """
 
     def __init__(self, path: str, word_wise: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.word_wise = word_wise
+        self.word_wise = word_wise and splits_words(self.tokenizer)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
