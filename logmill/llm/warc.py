@@ -1,8 +1,9 @@
 """WARC archives: writing pages as transactions, reading and assembling them again.
 
 Archives are written and read with Spark's text source, so they live wherever Spark's
-tables do.  A record begins with ``WARC/1.1`` and its type; that pair is the separator
-of the records, so large archives split and no record needs its whole file in memory.
+tables do.  A record ends with a blank line and the next one begins with ``WARC/1.``; that
+pair is the separator of the records, so large archives split and no record needs its
+whole file in memory.
 """
 
 from __future__ import annotations
@@ -11,13 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import keep, table
+from .common import discard, keep, table
 
 # Names and line ends of the WARC 1.1 and HTTP formats
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
 BLANK = "\r\n\r\n"
-RECORD_START = "WARC/1.1\r\nWARC-Type: "
+MARK = "WARC/1."
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -39,12 +40,12 @@ def _record(kind: str, record_id: Column, headers: list, content_type: str, bloc
 
 
 def _body(payload: Column) -> tuple[Column, Column]:
-    """Transfer header and body.  A payload that holds ``WARC/1.1`` itself is sent in chunks
+    """Transfer header and body.  A payload that holds ``WARC/1.`` itself is sent in chunks
 
     whose borders cut that text, so that it can't be taken for the start of a record.
     """
-    parts = F.split(payload, VERSION.replace(".", r"\."), -1)
-    head, tail = VERSION[:5], VERSION[5:]
+    parts = F.split(payload, MARK.replace(".", r"\."), -1)
+    head, tail = MARK[:5], MARK[5:]
     last = F.size(parts) - 1
     chunk = F.transform(
         parts,
@@ -54,7 +55,7 @@ def _body(payload: Column) -> tuple[Column, Column]:
     )
     coded = F.transform(chunk, lambda c: F.concat(F.lower(F.hex(F.octet_length(c))), F.lit(CRLF), c, F.lit(CRLF)))
     chunked = F.concat(F.array_join(coded, ""), F.lit("0" + BLANK))
-    split = F.contains(payload, F.lit(VERSION))
+    split = F.contains(payload, F.lit(MARK))
     return F.when(split, f"Transfer-Encoding: chunked{CRLF}").otherwise(""), F.when(split, chunked).otherwise(payload)
 
 
@@ -125,36 +126,53 @@ def write_warc(
     )
     records = ids.select(F.explode(F.array(request, answer, metadata)).alias("value"))
     records.write.option("lineSep", BLANK).option("compression", compression).text(path)
+    discard(rows, first)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of archives: type, id, concurrent_to, refers_to, uri, date, digest, block.
+    """Records of archives: type, id, concurrent_to (a list), refers_to, uri, date, digest, block, complete.
 
-    ``block`` is cut to the stated Content-Length.
+    Headers may come in any order and case, of version 1.0 or 1.1; a missing one is null.
+    ``block`` has the stated Content-Length.  Where that can't be, ``complete`` is false
+    and ``block`` what was found: the record was cut off, states no length, or its block
+    holds a blank line and ``WARC/1.`` (what follows them is then a record without type).
+    Blocks are read as UTF-8.
     """
-    raw = spark.read.option("lineSep", RECORD_START).text(path).where(F.col("value") != "")
+    raw = spark.read.option("lineSep", BLANK + MARK).text(path)
+    # the first record of a file has no blank line before it
+    value = F.when(F.startswith("value", F.lit(MARK)), F.expr(f"substring(value, {len(MARK) + 1})")).otherwise(F.col("value"))
+    raw = raw.select(value.alias("value")).where(F.trim("value", F.lit(CRLF)) != "")
     head = F.substring_index("value", BLANK, 1)
     split = raw.select(head.alias("head"), F.expr(f"substring(value, length(substring_index(value, '{_sql(BLANK)}', 1)) + 5)").alias("rest"))
 
     def field(name: str) -> Column:
-        value = F.regexp_extract("head", rf"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1)
+        value = F.regexp_extract("head", rf"(?i)\r\n{name}:[ \t]*([^\r\n]*?)[ \t]*(?=\r\n|$)", 1)
         return F.when(value != "", value)
 
-    stated = field("Content-Length").cast("int")
-    # what follows the block is the blank line between records
-    block = F.when(
-        (F.octet_length("rest") > stated) & F.endswith(F.col("rest"), F.lit(BLANK)),
-        F.expr("left(rest, greatest(length(rest) - 4, 0))"),
-    ).otherwise(F.col("rest"))
+    stated, found = field("Content-Length").try_cast("long"), F.octet_length("rest")
+    # the last record of a file still has the blank line after it
+    last = (found == stated + len(BLANK)) & F.endswith(F.col("rest"), F.lit(BLANK))
+    block = F.when(last, F.expr(f"left(rest, greatest(length(rest) - {len(BLANK)}, 0))")).otherwise(F.col("rest"))
     return split.select(
-        F.substring_index("head", CRLF, 1).alias("type"),
+        F.lower(field("WARC-Type")).alias("type"),
         field("WARC-Record-ID").alias("id"),
-        field("WARC-Concurrent-To").alias("concurrent_to"),
+        F.regexp_extract_all("head", F.lit(r"(?i)\r\nWARC-Concurrent-To:[ \t]*([^\r\n]*[^\r\n \t])"), 1).alias("concurrent_to"),
         field("WARC-Refers-To").alias("refers_to"),
         field("WARC-Target-URI").alias("uri"),
         field("WARC-Date").alias("date"),
         field("WARC-Payload-Digest").alias("digest"),
         block.alias("block"),
+        F.coalesce(last | (found == stated), F.lit(False)).alias("complete"),
+    )
+
+
+def unread(records: DataFrame) -> DataFrame:
+    """One row: all records, and those of :func:`read_warc` that are incomplete, without type or without id."""
+    return records.agg(
+        F.count("*").alias("records"),
+        F.count_if(~F.col("complete")).alias("incomplete"),
+        F.count_if(F.col("type").isNull()).alias("without_type"),
+        F.count_if(F.col("id").isNull()).alias("without_id"),
     )
 
 
@@ -167,55 +185,57 @@ def http_payload(block: Column) -> Column:
     head = F.substring_index(block, BLANK, 1)
     body = F.substring(block, F.length(head) + 5, F.length(block))
     chunked = F.contains(head, F.lit("Transfer-Encoding: chunked"))
-    # borders of our chunks lie inside "WARC/1.1" only, see _body
-    cut = VERSION[:5] + CRLF + "[0-9a-f]+" + CRLF + VERSION[5:].replace(".", r"\.")
-    joined = F.regexp_replace(F.regexp_replace(F.regexp_replace(body, "^[0-9a-f]+\r\n", ""), "\r\n0\r\n\r\n$", ""), cut, VERSION)
+    # borders of our chunks lie inside MARK only, see _body
+    cut = MARK[:5] + CRLF + "[0-9a-f]+" + CRLF + MARK[5:].replace(".", r"\.")
+    joined = F.regexp_replace(F.regexp_replace(F.regexp_replace(body, "^[0-9a-f]+\r\n", ""), "\r\n0\r\n\r\n$", ""), cut, MARK)
     return F.when(chunked, joined).otherwise(body)
 
 
-def captures(records: DataFrame, payloads: bool = True) -> DataFrame:
-    """One nested row per capture: request, response or revisit, and metadata records
+def captures(records: DataFrame) -> DataFrame:
+    """One nested row per capture: its request, response or revisit, and metadata records
 
-    joined through their concurrent-to identifiers.  Digest and size are taken of the
-    payload before the join; without ``payloads`` the text itself stays out of it.  A capture without a request or
-    metadata record has null there; of several requests (or metadata records) that name
-    the same capture each makes a row.
+    joined through their concurrent-to identifiers, whichever side states them.
+    ``requests`` and ``metadata`` are lists by record id (a record read twice is in them
+    once), empty without such records.  Requests and metadata that belong to no response or
+    revisit are left out; so are records without type.
     """
     answers = records.where(F.col("type").isin("response", "revisit"))
-    http = F.substring_index("block", BLANK, 1)
-    payload = F.when(F.col("type") == "response", http_payload(F.col("block")))
+    beside = records.where(F.col("type").isin("request", "metadata"))
+    record = F.struct("id", "date", "block").alias("record")
+    # most archives state the links in the records beside the answer
+    told = answers.select(F.col("id").alias("capture_id"), F.explode("concurrent_to").alias("id"))
+    links = (
+        beside.select(F.explode("concurrent_to").alias("capture_id"), "type", record)
+        .unionByName(beside.join(told, "id").select("capture_id", "type", record))
+        .groupBy("capture_id")
+        .agg(*[F.array_sort(F.collect_set(F.when(F.col("type") == t, F.col("record")))).alias(n) for t, n in (("request", "requests"), ("metadata", "metadata"))])
+    )
+    digest = F.regexp_replace("digest", "^sha1:", "")
+    is_response = F.col("type") == "response"
     answers = answers.select(
-        "id", "uri", "date", "type", "refers_to", F.regexp_replace("digest", "^sha1:", "").alias("digest"),
-        http.alias("http"), payload.alias("payload"),
-    ).withColumns({"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
-    if not payloads:
-        answers = answers.withColumn("payload", F.lit(None).cast("string"))
-
-    def beside(kind: str) -> DataFrame:
-        rows = records.where((F.col("type") == kind) & F.col("concurrent_to").isNotNull())
-        return rows.select(F.col("concurrent_to").alias("id"), F.struct("id", "date", "block").alias(kind))
-
-    response = F.struct("id", "date", "http", "payload", "payload_digest", "payload_bytes")
-    revisit = F.struct("id", "date", "http", "refers_to", F.col("digest").alias("payload_digest"), F.regexp_extract("http", r"X-Payload-Length: (\d+)", 1).cast("long").alias("payload_bytes"))
-    return (
-        answers.join(beside("request"), "id", "left")
-        .join(beside("metadata"), "id", "left")
-        .select(
-            F.col("id").alias("capture_id"), "uri", "request", "metadata",
-            F.when(F.col("type") == "response", response).alias("response"),
-            F.when(F.col("type") == "revisit", revisit).alias("revisit"),
-        )
+        F.col("id").alias("capture_id"), "uri", "date", "type", "refers_to", digest.alias("digest"),
+        F.substring_index("block", BLANK, 1).alias("http"), F.when(is_response, http_payload(F.col("block"))).alias("payload"),
+    )
+    name = F.col("capture_id").alias("id")
+    response = F.struct(name, "date", "http", "payload")
+    size = F.regexp_extract("http", r"X-Payload-Length: (\d+)", 1).try_cast("long")
+    revisit = F.struct(name, "date", "http", "refers_to", F.col("digest").alias("payload_digest"), size.alias("payload_bytes"))
+    return answers.join(links, "capture_id", "left").select(
+        "capture_id", "uri",
+        F.coalesce("requests", F.array()).alias("requests"), F.coalesce("metadata", F.array()).alias("metadata"),
+        F.when(is_response, response).alias("response"),
+        F.when(F.col("type") == "revisit", revisit).alias("revisit"),
     )
 
 
 def page_digests(rows: DataFrame) -> DataFrame:
     """Per capture of :func:`captures`: its page, payload digest and, for revisits, the page referred to."""
-    page = F.regexp_extract("metadata.block", r"page_id: (-?\d+)", 1)
+    page = F.regexp_extract(F.array_join("metadata.block", CRLF), r"page_id: (-?\d+)", 1)
     flat = rows.select(
         "capture_id",
         F.when(page != "", page.cast("long")).alias("page_id"),
-        F.coalesce("response.payload_bytes", "revisit.payload_bytes").alias("payload_bytes"),
-        F.coalesce("response.payload_digest", "revisit.payload_digest").alias("payload_digest"),
+        F.coalesce(F.octet_length("response.payload").cast("long"), "revisit.payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha1("response.payload"), "revisit.payload_digest").alias("payload_digest"),
         F.when(F.col("response").isNotNull(), "response").otherwise("revisit").alias("record_type"),
         F.col("revisit.refers_to").alias("target"),
     )
@@ -231,7 +251,7 @@ def op7_warc(spark, sf_dir):
     """All pages written as archives and read back."""
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    return page_digests(captures(read_warc(spark, path), payloads=False))
+    return page_digests(captures(read_warc(spark, path)))
 
 
 OP7_SQL = """

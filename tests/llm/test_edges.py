@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing column names."""
 
 import hashlib
+import os
 import math
 import random
 import zlib
@@ -206,12 +207,47 @@ def test_warc(spark):
         others = [(p, len((t or "").encode()), sha(t or ""), "response", None) for p, _, t in rows if t != big]
         assert got == sorted(same + others, key=str)
     nested = warc.captures(warc.read_warc(spark, path)).where("response.payload LIKE 'WARC%'").first()
-    assert nested.response.payload == odd_body and nested.request.block.startswith("GET ")
+    assert nested.response.payload == odd_body and nested.requests[0].block.startswith("GET ")
     empty = scratch_path(spark, "t7")
     warc.write_warc(pages.where("page_id < 0"), empty)
     assert warc.captures(warc.read_warc(spark, empty)).count() == 0
 
 
+def _foreign(version, headers, block, length=None):
+    lines = [f"WARC/{version}", *headers, f"Content-Length: {len(block.encode()) if length is None else length}"]
+    return "\r\n".join(lines) + "\r\n\r\n" + block + "\r\n\r\n"
+
+
+def test_warc_of_other_writers(spark):
+    http = "HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    records = [
+        _foreign("1.0", ["WARC-Type: warcinfo", "WARC-Record-ID: <i>"], "software: x\r\n"),
+        # type not first, names in another case, two requests and two metadata records of one capture, one of them twice
+        _foreign("1.0", ["WARC-Record-ID: <r1>", "warc-type:response ", "WARC-Target-URI: http://h/WARC/1.1"], http + "body é\r\n\r\n"),
+        _foreign("1.0", ["WARC-Record-ID: <q1>", "WARC-Type: request", "WARC-Concurrent-To: <r1>"], "GET / HTTP/1.1\r\n\r\n"),
+        *[_foreign("1.1", ["WARC-Type: request", "WARC-Record-ID: <q2>", "WARC-Concurrent-To: <r1>"], "GET /2 HTTP/1.1\r\n\r\n")] * 2,
+        _foreign("1.1", ["WARC-Type: metadata", "WARC-Record-ID: <m2>", "WARC-Concurrent-To: <r1>", "WARC-Concurrent-To: <r2>"], "page_id: 7"),
+        _foreign("1.1", ["WARC-Type: metadata", "WARC-Record-ID: <m1>", "WARC-Concurrent-To: <q9>", "WARC-Concurrent-To: <r1>"], ""),
+        # the response names its request
+        _foreign("1.1", ["WARC-Type: response", "WARC-Record-ID: <r2>", "WARC-Concurrent-To: <q3>"], http),
+        _foreign("1.1", ["WARC-Type: request", "WARC-Record-ID: <q3>"], "GET /3 HTTP/1.1\r\n\r\n"),
+        _foreign("1.1", ["WARC-Type: response", "WARC-Record-ID: <r3>"], http + "cut", length=999),
+    ]
+    folder = scratch_path(spark, "t7")
+    os.makedirs(folder)
+    for name, part in (("a.warc", records[:4]), ("b.warc", records[4:])):
+        with open(f"{folder}/{name}", "w", newline="") as out:
+            out.write("".join(part))
+    read = warc.read_warc(spark, folder)
+    assert tuple(warc.unread(read).first()) == (10, 1, 0, 0)
+    got = {r.capture_id: r for r in warc.captures(read).collect()}
+    assert sorted(got) == ["<r1>", "<r2>", "<r3>"] and got["<r1>"].uri == "http://h/WARC/1.1"
+    assert [q.id for q in got["<r1>"].requests] == ["<q1>", "<q2>"] and [m.id for m in got["<r1>"].metadata] == ["<m1>", "<m2>"]
+    assert [q.id for q in got["<r2>"].requests] == ["<q3>"] and [m.id for m in got["<r2>"].metadata] == ["<m2>"]
+    assert got["<r1>"].response.payload == "body é\r\n\r\n" and got["<r2>"].response.payload == ""
+    assert got["<r3>"].requests == got["<r3>"].metadata == [] and got["<r1>"].requests[1].block == "GET /2 HTTP/1.1\r\n\r\n"
+
+
 def test_near_copies(odd, none, documents):
     rows = [(r.doc_id, r.class_id, r.class_size) for r in near_copies.classes(odd).collect()]
     assert sorted(r for r in rows if r[0] in (1, 5)) == [(1, 1, 3), (5, 1, 3), (5, 1, 3)]
