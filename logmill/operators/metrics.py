@@ -113,3 +113,18 @@ def observe_progress(routed: DataFrame, name: str = "progress") -> DataFrame:
         F.count_if(~failed).alias("documents"),
         F.max("source.offset").alias("last_offset"),
     )
+
+
+def observe_offsets(
+    messages: DataFrame, partitions: list[tuple[str, int]], name: str = "offsets"
+) -> DataFrame:
+    """Attach rows and last offset of each given topic partition, before anything is filtered.
+
+    Two counters per topic partition, so their number is bounded by the topics.
+    """
+    counters = []
+    for topic, partition in partitions:
+        own = (F.col("topic") == topic) & (F.col("partition") == partition)
+        counters.append(F.count_if(own).alias(f"rows {topic} {partition}"))
+        counters.append(F.max(F.when(own, F.col("offset"))).alias(f"last {topic} {partition}"))
+    return messages.observe(name, *counters) if counters else messages

@@ -18,6 +18,7 @@ from ..sources.tables import (
     stream_partitions,
     table_exists,
     write_dead_letters,
+    write_parts,
     write_routed,
 )
 from .ingest import finish, prepare
@@ -58,6 +59,37 @@ def ingest_batch(
     )
 
 
+_REPLAYS = "id string, write_id string"
+
+
+def replayed_ids(spark: SparkSession, replayed: str) -> DataFrame:
+    """Ids that finished replays have done, from the table ``replayed`` of :func:`replay_job`."""
+    return spark.read.schema(_REPLAYS).parquet(f"{replayed}/done").select("id")
+
+
+def _note_begun(ids: DataFrame, replayed: str, write_id: str) -> None:
+    write_parts(ids, f"{replayed}/begun", write_id)
+
+
+def _note_done(ids: DataFrame, replayed: str, write_id: str) -> None:
+    write_parts(ids, f"{replayed}/done", write_id)
+
+
+def _unfinished(spark: SparkSession, replayed: str) -> DataFrame | None:
+    """(id, write_id) of a replay that began and did not end."""
+    if not table_exists(spark, f"{replayed}/begun"):
+        return None
+    begun = spark.read.schema(_REPLAYS).parquet(f"{replayed}/begun")
+    if table_exists(spark, f"{replayed}/done"):
+        ended = spark.read.schema(_REPLAYS).parquet(f"{replayed}/done").select("write_id").distinct()
+        open_ = begun.join(ended, "write_id", "left_anti")
+    else:
+        open_ = begun
+    # one row, not the ids
+    name = open_.agg(F.min("write_id").alias("write_id")).first()["write_id"]
+    return None if name is None else begun.where(F.col("write_id") == name)
+
+
 def replay_job(
     spark: SparkSession,
     dead_letters: str,
@@ -69,25 +101,37 @@ def replay_job(
 ) -> DataFrame:
     """Send selected dead letters through the document path again; returns the counts.
 
-    ``replayed`` is a table of the ids done so far: they are not selected again, so that
-    repeated runs with a limit work through all dead letters.  What was asked for by
-    name is not sampled again.
+    ``replayed`` is a folder that remembers the ids done so far: they are not selected
+    again, so that repeated runs with a limit work through all dead letters.  It also
+    remembers, before anything is written, what a run is about to do.  After a failure
+    the next run takes up that selection, whatever it is asked for, under the name of the
+    same write: it replaces what the failed one had written.  Without ``replayed`` a
+    run that failed may have written rows that a second one writes again.  What was
+    asked for by name is not sampled again.
     """
     configure(spark)
     letters = read_table(spark, dead_letters)
-    if replayed is not None and table_exists(spark, replayed):
-        letters = letters.join(read_table(spark, replayed).select("id"), "id", "left_anti")
-    selected = select_for_replay(letters, request)
+    if replayed is not None and table_exists(spark, f"{replayed}/done"):
+        letters = letters.join(replayed_ids(spark, replayed), "id", "left_anti")
     if request.dry_run:
+        selected = select_for_replay(letters, request)
         return replay_counts(selected, selected, dry_run=True)
+    unfinished = _unfinished(spark, replayed) if replayed is not None else None
+    if unfinished is None:
+        write_id, selected = new_write_id("replay"), select_for_replay(letters, request)
+    else:
+        write_id = unfinished.select("write_id").first()["write_id"]
+        selected = letters.join(unfinished.select("id"), "id", "left_semi")
     # the selection is used several times
     selected = staged(selected, "replay").drop("row_id")
+    if replayed is not None and unfinished is None:
+        _note_begun(selected.select("id"), replayed, write_id)
     again = cfg.with_(debug_sample_rate=1.0)
     documents = staged(prepare(rebuild_messages(selected, again), again), "replay-documents")
     routed = finish(merge_anchored(documents, again), again).drop("row_id")
-    write_both(routed, table, failed_again, again, new_write_id("replay"))
+    write_both(routed, table, failed_again, again, write_id)
     if replayed is not None:
-        selected.select("id").write.mode("append").parquet(replayed)
+        _note_done(selected.select("id"), replayed, write_id)
     return replay_counts(selected, documents, dry_run=False)
 
 

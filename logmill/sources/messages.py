@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
 from ..functions.text import has_text, text_or
+from ..operators.offsets import LATEST
 from ..schemas import MESSAGES
 
 
@@ -35,14 +38,35 @@ def topic_stream(
     return _from_broker(reader.load())
 
 
-def topic_batch(spark: SparkSession, servers: str, topics: list[str], **options: str) -> DataFrame:
-    reader = (
-        spark.read.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", ",".join(topics))
-        .options(**options)
-    )
-    return _from_broker(reader.load())
+def scan_options(starting: str, ending: str | None = None) -> dict[str, str]:
+    """Options of a scan between two offset JSONs (see :func:`logmill.operators.offsets.offsets_json`).
+
+    The topic partitions of ``starting`` are read, each up to its offset in ``ending`` or
+    else to its end.  One that only ``ending`` names is an error: it would be left out.
+    """
+    first = json.loads(starting)
+    last = json.loads(ending) if ending is not None else {}
+    extra = [f"{t}-{p}" for t, at in last.items() for p in at if p not in first.get(t, {})]
+    if extra:
+        raise ValueError(f"no starting offset for {', '.join(sorted(extra))}")
+    assigned = {t: sorted(map(int, at)) for t, at in first.items()}
+    until = {t: {p: last.get(t, {}).get(p, LATEST) for p in at} for t, at in first.items()}
+    text = {"assign": assigned, "startingOffsets": first, "endingOffsets": until}
+    return {k: json.dumps(v, separators=(",", ":")) for k, v in text.items()}
+
+
+def topic_batch(
+    spark: SparkSession,
+    servers: str,
+    topics: list[str] | None = None,
+    starting: str | None = None,
+    ending: str | None = None,
+    **options: str,
+) -> DataFrame:
+    """Whole topics, or their partitions between two offset JSONs; needs the Kafka connector."""
+    scope = {"subscribe": ",".join(topics or [])} if starting is None else scan_options(starting, ending)
+    reader = spark.read.format("kafka").option("kafka.bootstrap.servers", servers)
+    return _from_broker(reader.options(**scope, **options).load())
 
 
 def file_stream(

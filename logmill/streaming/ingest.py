@@ -10,12 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
 from ..operators.merge import merge_tumbling, sum_parts, tumbling_parts
-from ..operators.metrics import observe_progress
+from ..operators.metrics import observe_offsets, observe_progress
 from ..plans.ingest import finish, prepare
 from ..plans.jobs import write_both
 from ..session import configure, staged, workspace
 from ..sources.messages import no_messages
 from ..sources.tables import read_table, write_parts
+from .progress import ProgressCounters
 from .windows import close_windows, merge_batch, open_windows
 
 WINDOWS = "open-windows"
@@ -31,6 +32,8 @@ def start_routed(
     cfg: PipelineConfig = PipelineConfig(),
     trigger: dict | None = None,
     lateness_millis: int | None = None,
+    counters: ProgressCounters | None = None,
+    partitions: list[tuple[str, int]] | None = None,
 ) -> StreamingQuery:
     """Hand the routed rows of each micro-batch of a message stream to ``sink(rows, batch_id)``.
 
@@ -38,7 +41,8 @@ def start_routed(
     documents and other tables of a batch live until it is done; the open duplicate windows are
     a table in the checkpoint folder (see :mod:`logmill.streaming.windows`, also for
     ``lateness_millis``).  With ``merge_flush='final'``, :func:`finish_routed` writes the
-    summaries of windows still open when the stream has ended.
+    summaries of windows still open when the stream has ended.  ``counters`` is told what each batch
+    wrote; of the topic ``partitions`` named, rows and offsets are observed.
     """
     spark = configure(messages.sparkSession)
 
@@ -50,10 +54,16 @@ def start_routed(
                 merged = merge_batch(documents, windows, batch_id, cfg, lateness_millis)
             else:
                 merged = documents.drop("row_id").withColumn("action", F.lit("raw"))
-            sink(staged(finish(merged, cfg), "routed").drop("row_id"), batch_id)
+            routed = staged(finish(merged, cfg), "routed").drop("row_id")
+            sink(routed, batch_id)
+            if counters is not None:
+                failed = F.col("failure").isNotNull()
+                n = routed.agg(F.count_if(~failed).alias("documents"), F.count_if(failed).alias("failures")).first()
+                query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+                counters.wrote(query, n.documents, n.failures)
 
     return (
-        observe_progress(prepare(messages, cfg))
+        observe_progress(prepare(observe_offsets(messages, partitions or []), cfg))
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "3 seconds"}))
@@ -82,6 +92,8 @@ def start_ingest(
     cfg: PipelineConfig = PipelineConfig(),
     trigger: dict | None = None,
     lateness_millis: int | None = None,
+    counters: ProgressCounters | None = None,
+    partitions: list[tuple[str, int]] | None = None,
 ) -> StreamingQuery:
     """Start writing a message stream to the routed table and the dead letters.
 
@@ -95,7 +107,7 @@ def start_ingest(
         query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         write_both(rows, table, dead_letters, cfg, f"stream-{query}-{batch_id}")
 
-    return start_routed(messages, sink, checkpoint, cfg, trigger, lateness_millis)
+    return start_routed(messages, sink, checkpoint, cfg, trigger, lateness_millis, counters, partitions)
 
 
 def start_tumbling(

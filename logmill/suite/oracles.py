@@ -205,6 +205,12 @@ def _dead(body: str) -> str:
     return f"WITH {DEAD} {body}"
 
 
+_POINTS = """
+      WITH e AS (SELECT (user_id % 4)::BIGINT AS p, event_id AS o, event_id % 3001 <> 2999 AS handled FROM events),
+      b AS (SELECT p, min(o) AS begin_offset, max(o) + 1 AS end_offset, min(o) FILTER (WHERE NOT handled) AS first_open FROM e GROUP BY p),
+      c AS (SELECT p, max(o) + 1 AS n FROM e JOIN b USING (p) WHERE first_open IS NULL OR o < first_open GROUP BY p),
+      points AS (SELECT p, end_offset, coalesce(n, begin_offset) AS next_offset, n IS NOT NULL AS has_point FROM b LEFT JOIN c USING (p))"""
+
 _TEMPLATE = r"""regexp_replace(regexp_replace(regexp_replace(text, '[0-9a-fA-F]{8}-[0-9a-fA-F-]{27,}', '<uuid>', 'g'),
   '\b[0-9]{2,}\b', '<num>', 'g'), '\b[0-9a-fA-F]{16,}\b', '<hex>', 'g')"""
 
@@ -392,6 +398,11 @@ ORACLES: dict[str, str] = {
     "consumer_counters": """
       SELECT 'app.logs' AS topic, (user_id % 4)::BIGINT AS "partition", count(*) AS polled, count(*) FILTER (WHERE event_id % 11 <> 1) AS processed,
         count(*) FILTER (WHERE event_id % 20 = 4) AS filtered, count(*) FILTER (WHERE event_id % 11 = 1) AS in_flight, max(event_id) AS last_offset FROM events GROUP BY 2""",
+    "partition_lag": _POINTS + """
+      SELECT 'app.logs' AS topic, p AS "partition", next_offset, end_offset, greatest(end_offset - next_offset, 0) AS lag,
+        (SELECT count(*) FROM e WHERE e.p = points.p AND o >= next_offset) AS behind FROM points""",
+    "bounded_scan": _POINTS + """
+      SELECT e.p AS "partition", o AS "offset", handled FROM e JOIN points USING (p) WHERE has_point AND o >= next_offset AND o < end_offset - 100""",
     "stream_ingest": _placed("""
       SELECT id, data_stream, 'event' AS kind, NULL::VARCHAR AS failure FROM placed WHERE action = 'raw'
       UNION ALL SELECT 'aggregate-' || hash || '-' || (window_us // 1000), 'logs-aggregate-metrics-' || namespace, 'metric', NULL FROM placed WHERE action = 'aggregate'

@@ -820,6 +820,30 @@ def consumer_counters(spark, sf_dir):
     return P.consumer_counters(rows).withColumn("partition", big("partition"))
 
 
+def _handled_events(spark, sf_dir):
+    return X.events(spark, sf_dir).select(
+        F.lit("app.logs").alias("topic"),
+        F.expr("CAST(user_id % 4 AS INT)").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.expr("event_id % 3001 <> 2999").alias("handled"),
+    )
+
+
+@query
+def partition_lag(spark, sf_dir):
+    rows = _handled_events(spark, sf_dir)
+    return O.partition_lag(rows, rows).withColumn("partition", big("partition"))
+
+
+@query
+def bounded_scan(spark, sf_dir):
+    """What is still to be read, between the commit points and 100 short of the end, by offset JSON."""
+    rows = _handled_events(spark, sf_dir)
+    ends = O.log_range(rows).withColumn("end_offset", F.col("end_offset") - 100)
+    found = O.in_offset_range(rows, O.offsets_json(O.handled_prefix(rows)), O.offsets_json(ends, "end_offset"))
+    return found.select(big("partition").alias("partition"), "offset", "handled")
+
+
 # ---- streams -------------------------------------------------------------------------
 
 

@@ -38,7 +38,8 @@ def test_stream_equals_batch(spark, messages_of, tmp_path):
     stream = file_stream(spark, source, max_files=1)
     counters = ProgressCounters()
     spark.streams.addListener(counters)
-    query = start_ingest(stream, table, dead, str(tmp_path / "ck"), CFG, {"availableNow": True})
+    named = [("t", 0), ("t", 77)]
+    query = start_ingest(stream, table, dead, str(tmp_path / "ck"), CFG, {"availableNow": True}, counters=counters, partitions=named)
     query.awaitTermination(300)
     assert query.exception() is None and not query.isActive
 
@@ -49,8 +50,12 @@ def test_stream_equals_batch(spark, messages_of, tmp_path):
     reasons = {r.reason for r in read_table(spark, dead).collect()}
     assert reasons == {"event_time_unparseable", "payload_is_null"}
     spark.streams.removeListener(counters)
-    totals = next(iter(counters.totals.values()))
+    (name, totals), = counters.totals.items()
     assert totals["polled"] == len(PAYLOADS) and totals["batches"] >= 3
+    assert (totals["written"], totals["dead_letters"]) == (good.count(), 2)
+    assert counters.skipped_or_merged(name) == len(PAYLOADS) - good.count() - 2 > 0
+    # filtered rows are polled too
+    assert counters.rows[name] == {("t", 0): len(PAYLOADS), ("t", 77): 0} and counters.offsets[name] == {("t", 0): len(PAYLOADS)}
 
 
 def test_tumbling_stream(spark, messages_of, tmp_path):
@@ -99,6 +104,33 @@ def test_batch_job_replay_and_retention(spark, messages_of, tmp_path):
     assert jobs.expired_partitions(spark, table, "2026-02-03", CFG).count() == 0
 
 
+def test_replay_after_a_crash(spark, messages_of, tmp_path, monkeypatch):
+    table, dead, again, done = (str(tmp_path / n) for n in ("table", "dead", "again", "done"))
+    bad = ['{"time":"bad %d","body":"x"}' % i for i in range(5)]
+    jobs.ingest_batch(messages_of(bad), table, dead, CFG)
+    first = ReplayRequest(dry_run=False, limit=2)
+
+    def stop(*args):
+        raise RuntimeError("lost")
+
+    # nothing of the replay was noted, then only that it began: both are made good by the next run
+    for step in ("write_both", "_note_done"):
+        with monkeypatch.context() as patch:
+            patch.setattr(jobs, step, stop)
+            try:
+                jobs.replay_job(spark, dead, table, again, first, CFG, done)
+            except RuntimeError:
+                pass
+    assert read_table(spark, again).count() == 2
+    # the run after it takes up those two, whatever it is asked for; the next one takes the others
+    assert jobs.replay_job(spark, dead, table, again, ReplayRequest(dry_run=False, limit=None), CFG, done).first()[0] == 2
+    assert read_table(spark, again).count() == 2 and jobs.replayed_ids(spark, done).count() == 2
+    assert jobs.replay_job(spark, dead, table, again, ReplayRequest(dry_run=False, limit=None), CFG, done).first()[0] == 3
+    assert read_table(spark, again).count() == 5 and jobs.replayed_ids(spark, done).distinct().count() == 5
+    assert jobs.replay_job(spark, dead, table, again, ReplayRequest(dry_run=False, limit=None), CFG, done).first()[0] == 0
+    assert read_table(spark, again).count() == 5
+
+
 def test_repeated_batch_write_replaces(spark, messages_of, tmp_path):
     rows = prepare(messages_of(["a", "b"]), CFG)
     for batch in (3, 3, 4):
