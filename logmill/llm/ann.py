@@ -2,12 +2,14 @@
 
 The neighbour graph of a bounded sample is cut into balanced parts; a small network
 learns which part a vector's neighbours are in, places every vector in its likeliest
-part and sends a query to several.  What is found there is ranked by exact cosines.
+part and sends a query to several.  How many follows from the true neighbours that a
+bounded number of the queries have among all rows.  What is found there is ranked by
+exact cosines.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ from .common import keep, table
 
 SAMPLE, PARTS, GRAPH_NEIGHBOURS, HIDDEN = 8192, 32, 10, 64
 TARGET_RECALL = 0.97
+# queries whose true neighbours are looked up to tell how many parts to try
+CALIBRATION = 512
 
 
 def usable(vector: str = "embedding") -> Column:
@@ -127,7 +131,7 @@ def fit(sample: np.ndarray, parts: int = PARTS, k: int = 5, target: float = TARG
     """Learn partitions on a sample; ``None`` if it is too small to be worth cutting.
 
     ``probes`` is the smallest number of parts whose neighbours reach ``target`` of the
-    sample's true ``k`` nearest; a larger index has nearer neighbours and does better.
+    sample's true ``k`` nearest: a first guess, for queries that lie like the rows.
     """
     while parts > 1 and len(sample) < parts * 32:
         parts //= 2
@@ -157,6 +161,56 @@ def sampled(vectors: DataFrame, bound: int) -> np.ndarray:
     return rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1) if len(rows) else np.empty((0, 0))
 
 
+def probes_for(
+    router: Router, base: DataFrame, queries: DataFrame, k: int = 5, target: float = TARGET_RECALL, bound: int = CALIBRATION
+) -> int:
+    """The fewest parts that hold ``target`` of the true ``k`` nearest rows of about ``bound`` of the queries.
+
+    Queries may lie elsewhere than the rows, so neither a sample of the rows nor the
+    neighbours inside it tell.  ``base`` has ids, embedding and cell.  Every task compares
+    its rows with the queries asked and hands on the nearest ones.
+    """
+    share = bound / max(bound, queries.count())
+    place = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(1_000_000)) / 1_000_000
+    asked = queries.where(place < share).select("vec_id", "embedding").toArrow()
+    if not asked.num_rows:
+        return router.probes
+    wanted = _unit(_matrix(asked["embedding"]))
+    own = asked["vec_id"].to_numpy()
+    schema = pa.schema([("query", pa.int32()), ("score", pa.float64()), ("ids", pa.list_(pa.int64())), ("cell", pa.int32())])
+
+    def near(batches):
+        held = schema.empty_table()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            cosine = wanted @ _unit(_matrix(rows["embedding"])).T
+            take = min(k + 1, batch.num_rows)
+            top = np.argpartition(-cosine, take - 1, axis=1)[:, :take]
+            at = pa.array(top.ravel())
+            new = [np.repeat(np.arange(len(wanted), dtype=np.int32), take), np.take_along_axis(cosine, top, 1).ravel()]
+            found = [rows[name].combine_chunks().take(at) for name in ("ids", "cell")]
+            both = pa.concat_tables([held, pa.Table.from_arrays([*map(pa.array, new), *found], schema=schema)])
+            # of what came so far the k + 1 best of each query stay: one of them may be the query's own row
+            query, score = both["query"].to_numpy(), both["score"].to_numpy()
+            order = np.lexsort((-score, query))
+            first = np.searchsorted(query[order], np.arange(len(wanted)))
+            held = both.take(pa.array(order[np.arange(len(order)) - first[query[order]] <= k])).combine_chunks()
+        yield from held.to_batches()
+
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    rows = base.select("ids", "embedding", "cell").mapInArrow(near, "query int, score double, ids array<bigint>, cell int")
+    own_ids = F.element_at(F.array(*[F.lit(int(i)) for i in own]), F.col("query") + 1)
+    rows = rows.select("query", "score", "cell", F.explode("ids").alias("vec_id")).where(F.col("vec_id") != own_ids)
+    true = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query", "cell").toArrow()
+    if not true.num_rows:
+        return router.probes
+    ranks = np.argsort(np.argsort(-router.logits(wanted), axis=1, kind="stable"), axis=1)
+    need = ranks[true["query"].to_numpy(), true["cell"].to_numpy()]
+    return next(m for m in range(1, ranks.shape[1] + 1) if (need < m).mean() >= target)
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks()
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1).astype(np.float64)
@@ -174,18 +228,21 @@ def nearest(
     ``k + 1`` smallest ids, so a vector that a third of all rows share costs no more than
     another.  Fewer candidates than ``k`` give fewer rows.
 
-    The network is fitted on about ``sample`` vectors; every vector is placed.  Parts are
-    searched in blocks of bounded size.
+    The network is fitted on about ``sample`` vectors; every vector is placed.  A query
+    tries as many parts as :func:`probes_for` finds.  Parts are searched in blocks of
+    bounded size.
     """
     clean = lambda df: df.where(usable() & F.col("vec_id").isNotNull()).select("vec_id", "embedding")
     base = clean(vectors)
     common = base.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     n = common.n if common else 0
     base = keep(smallest_ids(base.where(F.size("embedding") == n), "embedding", "vec_id", k + 1), "ann-vectors")
-    asked = clean(queries).where(F.size("embedding") == n).dropDuplicates(["vec_id", "embedding"])
+    asked = keep(clean(queries).where(F.size("embedding") == n).dropDuplicates(["vec_id", "embedding"]), "ann-asked")
     router = fit(sampled(base, sample), parts, k, target)
     kind, asked_kind = (df.schema["embedding"].dataType.simpleString() for df in (base, asked))
     base = keep(_routed(base, router, 1, f"ids array<bigint>, embedding {kind}"), "ann-base")
+    if router is not None:
+        router = replace(router, probes=probes_for(router, base, asked, k, target))
     asked = keep(_routed(asked, router, router.probes if router else 1, f"vec_id bigint, embedding {asked_kind}"), "ann-queries")
     schema = pa.schema([("query_id", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
 

@@ -39,6 +39,8 @@ def search_blocks(
     left = queries.withColumn("query_block", F.pmod("place", of_query)).withColumn("base_block", every(of_base))
     right = base.withColumn("base_block", F.pmod("place", of_base)).withColumn("query_block", every(of_query))
     keys = ["cell", "base_block", "query_block"]
+    # both sides deal their rows by these keys, and equal numbers of different types go to different tasks
+    left, right = (side.withColumns({key: F.col(key).cast("int") for key in keys}) for side in (left, right))
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
 
 

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from logmill.llm import ann, hamming, licenses, mix, near_copies, pieces, repeats, token_files, toxicity, warc
+from logmill.llm.blocks import search_blocks
 from logmill.session import scratch_path
 
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(40_000))
@@ -549,3 +550,45 @@ def test_license_spans_are_verified(documents):
     assert [(s.start, s.end) for s in got[4].spans] == [(0, len(grant) + 2)]
     # repeated statements are spans of their own
     assert [s.start for s in sorted(got[7].spans, key=lambda s: s.start)] == [i * len(grant) for i in range(2000)]
+
+
+def test_queries_that_lie_elsewhere_find_their_neighbours(spark):
+    """Rows in tight groups, queries between them: what holds for the rows tells nothing about the queries."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 24))[rng.integers(0, 60, 3000)] + 0.2 * rng.normal(size=(3000, 24))
+    x[::50] = rng.normal(size=(60, 24))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(3)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cosine = unit[::50] @ unit.T
+    cosine[np.arange(60), np.arange(0, 3000, 50)] = -2
+    want = {(50 * q, int(v)) for q, row in enumerate(np.argsort(-cosine, axis=1)[:, :5]) for v in row}
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(vectors, vectors.where("vec_id % 50 = 0")).collect()}
+    assert len(got) == 300 and len(got & want) >= 0.9 * len(want)
+
+
+@pytest.mark.parametrize("search", ["vectors", "blocks"])
+def test_blocks_meet_in_every_task(spark, search):
+    """Many tasks, not put together: rows and queries of a cell must go to the same one."""
+    rng = np.random.default_rng(6)
+    names = {"spark.sql.shuffle.partitions": "37", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        if search == "vectors":
+            x = rng.normal(size=(2000, 16))
+            vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+            unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+            cosine = unit[::50] @ unit.T
+            cosine[np.arange(40), np.arange(0, 2000, 50)] = -2
+            want = {(50 * q, int(v)) for q, row in enumerate(np.argsort(-cosine, axis=1)[:, :5]) for v in row}
+            got = {(r.query_id, r.vec_id) for r in ann.nearest(vectors, vectors.where("vec_id % 50 = 0")).collect()}
+            assert len(got & want) >= 0.9 * len(want)
+        else:
+            rows = spark.range(60).selectExpr("CAST(id AS INT) AS cell", "id AS place")
+            met = lambda q, b: b.select(["cell"]) if q.num_rows else b.select(["cell"]).slice(0, 0)
+            found = search_blocks(rows, rows, met, "cell int")
+            assert sorted(r.cell for r in found.collect()) == list(range(60))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
