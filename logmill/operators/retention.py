@@ -77,7 +77,8 @@ def pattern_keys(rules: DataFrame) -> DataFrame:
 def rarest_keys(names: DataFrame, rules: DataFrame) -> DataFrame:
     """(pattern, key, n): of the keys of a pattern the one that fewest names have; none that no name has."""
     held = name_keys(names).groupBy("key").agg(F.count("*").alias("n"))
-    asked = pattern_keys(rules).join(held, "key", "left")
+    # both grow with the tables, and Spark takes them for as small as the names they come from: no broadcast
+    asked = pattern_keys(rules).join(held.hint("merge"), "key", "left")
     least = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key")).alias("least")
     return asked.groupBy("pattern").agg(least).where("least.n > 0").select("pattern", "least.key", "least.n")
 
@@ -89,16 +90,17 @@ def match_rules(streams: DataFrame, rules: DataFrame) -> DataFrame:
     pattern is joined by what fewest names hold: a word between separators, three signs
     in a row, or the whole name; the pairs found are tested in full.  A pattern for which
     even that is common does match many names; Spark splits such a key, and the best
-    rule of a name is found before the shuffle.  Of rules of equal priority the last
+    rule of a name is found before the shuffle.  Nothing is broadcast, so the driver holds
+    neither names nor patterns.  Of rules of equal priority the last
     policy name wins, as in :func:`rule_column`.
     """
     names = streams.select("data_stream").distinct()
     chosen = rarest_keys(names, rules).drop("n")
-    side = rules.join(chosen, "pattern")
+    side = rules.join(chosen.hint("merge"), "pattern")
     best = F.struct("priority", "policy", "warm_days", "delete_days")
     return (
         name_keys(names)
-        .join(side, "key")
+        .join(side.hint("merge"), "key")
         .where(F.expr("data_stream RLIKE regex"))
         .groupBy("data_stream")
         .agg(F.max(best).alias("best"))

@@ -53,3 +53,11 @@ def test_patterns_meet_few_names(spark):
     assert chosen.count() == 300 and chosen.agg({"n": "max"}).first()[0] == 1
     assert name_keys(streams).join(chosen, "key").count() == 300
     assert match_rules(streams, rules).count() == 300
+
+
+def test_neither_names_nor_patterns_pass_the_driver(spark, capsys):
+    """As many patterns as names: none of the joins may gather a side."""
+    streams, rules, _ = tables(spark, [f"logs-app{i}-prod" for i in range(50)], [f"logs-app{i}-*" for i in range(50)])
+    best = match_rules(streams, rules)
+    best.explain()
+    assert "Broadcast" not in capsys.readouterr().out and best.count() == 50
