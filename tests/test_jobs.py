@@ -9,6 +9,7 @@ from logmill.operators.merge import merge_tumbling
 from logmill.operators.replay import ReplayRequest
 from logmill.plans import jobs
 from logmill.plans.ingest import prepare, process
+from logmill.session import spread
 from logmill.sources.messages import file_stream, message_files
 from logmill.sources.tables import read_table, upsert_by_day, write_routed
 from logmill.streaming.ingest import read_tumbling, start_ingest, start_tumbling, tumbling_counts
@@ -147,3 +148,22 @@ def test_keyed_write(spark, tmp_path):
     upsert_by_day(spark, rows(("a", 2, 2), ("a", 0, 0)), path)
     assert sorted((r.id, r.v) for r in read_table(spark, path).collect()) == [("a", 2), ("b", 1)]
     assert os.path.isdir(path)
+
+
+def test_one_row_group_is_dealt_to_many_tasks(spark, tmp_path):
+    """A file has more splits than cores and yet all of its rows in one of them."""
+    conf = {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "1024"}
+    before = {name: spark.conf.get(name) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        spark.range(100_000).coalesce(1).selectExpr("id", "xxhash64(id) AS h").write.parquet(str(tmp_path / "rows"))
+        rows = spark.read.parquet(str(tmp_path / "rows"))
+        assert rows.rdd.getNumPartitions() > 8
+        dealt = spread(rows)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+        assert sum(sizes) == 100_000 and max(sizes) <= 25_000
+        assert spread(dealt).rdd.getNumPartitions() == dealt.rdd.getNumPartitions()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
