@@ -24,7 +24,7 @@ from ..operators import search as S
 from ..operators.fingerprint import fingerprint
 from ..plans.ingest import dry_run, finish, prepare
 from ..plans.jobs import compact_partition, ingest_batch, replay_job, write_both
-from ..session import configure, scratch_path, spread, staged
+from ..session import configure, scratch_path, spread, staged, tasks_for
 from ..sources.messages import ad_hoc, file_stream
 from ..sources.tables import latest_per_id, read_table, upsert_by_day, upsert_by_id, write_routed
 from ..streaming.ingest import finish_routed, read_tumbling, start_ingest, start_routed, start_tumbling
@@ -847,15 +847,16 @@ def bounded_scan(spark, sf_dir):
 # ---- streams -------------------------------------------------------------------------
 
 
-def _arriving_log(spark, sf_dir, steps: int = 4) -> str:
-    """The message log as files that arrive in the order of its times, ``steps`` times eight of them."""
+def _arriving_log(spark, sf_dir, steps: int = 4) -> tuple[str, int]:
+    """The message log as files that arrive in the order of its times, and how many arrive in each of ``steps`` steps."""
     folder = scratch_path(spark, "log")
     log = X.messages(spark, sf_dir)
+    files = max(8, tasks_for(X.events(spark, sf_dir).count()) // steps)
     cuts = log.agg(F.percentile_approx("timestamp", [i / steps for i in range(1, steps)]).alias("cuts")).first()["cuts"] or []
     step = sum((F.col("timestamp") > F.lit(c)).cast("int") for c in cuts) if cuts else F.lit(0)
     for i in range(len(cuts) + 1):
-        log.where(step == i).repartition(8).write.mode("append").parquet(folder)
-    return folder
+        log.where(step == i).repartition(files).write.mode("append").parquet(folder)
+    return folder, files
 
 
 def _ingested(spark, sf_dir, cfg) -> DataFrame:
@@ -865,7 +866,8 @@ def _ingested(spark, sf_dir, cfg) -> DataFrame:
     def sink(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    source = file_stream(spark, _arriving_log(spark, sf_dir), max_files=8)
+    folder, files = _arriving_log(spark, sf_dir)
+    source = file_stream(spark, folder, max_files=files)
     running = start_routed(source, sink, state, cfg, {"availableNow": True})
     running.awaitTermination()
     if cfg.merge_flush == "final":
@@ -937,8 +939,9 @@ def shared_table(spark, sf_dir):
 def stream_tumbling(spark, sf_dir):
     """Counts over several micro-batches, each of which holds rows of all days."""
     folder, table, state = (scratch_path(spark, n) for n in ("log", "tumbling", "state"))
-    X.messages(spark, sf_dir).repartition(3).write.parquet(folder)
-    source = file_stream(spark, folder, max_files=1)
+    files = max(1, tasks_for(X.events(spark, sf_dir).count()) // 3)
+    X.messages(spark, sf_dir).repartition(3 * files).write.parquet(folder)
+    source = file_stream(spark, folder, max_files=files)
     start_tumbling(source, table, state, MERGE_CFG, {"availableNow": True}).awaitTermination()
     return read_tumbling(spark, table).select("hash", micros("window_start").alias("window_us"), "occurrence_count")
 

@@ -57,7 +57,8 @@ def test_patterns_meet_few_names(spark):
 
 def test_neither_names_nor_patterns_pass_the_driver(spark, capsys):
     """As many patterns as names: none of the joins may gather a side."""
-    streams, rules, _ = tables(spark, [f"logs-app{i}-prod" for i in range(50)], [f"logs-app{i}-*" for i in range(50)])
-    best = match_rules(streams, rules)
+    rows = spark.range(50).selectExpr("concat('logs-app', id, '-prod') AS data_stream", "concat('logs-app', id, '-*') AS pattern")
+    rules = rows.selectExpr("pattern", "'^logs-app.*' AS regex", "1 AS priority", "'p' AS policy", "1 AS warm_days", "2 AS delete_days")
+    best = match_rules(rows.select("data_stream"), rules)
     best.explain()
     assert "Broadcast" not in capsys.readouterr().out and best.count() == 50
