@@ -19,7 +19,8 @@ SKETCHES, PER_SKETCH = 48, 2
 # texts of at most so many words: shingle, sketches, shingles per sketch
 SHORT = ((16, 2, 24, 1), (60, 2, 40, 2))
 PAIR_GROUP = 256
-BLOCK, BAG = 64, 128
+# documents of a block; bins that words are counted in, and those of a first, coarse look
+BLOCK, BINS, COARSE = 512, 4096, 128
 # every so manieth sketch is looked at first
 FIRST_SKETCHES = 6
 # further hubs are drawn, for at most so many turns, while this share of their pairs is linked and
@@ -241,38 +242,81 @@ def untested(entries: DataFrame) -> int:
     return ((row["all"] or 0) - (row["same"] or 0)) // 2
 
 
+def word_bins(words: DataFrame) -> DataFrame:
+    """(doc, size, bins): the word hashes of documents modulo BINS, two bytes each."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = [(np.frombuffer(w, dtype=np.uint64) % np.uint64(BINS)).astype("<u2").tobytes() for w in batch.column("words").to_pylist()]
+            yield pa.record_batch([batch.column("doc"), batch.column("size"), pa.array(bins, pa.binary())], names=["doc", "size", "bins"])
+
+    return bounded_batches(words.select("doc", "size", "words")).mapInArrow(cut, "doc bigint, size bigint, bins binary")
+
+
+def share_one(lists: list[list[int]]) -> np.ndarray:
+    """Which two of the lists have a value in common."""
+    out = np.zeros((len(lists), len(lists)), dtype=bool)
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    values, column, counts = np.unique(np.array([v for x in lists for v in x], dtype=np.int64), return_inverse=True, return_counts=True)
+    # numbered without those of a single list
+    number = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[column] if len(values) else column
+    for low in range(0, int(number.max(initial=-1)) + 1, BINS):
+        part = (number >= low) & (number < low + BINS)
+        held = np.zeros((len(lists), BINS), dtype=np.float32)
+        held[row[part], number[part] - low] = 1
+        out |= held @ held.T > 0
+    return out
+
+
+def edits_needed(more: np.ndarray) -> np.ndarray:
+    """Least edits between texts whose counts of words differ by the rows of ``more``.
+
+    An edit changes one word on either side.
+    """
+    return np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+
+
 def block_pairs(entries: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     """(doc, hub): all pairs of a bucket in different components that may be similar.
 
     A bucket is cut into blocks of about BLOCK documents and each pair of blocks is a
-    group of its own, so no task holds a bucket.  A pair is left out only if its lengths
-    or word counts show that it needs more edits than allowed.
+    group of its own, so no task holds a bucket.  Of the buckets that hold both documents
+    of a pair, only the first looks at it.  A pair is left out only if its lengths or the
+    counts of its words show that it needs more edits than allowed: texts with a long
+    passage in common share nearly all buckets, and most of them are no copies.
     """
     sizes = keep(entries.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    # as many buckets a document as it has sketches
+    held = entries.groupBy("doc").agg(F.collect_set("bucket").alias("buckets"))
     placed = entries.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    placed = placed.join(words.select("doc", "size", "bag"), "doc")
+    placed = placed.join(word_bins(words).join(held, "doc"), "doc")
+    placed = placed.withColumn("earlier", F.filter("buckets", lambda b: b < F.col("bucket")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    spread = placed.select("bucket", "doc", "root", "size", "bag", "own", other)
-    spread = spread.select(
-        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc", "root", "size", "bag"
-    )
+    held_by = ["own", "doc", "root", "size", "bins", "earlier"]
+    spread = placed.select("bucket", *held_by, other)
+    spread = spread.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *held_by)
     schema = pa.schema([("doc", pa.int64()), ("hub", pa.int64())])
 
     def pairs(group: pa.Table) -> pa.Table:
         own, doc, root, size = (group[c].to_numpy() for c in ("own", "doc", "root", "size"))
-        bags = np.frombuffer(b"".join(group["bag"].to_pylist()), dtype=np.uint8).reshape(-1, BAG).astype(np.int16)
+        met = share_one(group["earlier"].to_pylist())
+        counts = [np.bincount(np.frombuffer(b, dtype="<u2"), minlength=BINS) for b in group["bins"].to_pylist()]
+        bins = np.minimum(np.stack(counts), 255).astype(np.int16)
+        coarse = bins.reshape(len(bins), -1, COARSE).sum(axis=1, dtype=np.int16)
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
         found = [np.empty((0, 2), dtype=np.int64)]
         for i in np.flatnonzero(own == low):
             # within one block each pair once, between two blocks every pair
-            js = np.flatnonzero((own == high) & (root != root[i]) & ((doc > doc[i]) | (low != high)))
+            js = np.flatnonzero((own == high) & (root != root[i]) & ((doc > doc[i]) | (low != high)) & ~met[i])
             longer = np.maximum(size[js], size[i])
             allowed = ((1 - threshold) * longer + 1e-9).astype(np.int64)
-            near = np.abs(size[js] - size[i]) <= allowed
-            js, allowed = js[near], allowed[near]
-            more = bags[js] - bags[i]
-            least = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
-            js = js[least <= allowed]
+            for may in (
+                lambda js: np.abs(size[js] - size[i]),
+                lambda js: edits_needed(coarse[js] - coarse[i]),
+                lambda js: edits_needed(bins[js] - bins[i]),
+            ):
+                near = may(js) <= allowed
+                js, allowed = js[near], allowed[near]
             found.append(np.stack([np.maximum(doc[js], doc[i]), np.minimum(doc[js], doc[i])], axis=1))
         both = np.concatenate(found)
         return pa.Table.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
@@ -281,11 +325,7 @@ def block_pairs(entries: DataFrame, words: DataFrame, threshold: float) -> DataF
 
 
 def words_of(texts: DataFrame, entries: DataFrame) -> DataFrame:
-    """(doc, words, size, bag): the word hashes of the documents of ``entries``.
-
-    ``bag`` counts the words by hash modulo BAG, up to 255: an edit changes one word on
-    either side, so what one bag has more than another is a lower bound of the edits.
-    """
+    """(doc, words, size): the word hashes of the documents of ``entries``."""
     involved = entries.select("doc").distinct()
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,13 +333,12 @@ def words_of(texts: DataFrame, entries: DataFrame) -> DataFrame:
             for part in text_slices(batch, ["text"], 1 << 20):
                 w = Words(part.column("text"), lower=True)
                 lists = [w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
-                bags = [np.minimum(np.bincount((h % np.uint64(BAG)).astype(np.int64), minlength=BAG), 255).astype(np.uint8).tobytes() for h in lists]
-                columns = [pa.array([h.tobytes() for h in lists], pa.binary()), pa.array([len(h) for h in lists], pa.int64()), pa.array(bags, pa.binary())]
-                yield pa.record_batch([part.column("doc"), *columns], names=["doc", "words", "size", "bag"])
+                columns = [pa.array([h.tobytes() for h in lists], pa.binary()), pa.array([len(h) for h in lists], pa.int64())]
+                yield pa.record_batch([part.column("doc"), *columns], names=["doc", "words", "size"])
 
     # as many documents as there are near copies: planned as a shuffle at every size
     needed = texts.join(involved.hint("merge"), "doc").select("text", "doc")
-    return keep(needed.mapInArrow(words, "doc bigint, words binary, size bigint, bag binary"), "words")
+    return keep(needed.mapInArrow(words, "doc bigint, words binary, size bigint"), "words")
 
 
 def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> tuple[int, DataFrame]:
