@@ -25,11 +25,14 @@ from .common import bounded_batches, table, text_slices, worker_state
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 NO_RANK = -1e8  # lower scores mark pieces that no merge makes
-CACHED_UNITS = 250_000
+CACHED_UNITS = 120_000
 LONG_UNIT = 48
 NBEST = 4
 _UNIT = re.compile(r"[\n▁]| *[^ \n▁]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+# so many bits of a hash are looked up among those of beginnings of pieces
+MARK_BITS = 17
+_SHIFT = np.uint64(64 - MARK_BITS)
 _NEVER = -1e18
 
 
@@ -121,14 +124,18 @@ class PieceModel:
 
     def _tables(self) -> None:
         by_length: dict[int, list[tuple[int, int, float]]] = {}
+        begun: dict[int, set[int]] = {}
         for piece, i in self.ids.items():
             points = np.array([ord(c) for c in piece], dtype=np.uint64)
             h = np.uint64(0)
             with np.errstate(over="ignore"):
-                for p in points:
+                for k, p in enumerate(points, 1):
                     h = h * _BASE + p + np.uint64(1)
+                    begun.setdefault(k, set()).add(int(h))
             by_length.setdefault(len(piece), []).append((int(h), i, self.scores[piece]))
         self.tables = {}
+        # marks of the hashes of all beginnings of pieces, by length
+        self.begun = {length: np.zeros(1 << MARK_BITS, dtype=bool) for length in range(1, self.longest + 1)}
         for length, rows in by_length.items():
             rows.sort()
             self.tables[length] = (
@@ -136,6 +143,8 @@ class PieceModel:
                 np.array([r[1] for r in rows], dtype=np.int64),
                 np.array([r[2] for r in rows], dtype=np.float64),
             )
+        for length, hashes in begun.items():
+            self.begun[length][(np.array(list(hashes), dtype=np.uint64) * _BASE) >> _SHIFT] = True
 
     def edges(self, unit: str) -> list[list[tuple[int, int, float]]]:
         """Per place the edges that end there: (start, id or -1, score)."""
@@ -210,71 +219,80 @@ class PieceModel:
             else:
                 by_size.setdefault(len(unit), []).append(i)
         for size, rows in by_size.items():
-            for low in range(0, len(rows), 8192):
-                self._best_of_size(units, rows[low : low + 8192], size, out)
+            for low in range(0, len(rows), 4096):
+                self._best_of_size(units, rows[low : low + 4096], size, out)
         return out
 
     def _best_of_size(self, units: list[str], rows: list[int], size: int, out: list) -> None:
         n = len(rows)
-        points = np.frombuffer("".join(units[i] for i in rows).encode("utf-32-le"), dtype="<u4").reshape(n, size).astype(np.uint64)
+        points = np.frombuffer("".join(units[i] for i in rows).encode("utf-32-le"), dtype="<u4").reshape(n, size).T.astype(np.uint64)
         reach = min(size, self.longest)
-        ids = np.full((reach + 1, n, size), -1, dtype=np.int32)
-        scores = np.full((reach + 1, n, size), _NEVER)
-        h = np.zeros((n, size), dtype=np.uint64)
+        # by length, place and unit: a step of the search reads one row of neighbours
+        ids = np.full((reach + 1, size, n), -1, dtype=np.int32)
+        scores: list = [None] * (reach + 1)
+        met = np.zeros((reach + 1, size), dtype=bool)
+        flat = points.ravel()
+        # places from which a piece may still go on
+        live, h = np.arange(size * n), np.zeros(size * n, dtype=np.uint64)
         for length in range(1, reach + 1):
-            wide = size - length + 1
-            h = h[:, :wide] * _BASE + points[:, length - 1 : length - 1 + wide] + np.uint64(1)
+            inside = int(np.searchsorted(live, (size - length + 1) * n))
+            live, h = live[:inside], h[:inside] * _BASE + flat[live[:inside] + (length - 1) * n] + np.uint64(1)
+            on = np.flatnonzero(self.begun[length][(h * _BASE) >> _SHIFT])
+            live, h = live[on], h[on]
             if length in self.tables:
                 keys, piece, score = self.tables[length]
                 at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                 hit = keys[at] == h
-                ids[length, :, :wide] = np.where(hit, piece[at], -1)
-                scores[length, :, :wide] = np.where(hit, score[at], _NEVER)
-        lone = ids[1] < 0
-        scores[1][lone] = self.unknown
+                at, held = at[hit], live[hit]
+                ids[length].reshape(-1)[held] = piece[at]
+                scores[length] = np.full((size, n), _NEVER)
+                scores[length].reshape(-1)[held] = score[at]
+                met[length, held // n] = True
+        if scores[1] is None:
+            scores[1] = np.full((size, n), _NEVER)
+        scores[1][ids[1] < 0] = self.unknown
+        met[1] = True
         first = np.full((size + 1, n), _NEVER)
         second = np.full((size + 1, n), _NEVER)
         step = np.zeros((size + 1, n), dtype=np.int64)
         first[0] = 0.0
         every = np.arange(n)
         for end in range(1, size + 1):
-            lengths = range(1, min(reach, end) + 1)
+            best, next_, by = first[end], second[end], step[end]
             # a longer last piece first: it wins a tie
-            lead = np.stack([first[end - k] + scores[k, :, end - k] for k in reversed(lengths)])
-            top = lead.argmax(axis=0)
-            first[end] = lead[top, every]
-            step[end] = end - top if reach >= end else reach - top
-            lead[top, every] = _NEVER
-            next_ = np.stack([second[end - k] + scores[k, :, end - k] for k in reversed(lengths)])
-            second[end] = np.maximum(lead.max(axis=0), next_.max(axis=0))
+            for k in range(min(reach, end), 0, -1):
+                if met[k, end - k]:
+                    gain = scores[k][end - k]
+                    lead = first[end - k] + gain
+                    np.maximum(next_, np.maximum(second[end - k] + gain, np.minimum(lead, best)), out=next_)
+                    by[lead > best] = k
+                    np.maximum(best, lead, out=best)
         # walk back all units together; places before a unit's beginning stay at 0
         place = np.full(n, size)
         pieces = []
         while place.any():
             k = step[place, every]
             start = place - k
-            pieces.append(np.where(place > 0, ids[k, every, np.maximum(start, 0)], -2))
+            pieces.append(np.where(place > 0, ids[k, np.maximum(start, 0), every], -2))
             place = np.where(place > 0, start, 0)
         path = np.stack(pieces[::-1], axis=1) if pieces else np.empty((n, 0), dtype=np.int64)
         unknown = (path == -1).any(axis=1)
         gap = np.where(second[size] > _NEVER / 2, first[size] - second[size], np.inf)
-        lengths = (path != -2).sum(axis=1)
         flat = path.astype("<i4")
-        width = flat.shape[1]
-        for r, i in enumerate(rows):
-            if unknown[r]:
-                own, place_ = [], 0
-                for piece in flat[r, width - lengths[r] :].tolist():
-                    if piece >= 0:
-                        own.append(piece)
-                        place_ += self._length(piece)
-                    else:
-                        own.extend(self._bytes_of(units[i][place_]))
-                        place_ += 1
-                data = np.array(own, dtype="<i4").tobytes()
-            else:
-                data = flat[r, width - lengths[r] :].tobytes()
-            out[i] = (data, float(first[size, r]), float(gap[r]))
+        data, width = flat.tobytes(), 4 * flat.shape[1]
+        begins = np.arange(1, n + 1) * width - 4 * (path != -2).sum(axis=1)
+        for r, (i, begin, total, loss) in enumerate(zip(rows, begins.tolist(), first[size].tolist(), gap.tolist())):
+            out[i] = (data[begin : (r + 1) * width], total, loss)
+        for r in np.flatnonzero(unknown).tolist():
+            i, own, place_ = rows[r], [], 0
+            for piece in np.frombuffer(out[i][0], dtype="<i4").tolist():
+                if piece >= 0:
+                    own.append(piece)
+                    place_ += self._length(piece)
+                else:
+                    own.extend(self._bytes_of(units[i][place_]))
+                    place_ += 1
+            out[i] = (np.array(own, dtype="<i4").tobytes(), *out[i][1:])
 
     def _length(self, piece: int) -> int:
         return len(self.text[piece])
@@ -306,13 +324,17 @@ class Segmenter:
     def learn(self, units: set[str]) -> None:
         missing = units - self.units.keys()
         if len(self.units) + len(missing) > CACHED_UNITS:
-            self.units.clear()
-            self.paths.clear()
+            self.forget()
             missing = units
         fresh = list(missing - {SPACE})
         self.units.update(zip(fresh, self.model.best([u.replace(" ", SPACE) for u in fresh])))
         self.units[SPACE] = (np.array(self.model._bytes_of(SPACE), dtype="<i4").tobytes(), self.model.unknown, np.inf)
 
+    def forget(self) -> None:
+        """Drop what was learned: a worker that waits for other work holds the model alone."""
+        self.units.clear()
+        self.paths.clear()
+
     def nbest(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best paths of a unit, kept: the same few units are the closest ones of many texts."""
         if (unit, n) not in self.paths:
@@ -334,7 +356,7 @@ class Segmenter:
         ids, score = b"".join(parts), float(sum(scores))
         if n < 2:
             return ids, score, []
-        gaps = np.array(losses)
+        gaps = np.fromiter(losses, np.float64, len(losses))
         take = min(n - 1, len(gaps))
         bound = np.partition(gaps, take - 1)[take - 1]
         near = np.flatnonzero(gaps <= bound)
@@ -380,18 +402,21 @@ def encode(docs: DataFrame, path: str, nbest: int = NBEST) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = segmenter(path)
-        for batch in batches:
-            for part in text_slices(batch, ["text"], 2 << 20):
-                units = [held.split(t or "") for t in part.column("text").to_pylist()]
-                held.learn(set().union(*units))
-                rows = [held.segment(u, nbest) for u in units]
-                values = np.frombuffer(b"".join(r[0] for r in rows), dtype="<i4")
-                ends = np.cumsum([0, *(len(r[0]) // 4 for r in rows)])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-                yield pa.record_batch(
-                    [part.column("doc"), ids, pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.list_(ALTERNATIVE))],
-                    names=schema_out,
-                )
+        try:
+            for batch in batches:
+                for part in text_slices(batch, ["text"], 2 << 20):
+                    units = [held.split(t or "") for t in part.column("text").to_pylist()]
+                    held.learn(set().union(*units))
+                    rows = [held.segment(u, nbest) for u in units]
+                    values = np.frombuffer(b"".join(r[0] for r in rows), dtype="<i4")
+                    ends = np.cumsum([0, *(len(r[0]) // 4 for r in rows)])
+                    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+                    yield pa.record_batch(
+                        [part.column("doc"), ids, pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.list_(ALTERNATIVE))],
+                        names=schema_out,
+                    )
+        finally:
+            held.forget()
 
     wrapped = bounded_batches(docs).select("text", F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"))
     kind = wrapped.schema["doc"].dataType.simpleString()

@@ -528,6 +528,62 @@ def test_neighbours_of_double_vectors(spark):
     assert [r.vec_id for r in got] == want and all(abs(r.score - cosine[r.vec_id]) < 1e-12 for r in got)
 
 
+def test_pairs_of_a_common_passage(spark):
+    """Of texts that share seven tenths of their words and all buckets, only the similar ones are aligned, each pair once."""
+    rng = np.random.default_rng(3)
+    passage = rng.integers(1, 1 << 62, 280)
+    texts = [np.concatenate([rng.integers(1, 1 << 62, 120), passage]) for _ in range(150)]
+    texts.append(np.concatenate([texts[7][:100], rng.integers(1, 1 << 62, 20), passage]))
+    words = [(i, bytearray(t.astype(np.uint64).tobytes()), len(t)) for i, t in enumerate(texts)]
+    words = spark.createDataFrame(words, "doc bigint, words binary, size bigint")
+    entries = spark.range(len(texts)).selectExpr("id AS doc", "id AS root", "explode(array(5L, 6L, -7L)) AS bucket")
+    pairs = near_copies.block_pairs(entries, words, 0.8).collect()
+    assert [(r.doc, r.hub) for r in pairs] == [(150, 7)]
+
+
+def test_pairs_over_several_blocks(spark, monkeypatch):
+    """All similar pairs of a bucket, whatever its blocks; documents may share any of their buckets."""
+    monkeypatch.setattr(near_copies, "BLOCK", 4)
+    text = np.arange(1, 101, dtype=np.uint64)
+    words = spark.createDataFrame([(i, bytearray(text.tobytes()), 100) for i in range(20)], "doc bigint, words binary, size bigint")
+    rows = [(i, i, b) for i in range(20) for b in ((1, 2) if i < 10 else (2, 3))] + [(0, 0, 3)]
+    entries = spark.createDataFrame(rows, "doc bigint, root bigint, bucket bigint")
+    pairs = [(r.doc, r.hub) for r in near_copies.block_pairs(entries, words, 0.8).collect()]
+    assert sorted(pairs) == [(i, j) for i in range(20) for j in range(i)]
+
+
+def test_workers_of_pieces_keep_the_model_alone(spark, documents):
+    """What a task learned of its texts goes when the task ends."""
+    docs = documents([(i, f"some words and w{i}x{i * 7919} others") for i in range(300)]).coalesce(1)
+    path = pieces.model_path()
+    assert pieces.encode(docs, path).count() == 300
+
+    def held(batches):
+        import sys
+
+        import pyarrow as pa
+
+        state = vars(sys.modules["_training_data_worker"])["segmenters"] if "_training_data_worker" in sys.modules else {}
+        for batch in batches:
+            kept = sum(len(s.units) + len(s.paths) for s in state.values())
+            yield pa.record_batch([pa.array([kept] * batch.num_rows, pa.int64())], names=["n"])
+
+    pieces.encode(docs, path).write.format("noop").mode("overwrite").save()
+    assert spark.range(40, numPartitions=4).mapInArrow(held, "n bigint").agg({"n": "max"}).first()[0] == 0
+
+
+def test_units_by_beginnings_of_pieces():
+    """The search over many units, which follows beginnings of pieces only, finds what the search of single ones finds."""
+    model = pieces.PieceModel(pieces.model_path())
+    assert all(model.begun[k].any() for k in range(1, model.longest + 1))
+    rng = np.random.default_rng(5)
+    units = sorted({"".join(rng.choice(list("aeinrst▁é中q."), rng.integers(1, 25))) for _ in range(400)})
+    for unit, (ids, score, loss) in zip(units, model.best(units)):
+        two = model.nbest(unit, 2)
+        assert np.frombuffer(ids, dtype="<i4").tolist() == two[0][1] and abs(score - two[0][0]) < 1e-9
+        assert abs(loss - (two[0][0] - two[1][0])) < 1e-9 if len(two) > 1 else loss == np.inf
+
+
 def test_license_spans_are_verified(documents):
     """Only pairs in the template's order count, and a span is little longer than its template."""
     apache = "licensed under the apache license version 2 0".split()
