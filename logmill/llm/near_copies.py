@@ -20,7 +20,8 @@ SKETCHES, PER_SKETCH = 48, 2
 SHORT = ((16, 2, 24, 1), (60, 2, 40, 2))
 PAIR_GROUP = 256
 # documents of a block; bins that words are counted in, and those of a first, coarse look
-BLOCK, BINS, COARSE = 512, 4096, 128
+BLOCK, BINS, COARSE = 256, 4096, 128
+COLUMNS = 1024
 # every so manieth sketch is looked at first
 FIRST_SKETCHES = 6
 # further hubs are drawn, for at most so many turns, while this share of their pairs is linked and
@@ -260,9 +261,9 @@ def share_one(lists: list[list[int]]) -> np.ndarray:
     values, column, counts = np.unique(np.array([v for x in lists for v in x], dtype=np.int64), return_inverse=True, return_counts=True)
     # numbered without those of a single list
     number = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[column] if len(values) else column
-    for low in range(0, int(number.max(initial=-1)) + 1, BINS):
-        part = (number >= low) & (number < low + BINS)
-        held = np.zeros((len(lists), BINS), dtype=np.float32)
+    for low in range(0, int(number.max(initial=-1)) + 1, COLUMNS):
+        part = (number >= low) & (number < low + COLUMNS)
+        held = np.zeros((len(lists), COLUMNS), dtype=np.float32)
         held[row[part], number[part] - low] = 1
         out |= held @ held.T > 0
     return out
@@ -300,9 +301,11 @@ def block_pairs(entries: DataFrame, words: DataFrame, threshold: float) -> DataF
     def pairs(group: pa.Table) -> pa.Table:
         own, doc, root, size = (group[c].to_numpy() for c in ("own", "doc", "root", "size"))
         met = share_one(group["earlier"].to_pylist())
-        counts = [np.bincount(np.frombuffer(b, dtype="<u2"), minlength=BINS) for b in group["bins"].to_pylist()]
-        bins = np.minimum(np.stack(counts), 255).astype(np.int16)
-        coarse = bins.reshape(len(bins), -1, COARSE).sum(axis=1, dtype=np.int16)
+        bins = np.empty((group.num_rows, BINS), dtype=np.uint8)
+        coarse = np.empty((group.num_rows, COARSE), dtype=np.int16)
+        for k, row in enumerate(group["bins"]):
+            bins[k] = np.minimum(np.bincount(np.frombuffer(row.as_py(), dtype="<u2"), minlength=BINS), 255)
+            coarse[k] = bins[k].reshape(-1, COARSE).sum(axis=0)
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
         found = [np.empty((0, 2), dtype=np.int64)]
         for i in np.flatnonzero(own == low):
@@ -313,7 +316,7 @@ def block_pairs(entries: DataFrame, words: DataFrame, threshold: float) -> DataF
             for may in (
                 lambda js: np.abs(size[js] - size[i]),
                 lambda js: edits_needed(coarse[js] - coarse[i]),
-                lambda js: edits_needed(bins[js] - bins[i]),
+                lambda js: edits_needed(bins[js] - bins[i].astype(np.int16)),
             ):
                 near = may(js) <= allowed
                 js, allowed = js[near], allowed[near]
