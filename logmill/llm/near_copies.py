@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, discard, keep, one_text_per_id, table, text_slices
+from .common import bounded_batches, discard, keep, one_text_per_id, packed, table, text_slices
 from .components import components
 from .hashing import Words, gram_hashes, mix64
 
@@ -32,6 +32,9 @@ TURNS, PAIRS, PAIRS_A_ROW = 8, 100_000, 2
 _LAST = 2**63 - 1  # stands for a null id, which is ordered last
 _SEEDS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEP = 32
+# after so many edits along the diagonals, or one per so many pairs of words, an alignment is done over by
+# the bits of columns; those of longer texts would take much memory
+FEW_EDITS, CELLS, COLUMN = 8, 400_000, 8192
 
 
 def order_minhash(grams: np.ndarray, sketches: int, size: int) -> np.ndarray:
@@ -60,12 +63,43 @@ def order_minhash(grams: np.ndarray, sketches: int, size: int) -> np.ndarray:
     return keys
 
 
+def within(a: list[int], b: list[int], allowed: int) -> bool:
+    """Whether ``allowed`` edits turn the words ``a`` into ``b``: Myers' bit vectors.
+
+    Bit i of ``up`` and ``down`` tells whether the column of a word of ``b`` rises or falls
+    at word i of ``a``; a Python integer holds a whole column.
+    """
+    at: dict[int, int] = {}
+    for i, word in enumerate(a):
+        at[word] = at.get(word, 0) | (1 << i)
+    every, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, edits, left = every, 0, len(a), len(b)
+    for word in b:
+        same = at.get(word, 0)
+        # all steps are between 0 and 1 word by word, so bits beyond the column are cut off
+        vertical = same | down
+        across = (((same & up) + up) ^ up) | same
+        rise, fall = down | (every & ~(across | up)), up & across
+        left -= 1
+        if rise & last:
+            edits += 1
+        elif fall & last:
+            edits -= 1
+        # each word that is left saves one edit at most
+        if edits - left > allowed:
+            return False
+        rise = rise << 1 | 1
+        up, down = ((fall << 1) | ~(vertical | rise)) & every, rise & vertical & every
+    return edits <= allowed
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     """Whether 1 - edits / longer length reaches ``threshold``; words are the letters.
 
     An alignment with at most e edits stays within e of the main diagonal.  For each
     number of edits the furthest place on every diagonal of that band is kept, until one
-    reaches the end or the edits allowed are used up.
+    reaches the end or the edits allowed are used up; :func:`within` decides on pairs of
+    more than FEW_EDITS.
     """
     longer = max(len(a), len(b))
     allowed = int((1 - threshold) * longer + 1e-9)
@@ -128,7 +162,10 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     if goal == 0 and far[0] >= n:
         return True
     never = np.int64(-(1 << 40))
+    few = max(FEW_EDITS, n * m // CELLS) if n <= COLUMN else allowed
     for edits in range(1, allowed + 1):
+        if edits > few:
+            return within(a.tolist(), b.tolist(), allowed)
         wide = np.concatenate([[never, never], far, [never, never]])
         # diagonals low - 1 .. high + 1: insertion, substitution, deletion
         best = np.maximum(np.maximum(wide[:-2], wide[1:-1] + 1), wide[2:] + 1)
@@ -199,14 +236,15 @@ def shared_buckets(entries: DataFrame) -> DataFrame:
     # a table of its own: Spark splits a skewed join only where no aggregation shares its stage
     several = keep(several.select("bucket"), "several-roots")
     shared = keep(entries.join(several, "bucket"), "shared-buckets")
+    small = packed(shared)
     marks = [F.bit_xor(F.xxhash64("doc", F.lit(seed))).alias(f"s{seed}") for seed in (1, 2)]
     sets = shared.groupBy("bucket").agg(F.count("*").alias("n"), *marks)
-    sets = keep(sets.groupBy("n", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "bucket-sets")
+    sets = keep(small(sets.groupBy("n", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket", "n")), "bucket-sets")
     discard(several)
-    entries = keep(shared.join(sets, "bucket"), "different-buckets")
+    entries = keep(small(shared.join(sets, "bucket")), "different-buckets")
     discard(shared, sets)
-    weights = keep(entries.groupBy("doc").agg(F.sum("n").alias("weight")), "weights")
-    weighed = keep(entries.select("bucket", "doc", "root").join(weights, "doc"), "weighed-buckets")
+    weights = keep(small(entries.groupBy("doc").agg(F.sum("n").alias("weight"))), "weights")
+    weighed = keep(small(entries.select("bucket", "doc", "root").join(weights, "doc")), "weighed-buckets")
     discard(entries, weights)
     return weighed
 
@@ -219,17 +257,19 @@ def star_hubs(entries: DataFrame, turn: int) -> DataFrame:
     """
     draw = F.col("weight") if turn == 0 else F.xxhash64("doc", F.lit(turn))
     hubs = entries.groupBy("bucket").agg(F.max(F.struct(draw.alias("draw"), (-F.col("doc")).alias("minus"), "root")).alias("top"))
-    return keep(hubs.select("bucket", (-F.col("top.minus")).alias("hub"), F.col("top.root").alias("hub_root")), "hubs")
+    hubs = hubs.select("bucket", (-F.col("top.minus")).alias("hub"), F.col("top.root").alias("hub_root"))
+    return keep(packed(entries)(hubs), "hubs")
 
 
 def with_roots(entries: DataFrame, roots: DataFrame) -> DataFrame:
     """``entries`` with the ``root`` of their documents, of buckets that hold several roots."""
     of = roots.select(F.col("node").alias("doc"), "root")
+    small = packed(entries)
     entries = entries.drop("root").join(of, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-    rooted = keep(entries, "rooted")
+    rooted = keep(small(entries), "rooted")
     by_root = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    by_root = keep(by_root.select("bucket"), "open-buckets")
-    left = keep(rooted.join(by_root, "bucket"), "open-entries")
+    by_root = keep(small(by_root.select("bucket")), "open-buckets")
+    left = keep(small(rooted.join(by_root, "bucket")), "open-entries")
     discard(rooted, by_root)
     return left
 
@@ -286,7 +326,8 @@ def block_pairs(entries: DataFrame, words: DataFrame, threshold: float) -> DataF
     counts of its words show that it needs more edits than allowed: texts with a long
     passage in common share nearly all buckets, and most of them are no copies.
     """
-    sizes = keep(entries.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    sizes = entries.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = keep(packed(entries)(sizes), "blocks")
     # as many buckets a document as it has sketches
     held = entries.groupBy("doc").agg(F.collect_set("bucket").alias("buckets"))
     placed = entries.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
@@ -352,8 +393,10 @@ def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> tuple[int,
     """
     pairs = keep(pairs.select("doc", "hub").distinct(), "pairs")
     words = words.select("doc", "words")
-    sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PAIR_GROUP).alias("groups"))
-    placed = keep(pairs.join(sizes, "hub").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("groups"))), "placed-pairs")
+    small = packed(pairs)
+    # a table of its own, so that Spark splits the join at a hub of very many documents
+    sizes = keep(small(pairs.groupBy("hub").agg(F.ceil(F.count("*") / PAIR_GROUP).alias("groups"))), "hub-sizes")
+    placed = keep(small(pairs.join(sizes, "hub").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("groups")))), "placed-pairs")
     members = placed.join(words, "doc").select("hub", "part", "doc", "words")
     hubs = placed.select("hub", "part").distinct().join(words.withColumnRenamed("doc", "hub"), "hub").select("hub", "part", "words")
     members, hubs = members.toDF("hub", "part", "doc", "words"), hubs.toDF("hub", "part", "words")
@@ -370,7 +413,7 @@ def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> tuple[int,
     aligned = members.groupBy("hub", "part").cogroup(hubs.groupBy("hub", "part")).applyInArrow(align, "doc bigint, hub bigint")
     links = keep(aligned, "links")
     tested = pairs.count()
-    discard(pairs, placed)
+    discard(pairs, sizes, placed)
     return tested, links
 
 
@@ -426,11 +469,12 @@ def classes(
         for turn in range(TURNS if left else 0):
             # the hub meets all others of its bucket, so it leaves it
             hubs = star_hubs(open_, turn)
-            others = keep(open_.join(hubs, "bucket").where("doc <> hub"), "stars")
+            others = keep(packed(open_)(open_.join(hubs, "bucket").where("doc <> hub")), "stars")
             discard(open_, hubs)
             tested, more = verified(others.where("root <> hub_root"), words, threshold)
             links = more if links is None else links.unionByName(more)
             open_ = others.drop("hub", "hub_root")
+            open_.kept_at = others.kept_at
             if part_of > 1 or more.count() < LINKED * tested:
                 # hubs bring few links more: what is left are hardly copies
                 break

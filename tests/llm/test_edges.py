@@ -648,3 +648,52 @@ def test_blocks_meet_in_every_task(spark, search):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_alignments_by_bits_of_columns(monkeypatch):
+    """Pairs of many edits are decided by whole columns: exactly, and without one step per edit."""
+    rng = random.Random(12)
+    for _ in range(300):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(1, 12))] for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            corner, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
+        assert [near_copies.within(a, b, k) for k in range(13)] == [row[-1] <= k for k in range(13)]
+    # swapped words: the counts are equal, the order is not
+    text = np.arange(1, 601, dtype=np.uint64)
+    other = text.copy()
+    moved = np.array(rng.sample(range(600), 200))
+    other[moved] = other[moved[::-1]]
+    other = np.insert(other, 3, np.uint64(10_000))[:600]
+    calls = []
+    monkeypatch.setattr(near_copies, "within", lambda *a, held=near_copies.within: calls.append(1) or held(*a))
+    assert not near_copies.similar(text, other, 0.8) and near_copies.similar(text, other, 0.6)
+    assert len(calls) == 2
+    # columns of very long texts would take much memory
+    monkeypatch.setattr(near_copies, "COLUMN", 500)
+    assert not near_copies.similar(text, other, 0.8) and near_copies.similar(text, other, 0.6)
+    assert len(calls) == 2
+
+
+def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
+    """However many partitions a shuffle has; tables that are not small keep them."""
+    from logmill.llm import common, components
+
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    cores = spark.sparkContext.defaultParallelism
+    edges = spark.range(2000).selectExpr("id AS a", "id - id % 5 AS b")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        few = components.components(edges)
+        assert len(few.inputFiles()) <= cores < 40
+        monkeypatch.setattr(common, "SMALL_BYTES", 0)
+        many = components.components(edges)
+        assert len(many.inputFiles()) == 40
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(few.collect()) == sorted(many.collect()) == [(i, i - i % 5) for i in range(2000)]
