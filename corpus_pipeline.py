@@ -36,14 +36,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, the ids of the text, their number and score, and whether they decode to it."""
     told = docs.select("doc_id", "source", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    rows = encode(told, model_path())
+    rows = encode(told, model_path()).select("doc.doc_id", "doc.source", "doc.text_hash", "ids", "score")
+    # kept: encoding and decoding in one stage would take two Python workers a task
+    rows = keep(rows, "pieces")
     return rows.select(
-        "doc.doc_id",
-        "doc.source",
+        "doc_id",
+        "source",
         "ids",
         F.size("ids").alias("n_tokens"),
         "score",
-        (F.xxhash64(decoded(F.col("ids"), model_path())) == F.col("doc.text_hash")).alias("round_trip"),
+        (F.xxhash64(decoded(F.col("ids"), model_path())) == F.col("text_hash")).alias("round_trip"),
     )
 
 

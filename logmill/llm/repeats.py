@@ -217,7 +217,9 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     joined = rows.join(chosen.alias("c").hint("merge"), on, "left").select("d.doc", "c.cuts")
     # only texts that lose something go to Python
     lost = F.col("cuts").isNotNull()
-    left = joined.withColumn("left", remaining(F.when(lost, F.col("doc.text")), F.col("cuts")))
+    # evaluated once: a filter on it, pushed below, would take a second Python worker beside each task
+    once = remaining.asNondeterministic()
+    left = joined.withColumn("left", once(F.when(lost, F.col("doc.text")), F.col("cuts")))
     left = left.where(~lost | (F.trim("left") != ""))
     changed = {"text": F.col("left"), "n_chars": F.length("left")}
     return left.select(

@@ -697,3 +697,19 @@ def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sorted(few.collect()) == sorted(many.collect()) == [(i, i - i % 5) for i in range(2000)]
+
+
+def test_stages_take_one_python_worker_a_task(spark, documents, capsys):
+    """Two Python steps in a row, without a shuffle or a kept table between, would double the workers of an executor."""
+    import corpus_pipeline
+
+    shared = " ".join(f"s{i}" for i in range(70))
+    docs = documents([(1, "one " + shared), (2, shared + " two"), (3, shared), (4, "short"), (5, None)])
+    cut, encoded = corpus_pipeline.cut_repeated_passages(spark, docs, None), corpus_pipeline.encode_pieces(spark, docs, None)
+    for rows in (cut, encoded):
+        capsys.readouterr()
+        rows.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.text) for r in cut.collect()) == [(1, "one " + shared), (2, "two"), (4, "short"), (5, None)]
+    assert sorted((r.doc_id, r.round_trip) for r in encoded.collect()) == [(i, True) for i in range(1, 6)]
