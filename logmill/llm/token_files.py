@@ -14,7 +14,7 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from .common import bounded_batches, keep, table, text_slices, worker_state
 END_ID = 0
 # bounds of the sample that the dictionary is trained on
 TRAIN_DOCUMENTS, TRAIN_IDS, DICTIONARY_BYTES = 1000, 1000, 64 << 10
-CACHED_WORDS, CACHED_PIECES = 500_000, 800_000
+CACHED_WORDS, CACHED_PIECES = 500_000, 400_000
 SHARD_BYTES, SHARD_DOCUMENTS = 1 << 20, 4096
 
 SHARD = pa.schema(
@@ -53,7 +53,8 @@ SHARD_SQL = (
 # below U+0250, whose classes no longer change between Unicode versions
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-_RUN = re.compile(r" \s|[^\S ] ")
+# white space other than the space
+_WHITES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNSETTLED = re.compile(r"[^\x00-\u024f]")
 
 
@@ -88,6 +89,21 @@ def splits_words(tokenizer) -> bool:
     return bool(plain and whole and model.get("type") == "BPE" and not any(model.get(m) for m in marks))
 
 
+class _Words(dict):
+    """Ids by word, found when a word is first asked for; the words not asked for lately are forgotten."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        self.find, self.older = find, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.pop(word, None) or self.find(word)
+        if len(self) >= CACHED_WORDS // 2:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
@@ -103,27 +119,31 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.word_wise = word_wise and splits_words(self.tokenizer)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self._word)
         self.pieces: dict[str, bytes] = {}
         self.letters = dict(enumerate(_BYTE_LETTERS))
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word with its space; its letters, signs and line ends are pieces of their own."""
-        pieces = _PIECES.findall(word)
-        try:
-            return b"".join([self.pieces[p] for p in pieces])
-        except KeyError:
-            pass
-        for piece in pieces:
-            if piece not in self.pieces:
-                tokens = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-                self.pieces[piece] = array("I", [t.id for t in tokens]).tobytes()
-        return b"".join([self.pieces[p] for p in pieces])
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        unsettled = [i for i, w in enumerate(words) if _UNSETTLED.search(w)]
-        whole = dict(zip(unsettled, self._ids([words[i] for i in unsettled])))
-        return [whole[i] if i in whole else self._word(w) for i, w in enumerate(words)]
+        """Ids of a word with the space before it; its letters, signs and line ends are pieces of their own."""
+        plain = word.isascii()
+        if plain and word.isalpha():
+            return self._model_ids(_BYTE_LETTERS[32] + word)
+        spaced = " " + word
+        if not plain and _UNSETTLED.search(word):
+            return self._ids([spaced])[0]
+        return b"".join([self._piece(p) for p in _PIECES.findall(spaced)])
+
+    def _piece(self, piece: str) -> bytes:
+        if piece[0] == " " and piece.isascii() and piece[1:].isalpha():
+            return self.words[piece[1:]]
+        if piece not in self.pieces:
+            if len(self.pieces) >= CACHED_PIECES:
+                self.pieces.clear()
+            self.pieces[piece] = self._model_ids(piece.encode().decode("latin-1").translate(self.letters))
+        return self.pieces[piece]
+
+    def _model_ids(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -131,28 +151,18 @@ class Encoder:
 
     def _splits(self, text: str) -> bool:
         # a space next to other white space belongs to a run
-        return not _RUN.search(text) and not any(s in text for s in self.specials)
+        if "  " in text or any(w in text and (" " + w in text or w + " " in text) for w in _WHITES):
+            return False
+        return not any(s in text for s in self.specials)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        split, whole, missing = {}, [], set()
+        split, whole = {}, []
         for i, text in enumerate(texts):
             if text and self.word_wise and self._splits(text):
-                split[i] = parts = text.split(" ")
-                missing.update(parts[1:])
+                split[i] = text.split(" ")
             else:
                 whole.append(i)
-        missing -= self.words.keys()
-        if missing:
-            if len(self.words) + len(missing) > CACHED_WORDS:
-                self.words.clear()
-                missing = {w for parts in split.values() for w in parts[1:]}
-            fresh = list(missing)
-            if len(self.pieces) > CACHED_PIECES:
-                self.pieces.clear()
-            for start in range(0, len(fresh), 20_000):
-                part = fresh[start : start + 20_000]
-                self.words.update(zip(part, self._words([" " + w for w in part])))
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
         for (i, parts), first in zip(split.items(), self._ids([p[0] for p in split.values()])):

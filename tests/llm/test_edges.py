@@ -188,6 +188,20 @@ def test_token_encoder_agrees_with_the_tokenizer():
     assert encoder.word_wise and encoder.encode(texts) == want == encoder.encode(texts)
 
 
+def test_token_encoder_forgets_only_words_not_met_lately(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 8)
+    monkeypatch.setattr(token_files, "CACHED_PIECES", 3)
+    encoder = token_files.Encoder(token_files.tokenizer_path("byte_bpe_50k.json"))
+    searched = []
+    find = encoder.words.find
+    encoder.words.find = lambda word: searched.append(word) or find(word)
+    texts = [f"the often w{i}, été{i} x{chr(97 + i)}; often" for i in range(20)]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [encoder.encode([t])[0] for t in texts] == want
+    assert searched.count("often") == 1 and searched.count("w3,") == 1
+    assert len(encoder.words) + len(encoder.words.older) <= 8 and len(encoder.pieces) <= 3
+
+
 def test_token_ids_of_a_vocabulary_that_normalizes():
     encoder = token_files.Encoder(token_files.tokenizer_path("word_bpe_49k.json"))
     texts = ["", "a photo of Two  Cats", "É e\u0301 straße", "it's 2024, isn't it?", "<|startoftext|> x\ny", LONG]
