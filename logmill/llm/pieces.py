@@ -324,8 +324,8 @@ class Segmenter:
     def learn(self, units: set[str]) -> None:
         missing = units - self.units.keys()
         if len(self.units) + len(missing) > CACHED_UNITS:
-            self.forget()
-            missing = units
+            # the units of this call stay: most of them are frequent ones
+            self.units = {u: self.units[u] for u in units - missing}
         fresh = list(missing - {SPACE})
         self.units.update(zip(fresh, self.model.best([u.replace(" ", SPACE) for u in fresh])))
         self.units[SPACE] = (np.array(self.model._bytes_of(SPACE), dtype="<i4").tobytes(), self.model.unknown, np.inf)
@@ -367,11 +367,11 @@ class Segmenter:
             best = paths[0][0]
             grown = [(loss + best - s, (*picks, (i, k)) if k else picks) for loss, picks in combined for k, (s, _) in enumerate(paths)]
             combined = sorted(grown)[:n]
-        at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4)])
+        at = {i: len(b"".join(parts[:i])) // 4 for i in near}
         chosen = {i: self.nbest(units[i], n) for i in near}
         out = []
         for loss, picks in combined[1:]:
-            changes = [{"at": int(at[i]), "n": int(at[i + 1] - at[i]), "ids": chosen[i][k][1]} for i, k in picks]
+            changes = [{"at": at[i], "n": len(parts[i]) // 4, "ids": chosen[i][k][1]} for i, k in picks]
             out.append({"score": score - loss, "changes": changes})
         return ids, score, out
 

@@ -397,6 +397,22 @@ def test_pieces(odd, none):
     assert pieces.encode(none, path).count() == 0
 
 
+def test_units_that_go_on_are_not_searched_again(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED_UNITS", 4)
+    model = pieces.PieceModel(pieces.model_path())
+    held, searched = pieces.Segmenter(model), []
+    best = model.best
+    model.best = lambda units: searched.extend(units) or best(units)
+    for k in range(4):
+        units = held.split(f"the often one{k} two{k} often")
+        held.learn(set(units))
+        assert len(held.units) <= 6
+        alone = pieces.Segmenter(pieces.PieceModel(pieces.model_path()))
+        alone.learn(set(units))
+        assert held.segment(units, 3) == alone.segment(units, 3)
+    assert searched.count(f"{pieces.SPACE}often") == 1 and searched.count(f"{pieces.SPACE}one3") == 1
+
+
 def test_nbest_against_all_paths():
     model = pieces.PieceModel(pieces.model_path())
     held = pieces.Segmenter(model)
