@@ -231,20 +231,23 @@ def shared_buckets(entries: DataFrame) -> DataFrame:
     128 bits of a sum that does not depend on the order.  ``weight`` is the number of
     entries in all buckets of the document: what most copies come from shares its buckets
     with more of them than they share with each other.
+
+    The joins are planned as a shuffle at every size: the right sides grow with the rows, and
+    a small input tells what a large one will move.
     """
     several = entries.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     # a table of its own: Spark splits a skewed join only where no aggregation shares its stage
     several = keep(several.select("bucket"), "several-roots")
-    shared = keep(entries.join(several, "bucket"), "shared-buckets")
+    shared = keep(entries.join(several.hint("merge"), "bucket"), "shared-buckets")
     small = packed(shared)
     marks = [F.bit_xor(F.xxhash64("doc", F.lit(seed))).alias(f"s{seed}") for seed in (1, 2)]
     sets = shared.groupBy("bucket").agg(F.count("*").alias("n"), *marks)
     sets = keep(small(sets.groupBy("n", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket", "n")), "bucket-sets")
     discard(several)
-    entries = keep(small(shared.join(sets, "bucket")), "different-buckets")
+    entries = keep(small(shared.join(sets.hint("merge"), "bucket")), "different-buckets")
     discard(shared, sets)
     weights = keep(small(entries.groupBy("doc").agg(F.sum("n").alias("weight"))), "weights")
-    weighed = keep(small(entries.select("bucket", "doc", "root").join(weights, "doc")), "weighed-buckets")
+    weighed = keep(small(entries.select("bucket", "doc", "root").join(weights.hint("merge"), "doc")), "weighed-buckets")
     discard(entries, weights)
     return weighed
 

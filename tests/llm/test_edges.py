@@ -397,6 +397,22 @@ def test_pieces(odd, none):
     assert pieces.encode(none, path).count() == 0
 
 
+def test_shared_buckets_are_planned_alike_at_every_size(spark, monkeypatch):
+    plans, keep = {}, near_copies.keep
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(near_copies, "keep", kept)
+    rows = [(b, d, d) for b, docs in ((1, (1, 2, 3)), (2, (1, 2, 3)), (3, (2, 4)), (4, (5,))) for d in docs] + [(5, 6, 6), (5, 7, 6)]
+    entries = spark.createDataFrame([(b, d, 6 if d == 7 else r) for b, d, r in rows], "bucket bigint, doc bigint, root bigint")
+    got = sorted(tuple(r) for r in near_copies.shared_buckets(entries).select("bucket", "doc", "root", "weight").collect())
+    assert got == [(1, 1, 1, 3), (1, 2, 2, 5), (1, 3, 3, 3), (3, 2, 2, 5), (3, 4, 4, 2)]
+    for name in ("shared-buckets", "different-buckets", "weighed-buckets"):
+        assert "SortMergeJoin" in plans[name] and "Broadcast" not in plans[name]
+
+
 def test_units_that_go_on_are_not_searched_again(monkeypatch):
     monkeypatch.setattr(pieces, "CACHED_UNITS", 4)
     model = pieces.PieceModel(pieces.model_path())
