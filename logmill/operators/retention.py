@@ -17,7 +17,7 @@ from ..session import scratch_path
 CELLS = 1 << 18  # of each of two rows of counts
 SLOTS = 1 << 13  # for the wanted keys of like count
 KEY_NAMES = 200_000  # a key of more names is split
-SLICE_NAMES, SLICES = 1_000_000, 4  # more names than these are matched in turns, up to so many
+SLICE_NAMES, SLICES = 1_000_000, 8  # more names than these are matched in turns, up to so many
 
 
 def glob_to_regex(pattern: str) -> str:
